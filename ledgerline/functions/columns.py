@@ -60,14 +60,15 @@ def to_fixed(col, digits):
 def to_fixed_text(col, digits):
     x = _col(col).cast("double")
     sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, F.format_string(f"%.{digits}f", to_fixed(F.abs(x), digits)))
+    # format_string writes a null as text.
+    return F.when(x.isNotNull(), F.concat(sign, F.format_string(f"%.{digits}f", to_fixed(F.abs(x), digits))))
 
 
 def currency_label(amount, currency):
-    """``$1,234.50`` or ``MYR 1,234.50``; a dash when there is no amount."""
+    """``$1,234.50`` or ``MYR 1,234.50`` (no-break space); a dash when there is no amount."""
     amount = _col(amount).cast(T.DecimalType(38, 4))
     sign = F.when(amount < 0, F.lit("-")).otherwise(F.lit(""))
-    symbol = F.when(_col(currency) == "MYR", F.lit("MYR ")).otherwise(F.lit("$"))
+    symbol = F.when(_col(currency) == "MYR", F.lit("MYR\u00a0")).otherwise(F.lit("$"))
     digits = F.format_number(F.round(F.abs(amount), 2), 2)
     return F.coalesce(F.concat(sign, symbol, digits), F.lit("—"))
 

@@ -1,7 +1,7 @@
 """Two-stage discounted cash flow as columns, in double arithmetic.
 
-The explicit years are unrolled into plain expressions, so the whole valuation stays inside
-one generated stage; there is no Python function and no higher-order function per row.
+The explicit years are unrolled into plain expressions, so the cash flows stay inside one
+generated stage; there is no Python function.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -20,8 +20,42 @@ def grown_flows(df: DataFrame, base: str, growth: str, years: int = YEARS) -> Da
     return df
 
 
-def discount_factors(rate: Column, years: int = YEARS) -> dict[str, Column]:
-    return {f"_df{year}": F.pow(F.lit(1.0) + rate, F.lit(float(year))) for year in range(1, years + 1)}
+def with_discount_factors(df: DataFrame, rate: str, years: int = YEARS) -> DataFrame:
+    """Add ``_df1 .. _dfN``, the powers of ``1 + rate``.
+
+    ``pow`` may differ in the last bit between JVMs and processors, which shows when a
+    figure is a rounding tie. Here the rounding error of every product (Dekker's exact
+    product) is carried along, which gives the correctly rounded power everywhere. It is a
+    fold rather than a chain of columns, so that a filter on a result, which Spark pushes
+    down by substitution, does not multiply the expression.
+    """
+    x = F.lit(1.0) + F.col(rate)
+    zero = F.struct(x.alias("x"), x.alias("high"), F.lit(0.0).alias("low"), F.array(x).alias("powers"))
+
+    def times_x(state, _):
+        product = state["high"] * state["x"]
+        top, rest = _halves(state["high"])
+        x_top, x_rest = _halves(state["x"])
+        error = ((top * x_top - product) + top * x_rest + rest * x_top) + rest * x_rest
+        low = state["low"] * state["x"] + error
+        high = product + low
+        return F.struct(
+            state["x"].alias("x"),
+            high.alias("high"),
+            (low - (high - product)).alias("low"),
+            F.concat(state["powers"], F.array(high)).alias("powers"),
+        )
+
+    powers = F.aggregate(F.sequence(F.lit(2), F.lit(years)), zero, times_x, lambda state: state["powers"])
+    with_powers = df.withColumn("_powers", powers)
+    return with_powers.withColumns({f"_df{y}": F.get("_powers", F.lit(y - 1)) for y in range(1, years + 1)}).drop("_powers")
+
+
+def _halves(value: Column) -> tuple[Column, Column]:
+    """A double as the sum of two with half the digits."""
+    scaled = F.lit(134217729.0) * value
+    top = scaled - (scaled - value)
+    return top, value - top
 
 
 def present_values(df: DataFrame, rate: str, terminal_growth: str, cash: str, debt: str, years: int = YEARS) -> DataFrame:
@@ -39,12 +73,12 @@ def present_values(df: DataFrame, rate: str, terminal_growth: str, cash: str, de
     )
 
 
-def money_columns() -> list[Column]:
-    return [
-        F.round("_explicit", 2).alias("pv_explicit_fcf"),
-        F.round("_terminal", 2).alias("terminal_value"),
-        F.round("_pv_terminal", 2).alias("pv_terminal_value"),
-        F.round("_enterprise", 2).alias("enterprise_value"),
-        F.round("_net_debt", 2).alias("net_debt"),
-        F.round("_equity", 2).alias("equity_value"),
-    ]
+def money_columns() -> dict[str, Column]:
+    return {
+        "pv_explicit_fcf": F.col("_explicit"),
+        "terminal_value": F.col("_terminal"),
+        "pv_terminal_value": F.col("_pv_terminal"),
+        "enterprise_value": F.col("_enterprise"),
+        "net_debt": F.col("_net_debt"),
+        "equity_value": F.col("_equity"),
+    }

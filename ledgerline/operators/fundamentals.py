@@ -85,24 +85,20 @@ def ttm_rollup(quarterly: DataFrame, n: int = 4, order: str = "latest", company:
     )
 
 
-def dcf_defaults(companies: DataFrame, rollup: DataFrame, latest_daily: DataFrame | None = None, company: str = "company_sk") -> DataFrame:
+def dcf_defaults(companies: DataFrame, rollup: DataFrame, price: str = "close_price", company: str = "company_sk") -> DataFrame:
     """Default valuation inputs per company, with fallbacks where figures are missing.
 
     Base cash flow: the trailing sum; if that is zero the last statement's; one billion
-    without statements; five billion if the result is not positive.
+    without statements; five billion if the result is not positive. ``price`` names the
+    latest price in ``companies``; it comes out as ``current_price``.
     """
     joined = companies.join(rollup, company, "left")
-    price = F.lit(PRICE_DEFAULT)
-    if latest_daily is not None:
-        latest = latest_daily.select(company, F.col("close_price").cast("double").alias("_close"))
-        joined = joined.join(latest, company, "left")
-        price = F.coalesce("_close", price)
     trailing = F.col("ttm_free_cash_flow").cast("double")
     base = F.when(trailing != 0, trailing).otherwise(
         F.coalesce(F.col("last_free_cash_flow").cast("double"), F.lit(FCF_WITHOUT_STATEMENTS))
     )
     return joined.select(
-        *companies.columns,
+        *[c for c in companies.columns if c != price],
         F.when(base > 0, base).otherwise(F.lit(FCF_WHEN_NOT_POSITIVE)).alias("base_fcf"),
         F.lit(GROWTH_DEFAULT).alias("growth"),
         F.lit(TERMINAL_GROWTH_DEFAULT).alias("terminal_growth"),
@@ -110,5 +106,5 @@ def dcf_defaults(companies: DataFrame, rollup: DataFrame, latest_daily: DataFram
         F.coalesce(F.col("last_cash").cast("double"), F.lit(0.0)).alias("cash"),
         F.coalesce(F.col("last_liabilities").cast("double"), F.lit(0.0)).alias("total_debt"),
         F.lit(SHARES_DEFAULT).alias("shares_outstanding"),
-        price.alias("current_price"),
+        F.coalesce(F.col(price).cast("double"), F.lit(PRICE_DEFAULT)).alias("current_price"),
     )

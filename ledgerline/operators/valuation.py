@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import to_fixed
-from ledgerline.functions.dcf import YEARS, discount_factors, grown_flows, money_columns, present_values
+from ledgerline.functions.dcf import YEARS, grown_flows, money_columns, present_values, with_discount_factors
 
 INPUTS = ("base_fcf", "growth", "terminal_growth", "wacc", "cash", "total_debt", "shares_outstanding")
 
@@ -34,7 +34,7 @@ def dcf(df: DataFrame, floor: float = 0.01) -> DataFrame:
             "_debt": F.col("total_debt").cast("double"),
         }
     ).withColumn("_rate", F.when(wacc <= terminal, terminal + F.lit(floor)).otherwise(wacc))
-    rows = grown_flows(rows, "_base", "_growth").withColumns(discount_factors(F.col("_rate")))
+    rows = with_discount_factors(grown_flows(rows, "_base", "_growth"), "_rate")
     rows = present_values(rows, "_rate", "_terminal_growth", "_cash", "_debt")
     shares = F.col("shares_outstanding").cast("double")
     years = [
@@ -47,7 +47,7 @@ def dcf(df: DataFrame, floor: float = 0.01) -> DataFrame:
     ]
     return rows.select(
         *df.columns,
-        *money_columns(),
+        *[F.round(value, 2).alias(name) for name, value in money_columns().items()],
         F.when(shares > 0, F.round(F.col("_equity") / shares, 2)).otherwise(F.lit(0.0)).alias("fair_value_per_share"),
         F.array(*years).alias("projections"),
     )
@@ -77,6 +77,9 @@ def dcf_scenarios(
     over ``partitions`` tasks (default: the shuffle partitions) between the two expansions,
     because the table of companies is small and its product is not.
 
+    Money comes out unrounded; fair value has two digits, margin of safety (percent) one, and
+    the rating goes by the rounded margin.
+
     ``quantize=True`` first rounds the money inputs to hundredths of a billion, as the
     interactive page does.
     """
@@ -94,8 +97,8 @@ def dcf_scenarios(
         rows.withColumn("wacc", F.explode(rates))
         .withColumn("terminal_growth", F.explode(terminals))
         .withColumn("_rate", F.greatest(F.col("wacc"), F.col("terminal_growth") + F.lit(floor)))
-        .withColumns(discount_factors(F.col("_rate")))
     )
+    pairs = with_discount_factors(pairs, "_rate")
     spread = partitions or int(companies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grid = pairs.repartition(spread, F.xxhash64(*names), "wacc", "terminal_growth").withColumn(
         "growth", F.explode(F.array(*[F.lit(p) for p in _fractions(growth)]))
@@ -112,7 +115,7 @@ def dcf_scenarios(
         "growth",
         "wacc",
         "terminal_growth",
-        *money_columns(),
+        *[value.alias(name) for name, value in money_columns().items()],
         to_fixed("_fair", 2).alias("fair_value"),
         "margin_of_safety",
         F.when(F.col("margin_of_safety") >= UNDERVALUED_FROM, "Undervalued").otherwise("Overvalued").alias("rating"),

@@ -90,15 +90,16 @@ def company_page(
     """
     if ticker is not None:
         companies = companies.where(F.col("ticker") == F.upper(F.lit(ticker)))
-    latest = _latest_day(daily)
-    header = companies.join(latest.select("company_sk", "daily_return", "sma_20", "sma_50"), "company_sk", "left").select(
+    latest = _latest_day(daily).select("company_sk", "close_price", "daily_return", "sma_20", "sma_50")
+    header = companies.join(latest, "company_sk", "left").select(
         "company_sk",
         *PAGE_COLUMNS,
         F.coalesce(percent("daily_return"), F.lit(0.0)).alias("daily_return"),
         "sma_20",
         "sma_50",
+        "close_price",
     )
-    inputs = dcf_defaults(header, ttm_rollup(quarterly, order=order), latest)
+    inputs = dcf_defaults(header, ttm_rollup(quarterly, order=order))
     return dcf(inputs)
 
 

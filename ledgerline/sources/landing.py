@@ -49,10 +49,10 @@ def land_partitions(
         old = _read(spark, table_path)
         if old is None:
             old = empty_table(spark, schema).withColumn(partition_col, partition_of)
-        touched = batch.select(partition_col).distinct()
-        # A broadcast or shuffled semi join on the partition column: Spark prunes the
-        # partitions at run time and untouched ones are not read.
-        current = old.join(touched, partition_col, "left_semi").select(*schema.fieldNames())
+        # No more values than the table has partitions; as literals they prune the listing,
+        # so untouched partitions are not read.
+        touched = [row[0] for row in batch.select(partition_col).distinct().collect()]
+        current = old.where(F.col(partition_col).isin(touched)).select(*schema.fieldNames())
         merged = upsert(current, batch.drop(partition_col), keys, update_cols, **options)
         merged.withColumn(partition_col, partition_of).write.mode("overwrite").partitionBy(partition_col).parquet(staged)
         spark.range(1).write.mode("overwrite").parquet(ready)

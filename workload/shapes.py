@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ledgerline.schemas import GAAP_TAGS
 
 FILING_BLOCK = 4096
+# Every tenth or so step of the assumption ranges, to keep the comparison output readable.
+COARSE_GRID = {"growth": (-1000, 3500, 250), "wacc": (500, 1600, 100), "terminal": (100, 450, 50)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -169,3 +171,78 @@ def scenario_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("top").cast("double") / F.lit(100.0)).alias("current_price"),
         )
     )
+
+
+def vendor_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items under the price vendor's column names; no split column."""
+    price = F.col("l_extendedprice")
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string"), F.lit(".kl")).alias("Ticker"),
+        F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(" 00:00:00+08:00")).alias("Date"),
+        price.alias("Open"),
+        (price + F.col("l_quantity")).alias("High"),
+        (price - F.col("l_quantity")).alias("Low"),
+        price.alias("Close"),
+        price.alias("Adj Close"),
+        F.col("l_quantity").alias("Volume"),
+        F.col("l_tax").alias("Dividends"),
+    )
+
+
+def customer_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entity = F.struct(F.col("c_name").alias("entityName"), F.col("c_mktsegment").alias("sicDescription"))
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("ticker"),
+        F.col("c_custkey").cast("string").alias("cik"),
+        F.to_json(entity).alias("payload"),
+    )
+
+
+def landed_prices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders by customer and year as prices: what is there, and a batch that overlaps it."""
+    price = F.col("o_totalprice").cast("decimal(14,4)")
+    rows = (
+        table(spark, sf_dir, "orders")
+        .groupBy(
+            F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
+            F.trunc(F.col("o_orderdate").cast("date"), "year").alias("trade_date"),
+            (F.col("o_orderstatus") == "F").alias("incoming"),
+        )
+        .agg(F.max(price).alias("high"), F.min(price).alias("low"), F.count(F.lit(1)).alias("n"))
+        .select(
+            "ticker",
+            "trade_date",
+            F.col("low").alias("open_price"),
+            F.col("high").alias("high_price"),
+            F.col("low").alias("low_price"),
+            F.col("high").alias("close_price"),
+            F.col("low").alias("adj_close"),
+            F.col("n").alias("volume"),
+            F.when(F.col("incoming"), F.lit("0.5")).otherwise("0").cast("decimal(10,4)").alias("dividend_amount"),
+            F.lit(1).cast("decimal(10,4)").alias("split_coefficient"),
+            F.lit("2024-01-01").cast("timestamp").alias("ingested_at"),
+            "incoming",
+        )
+    )
+    return rows.where(~F.col("incoming")).drop("incoming"), rows.where("incoming").drop("incoming", "ingested_at")
+
+
+def landed_filings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    incoming = F.col("incoming")
+    cik = F.lpad(F.col("o_custkey").cast("string"), 10, "0")
+    rows = (
+        table(spark, sf_dir, "orders")
+        .groupBy(cik.alias("cik"), F.year("o_orderdate").alias("fiscal_year"), (F.col("o_orderstatus") == "F").alias("incoming"))
+        .agg(F.max(F.col("o_totalprice").cast("decimal(14,2)")).alias("top"))
+        .select(
+            "cik",
+            F.concat(F.when(incoming, "NEW").otherwise("OLD"), "cik").alias("ticker"),
+            F.lit("FACTS").alias("form_type"),
+            "fiscal_year",
+            F.lit("ALL").alias("fiscal_period"),
+            F.to_json(F.struct("top")).alias("payload"),
+            F.lit("2024-01-01").cast("timestamp").alias("ingested_at"),
+            "incoming",
+        )
+    )
+    return rows.where(~incoming).drop("incoming"), rows.where(incoming).drop("incoming", "ingested_at")
