@@ -52,6 +52,8 @@ def _window_form(left, right, on, left_time, right_time, tiebreak, slicing, rows
     values = [c for c in right.columns if c not in on]
     ties = [f"_tie{i}" for i in range(len(tiebreak))]
     probes = left.withColumns({"_at": F.col(left_time), "_side": F.lit(1)})
+    # Left rows of one key and time may be cut anywhere, so their content extends the order.
+    spread = F.xxhash64(*left.columns)
     known = right.select(
         *on,
         F.col(right_time).alias("_at"),
@@ -59,16 +61,17 @@ def _window_form(left, right, on, left_time, right_time, tiebreak, slicing, rows
         *[F.col(c).alias(t) for c, t in zip(tiebreak, ties)],
         F.struct(*values).alias("_row"),
     )
-    events = probes.unionByName(known, allowMissingColumns=True)
     order = ["_at", "_side", *ties]
-    plan = resolve(slicing, events, on, order, rows_at_most)
-    groups, rows = list(on), events
+    events = probes.withColumn("_spread", spread).unionByName(known, allowMissingColumns=True)
+    plan = resolve(slicing, events, on, [*order, "_spread"], rows_at_most)
     if plan is None:
         # When the left side is already partitioned by its key (it comes out of a window over
         # it), a right side partitioned alike lets the union keep that: only the right side
         # is shuffled for the join.
         rows = probes.unionByName(known.repartition(*on), allowMissingColumns=True)
-    if plan is not None:
+        groups = list(on)
+    else:
+        order.append("_spread")
         rows = plan.assign(events)
         known = rows.where(F.col("_side") == 0).select(*on, *order, "_row", "_slice", "_last")
         rows = rows.drop("_last").unionByName(plan.neighbours(known, 1, "before"), allowMissingColumns=True)

@@ -23,7 +23,7 @@ from ledgerline.functions.columns import ascending, descending
 
 ROWS_PER_GROUP = 2_000_000
 MAX_GROUPS = 20_000
-SAMPLES_PER_SLICE = 64
+SAMPLES_PER_SLICE = 16
 
 ROWS_PER_GROUP_CONF = "spark.ledgerline.rowsPerGroup"
 MAX_GROUPS_CONF = "spark.ledgerline.maxGroups"
@@ -135,7 +135,8 @@ def measure(
                 )
             ),
         )
-        .select(*keys, "_cuts")
+        # A cut at the smallest value would only open an empty slice.
+        .select(*keys, F.filter("_cuts", lambda c: c > F.get("_sample", F.lit(0))).alias("_cuts"))
     )
     # Literal cut points: every branch that assigns slices sees the same ones, also when a
     # lost task is run again.

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.schemas import AMOUNT, FISCAL_PERIODS, GAAP_TAGS, PRICE
+from ledgerline.schemas import AMOUNT, FISCAL_PERIODS, GAAP_TAGS, MONEY, PRICE
 
 
 def stage_prices(raw: DataFrame) -> DataFrame:
@@ -35,11 +35,12 @@ def extract_facts(
     """Flatten nested filing documents to one typed, distinct row per reported fact.
 
     Only the wanted tags and unit are declared, so one streaming pass over each document
-    skips everything else without building it. Amounts are declared as text and cast from
-    there, so no digit passes through a double. ``mode="FAILFAST"`` rejects malformed
-    documents; by default they give no rows.
+    skips everything else without building it. Amounts are declared as decimals: the parser
+    then takes their digits as written, while a number read as text would pass through a
+    double. ``mode="FAILFAST"`` rejects malformed documents; by default they give no rows.
     """
-    fact = T.StructType([T.StructField(n, T.StringType()) for n in ("form", "fy", "fp", "filed", "start", "end", "val", "accn")])
+    texts = [T.StructField(n, T.StringType()) for n in ("form", "fy", "fp", "filed", "start", "end", "accn")]
+    fact = T.StructType([*texts, T.StructField("val", MONEY)])
     by_unit = T.StructType([T.StructField(unit, T.ArrayType(fact))])
     by_tag = T.StructType([T.StructField(tag, T.StructType([T.StructField("units", by_unit)])) for tag in tags])
     document = T.StructType([T.StructField("facts", T.StructType([T.StructField(taxonomy, by_tag)]))])
