@@ -1,7 +1,7 @@
 """Two-stage discounted cash flow as columns, in double arithmetic.
 
-The explicit years are unrolled into plain expressions, so the cash flows stay inside one
-generated stage; there is no Python function.
+The five explicit years are unrolled into plain expressions, so the whole valuation stays
+inside generated code; there is no Python function and no higher-order function per row.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -10,45 +10,49 @@ from pyspark.sql import functions as F
 YEARS = 5
 
 
-def grown_flows(df: DataFrame, base: str, growth: str, years: int = YEARS) -> DataFrame:
-    """Add ``_fcf1 .. _fcfN``; growth is applied year on year, not by a power."""
+def grown_flows(df: DataFrame, base: str, growth: str) -> DataFrame:
+    """Add ``_fcf1 .. _fcf5``; growth is applied year on year, not by a power."""
     factor = F.lit(1.0) + F.col(growth)
     previous = F.col(base)
-    for year in range(1, years + 1):
+    for year in range(1, YEARS + 1):
         df = df.withColumn(f"_fcf{year}", previous * factor)
         previous = F.col(f"_fcf{year}")
     return df
 
 
-def with_discount_factors(df: DataFrame, rate: str, years: int = YEARS) -> DataFrame:
-    """Add ``_df1 .. _dfN``, the powers of ``1 + rate``.
+def with_discount_factors(df: DataFrame, rate: str) -> DataFrame:
+    """Add ``_df1 .. _df5``, the powers of ``1 + rate``.
 
     ``pow`` may differ in the last bit between JVMs and processors, which shows when a
-    figure is a rounding tie. Here the rounding error of every product (Dekker's exact
-    product) is carried along, which gives the correctly rounded power everywhere. It is a
-    fold rather than a chain of columns, so that a filter on a result, which Spark pushes
-    down by substitution, does not multiply the expression.
+    figure is a rounding tie. Here each power is a plain product plus its own rounding
+    error, which gives the correctly rounded power everywhere. The products stay short
+    expressions of ``1 + rate``, so nothing nests. They come out of a one-element
+    ``inline``: a filter on a result is then not pushed below them, which would copy the
+    whole expression into the filter once per use.
     """
-    x = F.lit(1.0) + F.col(rate)
-    zero = F.struct(x.alias("x"), x.alias("high"), F.lit(0.0).alias("low"), F.array(x).alias("powers"))
-
-    def times_x(state, _):
-        product = state["high"] * state["x"]
-        top, rest = _halves(state["high"])
-        x_top, x_rest = _halves(state["x"])
-        error = ((top * x_top - product) + top * x_rest + rest * x_top) + rest * x_rest
-        low = state["low"] * state["x"] + error
-        high = product + low
-        return F.struct(
-            state["x"].alias("x"),
-            high.alias("high"),
-            (low - (high - product)).alias("low"),
-            F.concat(state["powers"], F.array(high)).alias("powers"),
-        )
-
-    powers = F.aggregate(F.sequence(F.lit(2), F.lit(years)), zero, times_x, lambda state: state["powers"])
-    with_powers = df.withColumn("_powers", powers)
-    return with_powers.withColumns({f"_df{y}": F.get("_powers", F.lit(y - 1)) for y in range(1, years + 1)}).drop("_powers")
+    df = df.withColumn("_df1", F.lit(1.0) + F.col(rate))
+    x = F.col("_df1")
+    x2 = x * x
+    x3 = x2 * x
+    x4 = x2 * x2
+    x5 = x4 * x
+    df = df.withColumn("_rest2", _product_error(x, x))
+    df = df.withColumns(
+        {
+            "_rest3": _product_error(x2, x) + F.col("_rest2") * x,
+            "_rest4": _product_error(x2, x2) + F.lit(2.0) * x2 * F.col("_rest2"),
+        }
+    )
+    df = df.withColumn("_rest5", _product_error(x4, x) + F.col("_rest4") * x)
+    powers = F.struct(*[(plain + F.col(f"_rest{y}")).alias(f"_df{y}") for y, plain in ((2, x2), (3, x3), (4, x4), (5, x5))])
+    return df.select("*", F.inline(F.array(powers))).drop("_rest2", "_rest3", "_rest4", "_rest5")
+
+
+def _product_error(a: Column, b: Column) -> Column:
+    """What rounding cuts off ``a * b``, exactly (Dekker)."""
+    a_top, a_rest = _halves(a)
+    b_top, b_rest = _halves(b)
+    return ((a_top * b_top - a * b) + a_top * b_rest + a_rest * b_top) + a_rest * b_rest
 
 
 def _halves(value: Column) -> tuple[Column, Column]:
@@ -58,16 +62,16 @@ def _halves(value: Column) -> tuple[Column, Column]:
     return top, value - top
 
 
-def present_values(df: DataFrame, rate: str, terminal_growth: str, cash: str, debt: str, years: int = YEARS) -> DataFrame:
+def present_values(df: DataFrame, rate: str, terminal_growth: str, cash: str, debt: str) -> DataFrame:
     """Add the unrounded results; needs ``_fcf*`` and ``_df*``."""
-    df = df.withColumns({f"_pv{y}": F.col(f"_fcf{y}") / F.col(f"_df{y}") for y in range(1, years + 1)})
+    df = df.withColumns({f"_pv{y}": F.col(f"_fcf{y}") / F.col(f"_df{y}") for y in range(1, YEARS + 1)})
     explicit = F.lit(0.0)
-    for year in range(1, years + 1):
+    for year in range(1, YEARS + 1):
         explicit = explicit + F.col(f"_pv{year}")
-    terminal = F.col(f"_fcf{years}") * (F.lit(1.0) + F.col(terminal_growth)) / (F.col(rate) - F.col(terminal_growth))
+    terminal = F.col(f"_fcf{YEARS}") * (F.lit(1.0) + F.col(terminal_growth)) / (F.col(rate) - F.col(terminal_growth))
     return (
         df.withColumns({"_explicit": explicit, "_terminal": terminal, "_net_debt": F.col(debt) - F.col(cash)})
-        .withColumn("_pv_terminal", F.col("_terminal") / F.col(f"_df{years}"))
+        .withColumn("_pv_terminal", F.col("_terminal") / F.col(f"_df{YEARS}"))
         .withColumn("_enterprise", F.col("_explicit") + F.col("_pv_terminal"))
         .withColumn("_equity", F.col("_enterprise") - F.col("_net_debt"))
     )

@@ -55,7 +55,10 @@ def dcf(df: DataFrame, floor: float = 0.01) -> DataFrame:
 
 def dcf_projections(valued: DataFrame, *ids: str) -> DataFrame:
     """The explicit years of :func:`dcf`, one row each."""
-    return valued.select(*ids, F.inline("projections"))
+    # Exploding the position, not the array, keeps Spark from inferring a filter on the
+    # array and computing the valuation twice.
+    positions = F.explode(F.array(*[F.lit(i) for i in range(YEARS)])).alias("_i")
+    return valued.select(*ids, "projections", positions).select(*ids, F.get("projections", F.col("_i")).alias("_p")).select(*ids, "_p.*")
 
 
 def dcf_scenarios(
