@@ -2,13 +2,15 @@
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.columns import ascending
 from ledgerline.operators.slicing import resolve
 
-# Bounds for the broadcast form, both checked against the data before it is used.
-BROADCAST_ROWS = 200_000
+# Bounds for the broadcast form, all checked against the data before it is used.
+BROADCAST_ROWS = 1_000_000
 BROADCAST_ROWS_PER_KEY = 512
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def asof_join(
@@ -105,6 +107,14 @@ def _range_form(left, right, on, left_time, right_time, tiebreak):
 
 
 def _fits_broadcast(right, on):
-    counts = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    return (total or 0) <= BROADCAST_ROWS and (largest or 0) <= BROADCAST_ROWS_PER_KEY
+    texts = [f.name for f in right.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in right.schema):
+        return False
+    size = F.lit(16 * len(right.columns)).cast("bigint")
+    for name in texts:
+        size = size + F.coalesce(F.octet_length(name), F.lit(0))
+    counts = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_size"))
+    total, largest, volume = counts.agg(F.sum("_n"), F.max("_n"), F.sum("_size")).first()
+    return total is None or (
+        total <= BROADCAST_ROWS and largest <= BROADCAST_ROWS_PER_KEY and volume <= BROADCAST_BYTES
+    )

@@ -28,6 +28,7 @@ def land_partitions(
     schema,
     batch: DataFrame,
     staging_path: str,
+    run_id: str,
     keys,
     update_cols,
     partition_col: str,
@@ -38,13 +39,15 @@ def land_partitions(
 
     ``partition_of`` computes ``partition_col`` from key columns, so a key never changes its
     partition. A daily batch with a few days of lookback rewrites one or two months of a
-    table of any length. The new partitions are written to ``staging_path`` first and copied
-    over the old ones after that. The copy can be repeated: a call that finds its staging
-    complete (the run was cut off while copying) only copies.
+    table of any length.
+
+    The new partitions are written to ``staging_path``, marked complete under ``run_id``, and
+    then copied over the old ones. A run that was cut off while copying is repeated with the
+    same ``run_id`` and only copies again; otherwise it starts over from the intact table.
     """
-    ready = f"{staging_path}/ready"
-    staged = f"{staging_path}/rows"
-    if _read(spark, ready) is None:
+    staged, done = f"{staging_path}/rows", f"{staging_path}/done"
+    marker = _read(spark, done)
+    if marker is None or marker.where(F.col("run_id") == run_id).isEmpty():
         batch = batch.withColumn(partition_col, partition_of)
         old = _read(spark, table_path)
         if old is None:
@@ -55,7 +58,7 @@ def land_partitions(
         current = old.where(F.col(partition_col).isin(touched)).select(*schema.fieldNames())
         merged = upsert(current, batch.drop(partition_col), keys, update_cols, **options)
         merged.withColumn(partition_col, partition_of).write.mode("overwrite").partitionBy(partition_col).parquet(staged)
-        spark.range(1).write.mode("overwrite").parquet(ready)
+        spark.createDataFrame([(run_id,)], "run_id string").write.mode("overwrite").parquet(done)
     rows = _read(spark, staged)
     if rows is not None:
         (

@@ -11,7 +11,6 @@ def land_stream(
     batches: DataFrame,
     table_path: str,
     schema,
-    staging_path: str,
     checkpoint_path: str,
     keys,
     update_cols,
@@ -22,7 +21,8 @@ def land_stream(
     """Upsert every micro-batch of ``batches`` (a streaming frame) and stop when drained.
 
     The upsert is idempotent and each batch stages under its own number, so a batch that is
-    run again after a failure leaves the same table.
+    run again after a failure leaves the same table. The staging lies in the checkpoint
+    folder, because batch numbers only mean something together with that checkpoint.
     """
 
     def upsert_batch(batch, number):
@@ -31,7 +31,8 @@ def land_stream(
             table_path,
             schema,
             batch,
-            f"{staging_path}/batch={number}",
+            f"{checkpoint_path}/staging",
+            str(number),
             keys,
             update_cols,
             partition_col,
@@ -47,14 +48,13 @@ def land_stream(
     )
 
 
-def land_price_stream(spark: SparkSession, incoming: str, table_path: str, staging_path: str, checkpoint_path: str, **options):
+def land_price_stream(spark: SparkSession, incoming: str, table_path: str, checkpoint_path: str, **options):
     """Price files in bronze shape, into a table partitioned by trading month."""
     batches = spark.readStream.schema(RAW_MARKET_PRICES).parquet(incoming)
     return land_stream(
         batches,
         table_path,
         RAW_MARKET_PRICES,
-        staging_path,
         checkpoint_path,
         PRICE_KEYS,
         PRICE_UPDATES,

@@ -100,7 +100,8 @@ def land_month(spark, tmp_path, number, *rows):
         str(tmp_path / "table"),
         S.RAW_MARKET_PRICES,
         prices(spark, *rows),
-        str(tmp_path / f"staging-{number}"),
+        str(tmp_path / "staging"),
+        str(number),
         S.PRICE_KEYS,
         S.PRICE_UPDATES,
         "trade_month",
@@ -134,7 +135,7 @@ def test_land_partitions_resumes_after_a_cut_off_copy(spark, tmp_path):
 
 def test_price_stream(spark, tmp_path):
     incoming, table = str(tmp_path / "in"), str(tmp_path / "prices")
-    args = (spark, incoming, table, str(tmp_path / "staging"), str(tmp_path / "checkpoint"))
+    args = (spark, incoming, table, str(tmp_path / "checkpoint"))
     prices(spark, price(), price(dt.date(2024, 2, 1))).write.parquet(incoming)
     land_price_stream(*args).awaitTermination()
     prices(spark, price(adj="4", close="4"), price(dt.date(2024, 2, 2))).write.mode("append").parquet(incoming)
