@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import ascending, safe_ratio
+from ledgerline.functions.columns import ascending, null_if_zero, safe_ratio
 from ledgerline.operators.slicing import resolve
 from ledgerline.schemas import AVERAGE, MONEY, RETURN
 
@@ -34,16 +34,28 @@ def price_analytics(
         )
         groups = [key, "_slice"]
 
+    # A moving sum is the difference of two running sums: constant work per row, whatever the
+    # window length, and exact because the sums are decimals.
     along = Window.partitionBy(*groups).orderBy(*ascending([order]))
-    extra = {"_previous": F.lag(price).over(along)}
-    for n in windows:
-        extra[f"_avg_{n}"] = F.avg(price).over(along.rowsBetween(-(n - 1), 0))
-    windowed = rows.withColumns(extra)
+    until_now = along.rowsBetween(Window.unboundedPreceding, 0)
+    windowed = rows.withColumns(
+        {
+            "_previous": F.lag(price).over(along),
+            "_sum": F.sum(price).over(until_now),
+            "_count": F.count(price).over(until_now),
+        }
+    ).withColumns({f"_before_{n}": F.lag(F.struct("_sum", "_count"), n).over(along) for n in windows})
     if plan is not None:
         windowed = windowed.where("_own")
+
+    def average(n):
+        total = F.col("_sum") - F.coalesce(f"_before_{n}._sum", F.lit(0))
+        count = F.col("_count") - F.coalesce(f"_before_{n}._count", F.lit(0))
+        return F.round(total / null_if_zero(count), 4).cast(AVERAGE).alias(f"sma_{n}")
+
     return windowed.select(
         *names,
         safe_ratio(F.col(price) - F.col("_previous"), "_previous", 6, RETURN).alias("daily_return"),
         F.round(F.col("close_price") * F.col("volume"), 2).cast(MONEY).alias("dollar_volume"),
-        *[F.round(f"_avg_{n}", 4).cast(AVERAGE).alias(f"sma_{n}") for n in windows],
+        *[average(n) for n in windows],
     )

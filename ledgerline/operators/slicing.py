@@ -42,12 +42,15 @@ class Slicing:
         """Add ``_slice`` (0 for ordinary keys) and ``_last`` (null for ordinary keys)."""
         table = F.broadcast(self.cuts).alias("c")
         same_key = [F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in self.keys]
-        joined = df.alias("d").join(table, same_key, "left")
-        return joined.select(
-            "d.*",
-            _count_not_above(F.col("c._cuts"), order_key([F.col(f"d.{c}") for c in self.order]), self.most_cuts).alias("_slice"),
-            F.when(F.col("c._cuts").isNotNull(), F.size("c._cuts")).alias("_last"),
-        )
+        key = order_key([F.col(f"d.{c}") for c in self.order])
+        found = df.alias("d").join(table, same_key, "left").select("d.*", "c._cuts", key.alias("_key"), F.lit(0).alias("_slice"))
+        # Binary search for the number of cuts not above the row, one column per step, so that
+        # it runs in generated code. Without cuts every comparison is null and 0 remains.
+        for step in [2**i for i in reversed(range(self.most_cuts.bit_length()))]:
+            probe = F.get("_cuts", F.col("_slice") + (step - 1))
+            found = found.withColumn("_slice", F.when(probe <= F.col("_key"), F.col("_slice") + step).otherwise(F.col("_slice")))
+        last = F.when(F.col("_cuts").isNotNull(), F.size("_cuts"))
+        return found.withColumn("_last", last).drop("_cuts", "_key")
 
     def neighbours(self, rows: DataFrame, n: int, side: str) -> DataFrame:
         """For every slice of an oversized key, copies of the ``n`` rows next to it.
@@ -162,13 +165,3 @@ def order_key(cols) -> Column:
     for i, c in enumerate(cols):
         parts += [c.isNull().alias(f"n{i}"), c.alias(f"v{i}")]
     return F.struct(*parts)
-
-
-def _count_not_above(cuts: Column, key: Column, most: int) -> Column:
-    """How many of the sorted ``cuts`` are <= ``key``: a binary search, log2 steps."""
-    steps = F.array(*[F.lit(2**i) for i in reversed(range(most.bit_length()))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(F.get(cuts, at + step - 1) <= key, at + step).otherwise(at),
-    )
