@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import billions_label, currency_label, in_billions, percent
+from ledgerline.functions.columns import ascending, billions_label, currency_label, descending, in_billions, percent
 from ledgerline.operators.fundamentals import dcf_defaults, ttm_rollup
 from ledgerline.operators.history import latest_per_key
 from ledgerline.operators.valuation import dcf
@@ -47,14 +47,25 @@ def watchlist_report(companies: DataFrame, daily: DataFrame, labels: bool = Fals
     )
 
 
-def statement_history(companies: DataFrame, quarterly: DataFrame, ticker: str | None = None, chart: bool = False) -> DataFrame:
+def statement_history(
+    companies: DataFrame,
+    quarterly: DataFrame,
+    ticker: str | None = None,
+    chart: bool = False,
+    order: str = "latest",
+) -> DataFrame:
     """Statement rows per company; ``ticker`` looks one company up.
 
-    Companies without statements have no rows. ``chart=True`` adds the figures in billions.
-    An inner join: either side can be split, so one company may hold any share of the rows.
+    The rows of one company come in order: oldest first, or with ``order="reference"``
+    newest first, which is what the original page ends up showing. Rows of all companies
+    are left unsorted. Companies without statements have no rows. ``chart=True`` adds the
+    figures in billions. An inner join: either side can be split, so one company may hold
+    any share of the rows.
     """
+    if order not in ("latest", "reference"):
+        raise ValueError("order must be 'latest' or 'reference'")
     if ticker is not None:
-        companies = companies.where(F.col("ticker") == F.upper(F.lit(ticker)))
+        companies = _company(companies, ticker)
     figures = {
         "revenue": "total_revenue",
         "operating_income": "operating_income",
@@ -72,6 +83,9 @@ def statement_history(companies: DataFrame, quarterly: DataFrame, ticker: str |
         F.coalesce(percent("net_margin"), F.lit(0.0)).alias("net_margin"),
         F.coalesce(percent("return_on_equity"), F.lit(0.0)).alias("roe"),
     )
+    if ticker is not None:
+        by = ["period_end_date", "period"]
+        rows = rows.orderBy(*(ascending(by) if order == "latest" else descending(by)))
     if chart:
         rows = rows.withColumns({f"{c}_billions": in_billions(c) for c in ("revenue", "net_income", "free_cash_flow")})
     return rows
@@ -89,7 +103,7 @@ def company_page(
     The statements of the page are :func:`statement_history`.
     """
     if ticker is not None:
-        companies = companies.where(F.col("ticker") == F.upper(F.lit(ticker)))
+        companies = _company(companies, ticker)
     latest = _latest_day(daily).select("company_sk", "close_price", "daily_return", "sma_20", "sma_50")
     header = companies.join(latest, "company_sk", "left").select(
         "company_sk",
@@ -103,6 +117,11 @@ def company_page(
     return dcf(inputs)
 
 
+def _company(companies: DataFrame, ticker: str) -> DataFrame:
+    """The first company row of a ticker in any case; no row when there is none."""
+    return companies.where(F.col("ticker") == F.upper(F.lit(ticker))).orderBy(F.col("cik").asc_nulls_last()).limit(1)
+
+
 def _latest_day(daily: DataFrame) -> DataFrame:
     columns = [
         "company_sk",

@@ -94,8 +94,8 @@ def test_asof_arguments(spark):
 
 def company(spark, ticker="T", currency="USD"):
     return spark.createDataFrame(
-        [(f"sk-{ticker}", ticker, ticker, currency, "X", "I", True)],
-        "company_sk string, ticker string, company_name string, reporting_currency string, primary_exchange string, industry string, is_active boolean",
+        [(f"sk-{ticker}", ticker, None, ticker, currency, "X", "I", True)],
+        "company_sk string, ticker string, cik string, company_name string, reporting_currency string, primary_exchange string, industry string, is_active boolean",
     )
 
 
@@ -140,6 +140,18 @@ def test_statement_history_and_lookup(spark):
     assert (page["base_fcf"], page["cash"], page["total_debt"], page["current_price"]) == (1.0, 1.0, 2.0, 100.0)
 
 
+def test_statement_order_and_first_company(spark):
+    rows = [("sk-T", 2020 + i, "FY", dt.date(2020 + i, 12, 31), START, "a", *[None] * 6, None, None, None, None) for i in (1, 0, 2)]
+    quarterly = spark.createDataFrame(rows, QUARTER)
+    twice = company(spark).unionByName(company(spark))
+    assert [r["period"] for r in statement_history(twice, quarterly, ticker="T").collect()] == ["2020 FY", "2021 FY", "2022 FY"]
+    newest = statement_history(twice, quarterly, ticker="T", order="reference").collect()
+    assert [r["period"] for r in newest] == ["2022 FY", "2021 FY", "2020 FY"]
+    assert statement_history(twice, quarterly).count() == 6
+    with pytest.raises(ValueError):
+        statement_history(twice, quarterly, order="newest")
+
+
 @pytest.mark.parametrize(
     "value, digits, expected",
     [(1.005, 2, 1.0), (1.015, 2, 1.01), (0.125, 2, 0.13), (-0.125, 2, -0.13), (2.5, 0, 3.0), (1.45, 1, 1.4), (0.25, 1, 0.3), (8.345, 2, 8.35), (1234567.125, 2, 1234567.13)],
