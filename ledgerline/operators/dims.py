@@ -5,6 +5,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import surrogate_key
 
+# How a ticker's suffix decides currency and exchange, and the default industry.
+BURSA_SUFFIX = ".KL"
+BURSA_CURRENCY, BURSA_EXCHANGE = "MYR", "Bursa Malaysia"
+OTHER_CURRENCY, OTHER_EXCHANGE = "USD", "US Equities (SEC)"
+DEFAULT_INDUSTRY = "General Equity"
+
 
 def dim_company(prices: DataFrame, filings: DataFrame) -> DataFrame:
     """Every priced ticker with the entity data of its filings.
@@ -23,14 +29,14 @@ def dim_company(prices: DataFrame, filings: DataFrame) -> DataFrame:
     without = tickers.join(filings.select("ticker").distinct(), "ticker", "left_anti")
     combined = with_filing.unionByName(without, allowMissingColumns=True)
 
-    bursa = F.col("ticker").like("%.KL")
+    bursa = F.col("ticker").endswith(BURSA_SUFFIX)
     return combined.select(
         surrogate_key("ticker").alias("company_sk"),
         "ticker",
         "cik",
         F.coalesce("_name", "ticker").alias("company_name"),
-        F.when(bursa, "MYR").otherwise("USD").alias("reporting_currency"),
-        F.when(bursa, "Bursa Malaysia").otherwise("US Equities (SEC)").alias("primary_exchange"),
-        F.coalesce("_industry", F.lit("General Equity")).alias("industry"),
+        F.when(bursa, BURSA_CURRENCY).otherwise(OTHER_CURRENCY).alias("reporting_currency"),
+        F.when(bursa, BURSA_EXCHANGE).otherwise(OTHER_EXCHANGE).alias("primary_exchange"),
+        F.coalesce("_industry", F.lit(DEFAULT_INDUSTRY)).alias("industry"),
         F.lit(True).alias("is_active"),
     )
