@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ledgerline.functions.columns import ascending, null_if_zero, safe_ratio
 from ledgerline.operators.slicing import resolve
@@ -20,9 +21,12 @@ def price_analytics(
     """Add ``daily_return``, ``dollar_volume`` and one ``sma_<n>`` per window length.
 
     Moving averages run over the last ``n`` rows of the key, fewer at its start. All of
-    them share one shuffle, one sort and one window pass; an oversized key is sliced (see
-    :mod:`ledgerline.operators.slicing`).
+    them share one shuffle and one sort. With ``slicing="auto"`` a small job first looks for
+    oversized keys, which are then sliced (see :mod:`ledgerline.operators.slicing`);
+    ``rows_at_most``, a bound on the rows, can save that job.
     """
+    if not isinstance(prices.schema[price].dataType, DecimalType):
+        raise TypeError(f"{price} must be a decimal: running sums of doubles are not exact")
     plan = resolve(slicing, prices, [key], [order], rows_at_most)
     names, groups, rows = prices.columns, [key], prices
     if plan is not None:

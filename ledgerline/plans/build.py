@@ -34,7 +34,8 @@ def build(spark: SparkSession, bronze_dir: str, out_dir: str, strategy: str = "r
     steps read the written tables: nothing is computed twice, a lost executor costs at most
     one step, and no long lineage builds up. The gold fact uses the broadcast form of the
     as-of join when the statements are measured to be small, else the window form. Row counts
-    come from the file footers.
+    come from the file footers. Tables are overwritten one by one; give every run an
+    ``out_dir`` of its own where readers must not see a half-built set.
     """
     prices = spark.read.parquet(f"{bronze_dir}/raw_market_prices")
     filings = spark.read.parquet(f"{bronze_dir}/raw_sec_filings")
@@ -71,6 +72,15 @@ def build(spark: SparkSession, bronze_dir: str, out_dir: str, strategy: str = "r
     return paths
 
 
+def register_views(spark: SparkSession, paths: dict[str, str]) -> list[str]:
+    """Make built tables available to SQL, e.g. ``gold_dim_company``; returns the names."""
+    names = []
+    for name, path in paths.items():
+        names.append(name.replace("/", "_"))
+        spark.read.parquet(path).createOrReplaceTempView(names[-1])
+    return names
+
+
 def check_sources(spark: SparkSession, bronze_dir: str) -> DataFrame:
     """The not-null checks of the bronze tables, one row per checked column."""
     results = [

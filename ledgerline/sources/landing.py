@@ -44,6 +44,7 @@ def land_partitions(
     The new partitions are written to ``staging_path``, marked complete under ``run_id``, and
     then copied over the old ones. A run that was cut off while copying is repeated with the
     same ``run_id`` and only copies again; otherwise it starts over from the intact table.
+    The copy replaces partition by partition, so readers should wait for it to end.
     """
     staged, done = f"{staging_path}/rows", f"{staging_path}/done"
     marker = _read(spark, done)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.operators.upsert import upsert
-from ledgerline.plans.build import build, check_sources
+from ledgerline.plans.build import build, check_sources, register_views
 from ledgerline.session import shared_dir
 from ledgerline.sources.landed import filers, last_sessions, lookback, on_watchlist, read_filings, read_prices
 from ledgerline.sources.landing import land, land_partitions
@@ -225,6 +225,8 @@ def test_build(spark, tmp_path):
         assert tuple(seen) == (dt.date(2024, 2, 1), 33, D("1.0000"))
     assert spark.read.parquet(paths["gold/dim_company"]).count() == 2
     assert spark.read.parquet(paths["silver/market_prices"]).columns[-5] != "ingested_at"
+    assert "gold_dim_company" in register_views(spark, paths)
+    assert spark.sql("select count(*) from gold_fact_daily_market_valuation join gold_dim_company using (company_sk)").first()[0] == 120
     assert check_sources(spark, bronze).where("should_error").count() == 0
     assert check_sources(spark, bronze).count() == 4
 
