@@ -76,7 +76,7 @@ def _window_form(left, right, on, left_time, right_time, tiebreak, slicing, rows
         order.append("_spread")
         rows = plan.assign(events)
         known = rows.where(F.col("_side") == 0).select(*on, *order, "_row", "_slice", "_last")
-        rows = rows.drop("_last").unionByName(plan.neighbours(known, 1, "before"), allowMissingColumns=True)
+        rows = rows.drop("_last").unionByName(plan.neighbours(known, 1, "before", order), allowMissingColumns=True)
         groups = [*on, "_slice"]
 
     so_far = Window.partitionBy(*groups).orderBy(*ascending(order)).rowsBetween(Window.unboundedPreceding, 0)

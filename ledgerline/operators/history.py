@@ -41,7 +41,7 @@ def scd2(
     groups, rows = list(keys), facts
     if plan is not None:
         sliced = plan.assign(facts)
-        following = plan.neighbours(sliced.select(*keys, *order, "_slice", "_last"), 1, "after")
+        following = plan.neighbours(sliced.select(*keys, *order, "_slice", "_last"), 1, "after", order)
         rows = sliced.drop("_last").withColumn("_own", F.lit(True)).unionByName(
             following.withColumn("_own", F.lit(False)), allowMissingColumns=True
         )

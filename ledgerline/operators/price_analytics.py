@@ -32,7 +32,7 @@ def price_analytics(
     if plan is not None:
         sliced = plan.assign(prices)
         reach = max([2, *windows]) - 1
-        lead_in = plan.neighbours(sliced.select(key, order, price, "_slice", "_last"), reach, "before")
+        lead_in = plan.neighbours(sliced.select(key, order, price, "_slice", "_last"), reach, "before", [order])
         rows = sliced.drop("_last").withColumn("_own", F.lit(True)).unionByName(
             lead_in.withColumn("_own", F.lit(False)), allowMissingColumns=True
         )
@@ -48,13 +48,13 @@ def price_analytics(
             "_sum": F.sum(price).over(until_now),
             "_count": F.count(price).over(until_now),
         }
-    ).withColumns({f"_before_{n}": F.lag(F.struct("_sum", "_count"), n).over(along) for n in windows})
+    ).withColumns({f"{total}_{n}": F.lag(total, n).over(along) for n in windows for total in ("_sum", "_count")})
     if plan is not None:
         windowed = windowed.where("_own")
 
     def average(n):
-        total = F.col("_sum") - F.coalesce(f"_before_{n}._sum", F.lit(0))
-        count = F.col("_count") - F.coalesce(f"_before_{n}._count", F.lit(0))
+        total = F.when(F.col(f"_count_{n}") > 0, F.col("_sum") - F.col(f"_sum_{n}")).otherwise(F.col("_sum"))
+        count = F.col("_count") - F.coalesce(f"_count_{n}", F.lit(0))
         return F.round(total / null_if_zero(count), 4).cast(AVERAGE).alias(f"sma_{n}")
 
     return windowed.select(

@@ -14,7 +14,7 @@ plain one-shuffle window.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +31,12 @@ MAX_GROUPS_CONF = "spark.ledgerline.maxGroups"
 
 @dataclass(frozen=True)
 class Slicing:
-    """Cut points of the oversized keys: (keys, ``_cuts`` array of ordered structs)."""
+    """Cut points of the oversized keys: (keys, ``_cuts`` array of ordered structs).
+
+    Any cut points give right results, they only have to be the same everywhere. So a slicing
+    measured on a cheap superset of the rows (a base table) or with fewer order columns serves
+    as well; ``order`` names the columns of the frame it is assigned to.
+    """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
@@ -52,16 +57,17 @@ class Slicing:
         last = F.when(F.col("_cuts").isNotNull(), F.size("_cuts"))
         return found.withColumn("_last", last).drop("_cuts", "_key")
 
-    def neighbours(self, rows: DataFrame, n: int, side: str) -> DataFrame:
+    def neighbours(self, rows: DataFrame, n: int, side: str, order) -> DataFrame:
         """For every slice of an oversized key, copies of the ``n`` rows next to it.
 
-        ``rows`` has been through :meth:`assign`. ``side`` is ``"before"`` or ``"after"``.
+        ``rows`` has been through :meth:`assign`; ``order`` is the full order of the window,
+        which begins with the order of the slices. ``side`` is ``"before"`` or ``"after"``.
         A slice's neighbours may come from several other slices when those are short.
         """
         before = side == "before"
         step = F.col("_slice") if before else -F.col("_slice")
         final = F.col("_last") if before else F.lit(0)
-        nearest_first = descending(self.order) if before else ascending(self.order)
+        nearest_first = descending(order) if before else ascending(order)
         names = [c for c in rows.columns if c not in ("_slice", "_last", *self.keys)]
 
         # At most n rows per slice leave the map side (row_number <= n is a group limit).
@@ -156,7 +162,9 @@ def resolve(slicing, df, keys, order, rows_at_most=None):
         if slicing != "auto":
             raise ValueError(f"slicing must be 'auto', None or a Slicing, not {slicing!r}")
         return measure(df, keys, order, rows_at_most=rows_at_most)
-    return slicing
+    if slicing is None:
+        return None
+    return replace(slicing, order=tuple(order[: len(slicing.order)]))
 
 
 def order_key(cols) -> Column:

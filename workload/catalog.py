@@ -11,6 +11,7 @@ from ledgerline.operators.fundamentals import financial_ratios, pivot_facts, qua
 from ledgerline.operators.history import current_versions, latest_per_key, scd2
 from ledgerline.operators.price_analytics import price_analytics
 from ledgerline.operators.quality import expect_not_null, expect_unique
+from ledgerline.operators.slicing import measure
 from ledgerline.operators.staging import extract_facts, stage_prices
 from ledgerline.operators.upsert import upsert
 from ledgerline.operators.valuation import dcf, dcf_projections, dcf_scenarios
@@ -26,8 +27,20 @@ def _staged(spark, d):
     return stage_prices(W.px_raw(spark, d))
 
 
+def _price_slicing(spark, d):
+    """From the base table, which is cheaper than from the prices derived from it."""
+    return measure(W.price_keys(spark, d), ["ticker"], ["trade_date"], rows_at_most=W.row_bound(spark, d, "lineitem"))
+
+
+def _asof_slicing(spark, d):
+    """From the base tables of both sides."""
+    facts = W.facts_raw(spark, d).select("ticker", F.col("filed_date").alias("trade_date"))
+    both = W.price_keys(spark, d).unionByName(facts)
+    return measure(both, ["ticker"], ["trade_date"], rows_at_most=W.row_bound(spark, d, "lineitem", "orders"))
+
+
 def _silver(spark, d):
-    return price_analytics(_staged(spark, d), rows_at_most=W.row_bound(spark, d, "lineitem"))
+    return price_analytics(_staged(spark, d), slicing=_price_slicing(spark, d))
 
 
 def _versions(spark, d):
@@ -43,7 +56,7 @@ def _dim(spark, d):
 
 
 def _daily(spark, d):
-    return daily_valuation(_silver(spark, d), _quarterly(spark, d), rows_at_most=W.row_bound(spark, d, "lineitem", "orders"))
+    return daily_valuation(_silver(spark, d), _quarterly(spark, d), slicing=_asof_slicing(spark, d))
 
 
 def _asof(strategy):
@@ -60,7 +73,7 @@ def _asof(strategy):
             "filing_date",
             tiebreak=("period_end_date", "fiscal_year", "fiscal_period"),
             strategy=strategy,
-            rows_at_most=W.row_bound(spark, d, "lineitem", "orders"),
+            slicing=_asof_slicing(spark, d) if strategy == "window" else None,
         )
 
     return query
