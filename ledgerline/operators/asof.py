@@ -55,7 +55,8 @@ def _window_form(left, right, on, left_time, right_time, tiebreak, slicing, rows
     ties = [f"_tie{i}" for i in range(len(tiebreak))]
     probes = left.withColumns({"_at": F.col(left_time), "_side": F.lit(1)})
     # Left rows of one key and time may be cut anywhere, so their content extends the order.
-    spread = F.xxhash64(*left.columns)
+    plain = [f.name for f in left.schema if isinstance(f.dataType, T.AtomicType)]
+    spread = F.xxhash64(*plain)
     known = right.select(
         *on,
         F.col(right_time).alias("_at"),
@@ -64,7 +65,10 @@ def _window_form(left, right, on, left_time, right_time, tiebreak, slicing, rows
         F.struct(*values).alias("_row"),
     )
     order = ["_at", "_side", *ties]
-    events = probes.withColumn("_spread", spread).unionByName(known, allowMissingColumns=True)
+
+    def events():
+        return probes.withColumn("_spread", spread).unionByName(known, allowMissingColumns=True)
+
     plan = resolve(slicing, events, on, [*order, "_spread"], rows_at_most)
     if plan is None:
         # When the left side is already partitioned by its key (it comes out of a window over
@@ -74,7 +78,7 @@ def _window_form(left, right, on, left_time, right_time, tiebreak, slicing, rows
         groups = list(on)
     else:
         order.append("_spread")
-        rows = plan.assign(events)
+        rows = plan.assign(events())
         known = rows.where(F.col("_side") == 0).select(*on, *order, "_row", "_slice", "_last")
         rows = rows.drop("_last").unionByName(plan.neighbours(known, 1, "before", order), allowMissingColumns=True)
         groups = [*on, "_slice"]

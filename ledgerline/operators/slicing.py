@@ -157,11 +157,12 @@ def measure(
 
 
 def resolve(slicing, df, keys, order, rows_at_most=None):
-    """``"auto"`` measures ``df``; ``None`` or a :class:`Slicing` is taken as given."""
+    """``"auto"`` measures ``df`` (a frame, or a function that makes it); ``None`` or a
+    :class:`Slicing` is taken as given."""
     if isinstance(slicing, str):
         if slicing != "auto":
             raise ValueError(f"slicing must be 'auto', None or a Slicing, not {slicing!r}")
-        return measure(df, keys, order, rows_at_most=rows_at_most)
+        return measure(df() if callable(df) else df, keys, order, rows_at_most=rows_at_most)
     if slicing is None:
         return None
     return replace(slicing, order=tuple(order[: len(slicing.order)]))

@@ -1,8 +1,8 @@
 """Incremental landing: new files in a folder are upserted as they arrive."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ledgerline.plans.ingest import trade_month
 from ledgerline.schemas import PRICE_KEYS, PRICE_UPDATES, RAW_MARKET_PRICES
 from ledgerline.sources.landing import land_partitions
 
@@ -59,6 +59,6 @@ def land_price_stream(spark: SparkSession, incoming: str, table_path: str, check
         PRICE_KEYS,
         PRICE_UPDATES,
         "trade_month",
-        F.date_format("trade_date", "yyyy-MM"),
+        trade_month(),
         **options,
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas as S
 from ledgerline.operators.upsert import upsert
 from ledgerline.plans.build import build, check_sources, register_views
+from ledgerline.plans.ingest import ingest_filings, ingest_prices
 from ledgerline.session import shared_dir
 from ledgerline.sources.landed import filers, last_sessions, lookback, on_watchlist, read_filings, read_prices
 from ledgerline.sources.landing import land, land_partitions
@@ -233,3 +234,31 @@ def test_build(spark, tmp_path):
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_ingest_then_build(spark, tmp_path):
+    bronze, work = str(tmp_path / "bronze"), str(tmp_path / "work")
+    landed, documents = tmp_path / "landed", tmp_path / "documents"
+    landed.mkdir()
+    documents.mkdir()
+    (landed / "day1.csv").write_text(f"{HEADER}\ngoogl,2024-01-31,1,1,1,1,1,5\n1155.kl,2024-01-31,2,2,2,2,2,5\nother,2024-01-31,2,2,2,2,2,5\n")
+    node = {"form": "10-K", "fy": 2023, "fp": "FY", "filed": "2024-02-01", "end": "2023-12-31", "val": 100, "accn": "x"}
+    (documents / "CIK0001652044.json").write_text(
+        json.dumps({"entityName": "Alphabet", "facts": {"us-gaap": {"Revenues": {"units": {"USD": [node]}}}}}, indent=1)
+    )
+    prices_path, filings_path = f"{bronze}/raw_market_prices", f"{bronze}/raw_sec_filings"
+    assert ingest_prices(spark, str(landed), prices_path, f"{work}/prices", "1", "csv", watchlist=watchlist(spark)) == 2
+    (landed / "day1.csv").write_text(f"{HEADER}\ngoogl,2024-01-31,9,9,9,9,7,5\ngoogl,2024-02-01,3,3,3,3,3,5\n")
+    assert ingest_prices(spark, str(landed), prices_path, f"{work}/prices", "2", "csv", watchlist=watchlist(spark)) == 2
+    for run in ("1", "2"):
+        assert ingest_filings(spark, str(documents), filings_path, f"{work}/filings", run, watchlist(spark)) == 1
+    assert spark.read.parquet(filings_path).count() == 1
+    (landed / "day1.csv").write_text(f"{HEADER}\nother,2024-01-31,9,9,9,9,7,5\n")
+    assert ingest_prices(spark, str(landed), prices_path, f"{work}/prices", "3", "csv", watchlist=watchlist(spark)) == 0
+    daily = spark.read.parquet(build(spark, bronze, str(tmp_path / "out"))["gold/fact_daily_market_valuation"])
+    rows = {(r["ticker"], str(r["trade_date"])): (r["close_price"], r["adj_close"], r["total_revenue"]) for r in daily.collect()}
+    assert rows == {
+        ("1155.KL", "2024-01-31"): (D("2.0000"), D("2.0000"), None),
+        ("GOOGL", "2024-01-31"): (D("1.0000"), D("7.0000"), None),
+        ("GOOGL", "2024-02-01"): (D("3.0000"), D("3.0000"), D("100.00")),
+    }
