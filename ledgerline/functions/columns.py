@@ -10,6 +10,11 @@ def surrogate_key(*cols):
     return F.md5(F.concat_ws("||", *[_col(c).cast("string") for c in cols]))
 
 
+def company_key(ticker="ticker"):
+    """md5 of the ticker; null for a null ticker."""
+    return F.md5(_col(ticker).cast("string"))
+
+
 def zfill(col, width=10):
     """Left-pad with zeros without cutting longer values."""
     text = _col(col).cast("string")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import surrogate_key
+from ledgerline.functions.columns import company_key
 
 # How a ticker's suffix decides currency and exchange, and the default industry.
 BURSA_SUFFIX = ".KL"
@@ -31,7 +31,7 @@ def dim_company(prices: DataFrame, filings: DataFrame) -> DataFrame:
 
     bursa = F.col("ticker").endswith(BURSA_SUFFIX)
     return combined.select(
-        surrogate_key("ticker").alias("company_sk"),
+        company_key("ticker").alias("company_sk"),
         "ticker",
         "cik",
         F.coalesce("_name", "ticker").alias("company_name"),

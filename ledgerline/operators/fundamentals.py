@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import ascending, descending, safe_ratio, surrogate_key
+from ledgerline.functions.columns import ascending, company_key, descending, safe_ratio, surrogate_key
 from ledgerline.schemas import AMOUNT, MONEY, RATIO, STATEMENT_COLUMNS
 
 # Valuation defaults of the company page.
@@ -38,7 +38,7 @@ def financial_ratios(statements: DataFrame) -> DataFrame:
     zero = F.lit(0).cast(AMOUNT)
     return statements.select(
         surrogate_key("ticker", "fiscal_year", "fiscal_period").alias("financial_sk"),
-        surrogate_key("ticker").alias("company_sk"),
+        company_key("ticker").alias("company_sk"),
         "ticker",
         "fiscal_year",
         "fiscal_period",

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import safe_ratio, surrogate_key
+from ledgerline.functions.columns import company_key, safe_ratio, surrogate_key
 from ledgerline.operators.asof import asof_join
 from ledgerline.schemas import RETURN
 
@@ -54,7 +54,7 @@ def daily_valuation(
     )
     return joined.select(
         surrogate_key("ticker", "trade_date").alias("valuation_sk"),
-        surrogate_key("ticker").alias("company_sk"),
+        company_key("ticker").alias("company_sk"),
         *market.columns,
         "latest_filed_year",
         "latest_filed_period",

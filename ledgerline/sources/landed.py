@@ -25,12 +25,13 @@ VENDOR_SCHEMA = T.StructType(
 def read_prices(spark: SparkSession, path: str, fmt: str = "parquet", ticker: str | None = None) -> DataFrame:
     """Read landed vendor history files (``parquet``, ``csv`` with header, or ``json`` lines).
 
-    ``ticker`` names the asset when the files have no ``Ticker`` column.
+    ``ticker`` names the asset when the files have no ``Ticker`` column. Parquet files may
+    differ in their optional columns; CSV files with differing headers are refused.
     """
     if fmt == "parquet":
-        return shape_prices(spark.read.parquet(path), ticker)
+        return shape_prices(spark.read.option("mergeSchema", True).parquet(path), ticker)
     if fmt == "csv":
-        return shape_prices(spark.read.option("header", True).csv(path), ticker)
+        return shape_prices(spark.read.option("header", True).option("enforceSchema", False).csv(path), ticker)
     if fmt == "json":
         # Declared, so that the files are not read once more to infer types.
         raw = spark.read.schema(VENDOR_SCHEMA).json(path)

@@ -179,6 +179,20 @@ def test_read_parquet_for_one_ticker(spark, tmp_path):
         read_prices(spark, path, "xlsx")
 
 
+def test_files_with_differing_columns(spark, tmp_path):
+    csv, parquet = tmp_path / "csv", str(tmp_path / "parquet")
+    csv.mkdir()
+    (csv / "a.csv").write_text(f"{HEADER}\nA,2024-01-05,1,1,1,1,1,5\n")
+    (csv / "b.csv").write_text(f"Volume,{HEADER.removesuffix(',Volume')}\n5,B,2024-01-05,1,1,1,1,1\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_prices(spark, str(csv), "csv").collect()
+    base = "select 'A' as Ticker, date'2024-01-05' as Date, 1d as Open, 1d as High, 1d as Low, 1d as Close, 1d as `Adj Close`, 7d as Volume"
+    spark.sql(base).write.parquet(f"{parquet}/1")
+    spark.sql(f"{base}, 0.5d as Dividends").write.parquet(f"{parquet}/2")
+    rows = read_prices(spark, f"{parquet}/*").collect()
+    assert sorted(str(r["dividend_amount"]) for r in rows) == ["0.5000", "None"]
+
+
 def watchlist(spark):
     return spark.createDataFrame([("1155.KL", None), ("googl", "1652044")], S.WATCHLIST)
 

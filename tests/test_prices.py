@@ -5,7 +5,7 @@ from decimal import Decimal as D
 
 import pytest
 
-from ledgerline.functions.columns import billions_label, currency_label, in_billions, surrogate_key, to_fixed, zfill
+from ledgerline.functions.columns import billions_label, company_key, currency_label, in_billions, surrogate_key, to_fixed, zfill
 from ledgerline.operators.asof import asof_join
 from ledgerline.operators.price_analytics import price_analytics
 from ledgerline.operators.staging import stage_prices
@@ -179,3 +179,4 @@ def test_zfill_and_keys(spark):
     rows = df.select(zfill("x"), surrogate_key("y", "z")).collect()
     assert [r[0] for r in rows] == ["0000000123", "123456789012"]
     assert rows[0][1] == df.selectExpr("md5('a')").first()[0]
+    assert df.select(company_key("z")).first()[0] is None
