@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import duck, rows_of_duck, rows_of_spark, types_of_duck
+from workload.catalog import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SPARK_TYPE = {"VARCHAR": "string", "INTEGER": "int", "HUGEINT": "bigint"}
@@ -19,11 +20,11 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(queries()) & set(oracle_sql())
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, connection, name):
     df = queries()[name](spark, SF_DIR)
     sql = oracle_sql()[name]
