@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.text import SPACED_WORD
+from ledgerline.session import shared_dir
 
 #: Sources up to which their totals are broadcast.
 BROADCAST_SOURCES = 10_000
@@ -59,13 +60,25 @@ def _class(size: Column) -> Column:
     return F.when(bits <= 5, size).otherwise(bits * 16 + F.expr("shiftright(size, cast(length(bin(size)) as int) - 5)") % 16)
 
 
-def mix(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 7, slot_rows: int = 20_000, doc: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """Per document: ``id, source, size, source_size, target, copies``, and ``row``, the document with all its columns."""
+def _sized(documents: DataFrame, doc: str, text: str, source: str, *more: Column) -> DataFrame:
     key = F.md5(F.concat_ws("|", F.coalesce(F.col(doc).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")))))
-    docs = documents.select(F.col(doc).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), key.alias("key"), F.struct(*[documents[c] for c in documents.columns]).alias("row")).withColumn("class", _class(F.col("size")).cast("int"))
+    # generated, not projected: the words are counted once, however often the size is used
+    return documents.select(F.col(doc).alias("id"), F.col(source).alias("source"), key.alias("key"), *more, F.explode(F.array(word_count(F.col(text)))).alias("size")).withColumn("class", _class(F.col("size")).cast("int"))
+
+
+def mix(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 7, slot_rows: int = 2_000, with_rows: bool = False, doc: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """Per document: ``id, source, size, source_size, target, copies``, and with ``with_rows`` also ``row``, the document with all its columns.
+
+    Sizes are written once below the shared folder; texts are read again only for ``row``.
+    """
+    spark, folder = documents.sparkSession, shared_dir(documents.sparkSession, "sizes")
+    sized = _sized(documents, doc, text, source)
+    sized.write.parquet(folder)
+    sizes = spark.read.schema(sized.schema).parquet(folder)
+    docs = _sized(documents, doc, text, source, F.struct(*[documents[c] for c in documents.columns]).alias("row")) if with_rows else sizes
     hashed = F.conv(F.substring("key", 1, 12), 16, 10).cast("long")
 
-    classes = docs.groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    classes = sizes.groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     targets = source_targets(classes.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     earlier = Window.partitionBy("source").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
     classes = classes.withColumn("class_start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumn("slots", F.ceil(F.col("n") / slot_rows))
@@ -75,15 +88,17 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
     # at most some five hundred classes a source
     known = F.broadcast(plan) if targets.count() <= BROADCAST_SOURCES else plan
 
-    placed = docs.join(known, docs["source"].eqNullSafe(F.col("s")) & (docs["class"] == F.col("c"))).withColumn("slot", F.pmod(hashed, F.col("slots")))
-    slots = placed.groupBy("s", "c", "slot").agg(F.count("*").alias("n"))
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(known, rows["source"].eqNullSafe(F.col("s")) & (rows["class"] == F.col("c"))).withColumn("slot", F.pmod(hashed, F.col("slots")))
+
+    slots = placed(sizes).groupBy("s", "c", "slot").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("s", "c").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = slots.select(F.col("s").alias("s2"), F.col("c").alias("c2"), F.col("slot").alias("slot2"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("slot_start"))
-    ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy("s", "c", "slot").orderBy("size", "key")))
+    ranked = placed(docs).withColumn("rank", F.row_number().over(Window.partitionBy("s", "c", "slot").orderBy("size", "key")))
     nth = F.col("class_start") + F.col("slot_start") + F.col("rank")
     crossed = F.floor(F.col("offset") + nth * F.col("expected")) - F.floor(F.col("offset") + (nth - 1) * F.col("expected"))
     joined = ranked.join(starts, F.col("s").eqNullSafe(F.col("s2")) & (F.col("c") == F.col("c2")) & (F.col("slot") == F.col("slot2")))
-    return joined.select("id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", crossed.cast("long").alias("copies"), "row")
+    return joined.select("id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", crossed.cast("long").alias("copies"), *(["row"] if with_rows else []))
 
 
 def emit(documents: DataFrame, seed: int = 7, doc: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -91,5 +106,5 @@ def emit(documents: DataFrame, seed: int = 7, doc: str = "doc_id", text: str = "
 
     A column that is already called ``copy`` is replaced.
     """
-    taken = mix(documents, seed=seed, doc=doc, text=text, source=source).filter("copies > 0")
+    taken = mix(documents, seed=seed, with_rows=True, doc=doc, text=text, source=source).filter("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select(*[F.col("row")[c].alias(c) for c in documents.columns if c != "copy"], "copy")

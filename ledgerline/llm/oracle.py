@@ -57,7 +57,7 @@ targets as (select t.source, cast(t.source_size as bigint) as source_size, least
 classed as (
   select *, case when length(bin(size)) <= 5 then size else length(bin(size)) * 16 + (size >> (length(bin(size)) - 5)) % 16 end as class from docs),
 slotted as (
-  select *, ('0x' || substr(key, 1, 12))::bigint % cast(ceil(count(*) over (partition by source, class) / 20000.0) as bigint) as slot from classed),
+  select *, ('0x' || substr(key, 1, 12))::bigint % cast(ceil(count(*) over (partition by source, class) / 2000.0) as bigint) as slot from classed),
 ranked as (
   select s.doc_id, s.size, t.source_size, t.target,
     row_number() over (partition by s.source order by class, slot, size, key) as nth,
