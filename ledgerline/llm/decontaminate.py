@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.text import ascii_lower, null_safe, text_key
+from ledgerline.session import shared_dir
 
 #: Everything between words of a lower-cased text, and of one as written.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -80,7 +81,9 @@ def hits(documents: DataFrame, windows: DataFrame, doc: str = "doc_id", text: st
 
 def contamination(documents: DataFrame, benchmark: DataFrame, n: int = 10, doc: str = "doc_id", text: str = "text", broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """Per document: ``id, key, n_words, n_hit`` (words inside any window) and ``items``, the sorted ids of the items found."""
-    places = hits(documents, benchmark_windows(benchmark, n), doc, text, broadcast_windows)
+    folder = shared_dir(documents.sparkSession, "hits")
+    hits(documents, benchmark_windows(benchmark, n), doc, text, broadcast_windows).write.parquet(folder)
+    places = documents.sparkSession.read.parquet(folder)
     reach = F.col("at") + F.col("size")
     earlier = Window.partitionBy("id", "key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     spans = places.groupBy("id", "key", "at").agg(F.max("size").alias("size")).withColumn("covered", F.max(reach).over(earlier))
