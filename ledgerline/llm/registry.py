@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, line_runs, mixing, url_filter, warc
+from ledgerline.llm import ann, decontaminate, line_runs, mixing, pii, quality, secrets, url_filter, warc
 from ledgerline.session import shared_dir
 
 
@@ -38,6 +38,28 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = secrets.span_digest(documents, secrets.secret_spans(documents), secrets.ORDER, list(secrets.BASE))
+    return found.select(F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.MultiIndex(vectors).search(vectors.filter("vec_id % 50 = 0"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = secrets.span_digest(documents, pii.pii_spans(documents), pii.ORDER, list(pii.BASE))
+    return found.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), (quality.bucket(F.col("row.doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 #: Fixed by the query's contract: verdict, host, beginning of the path.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 #: Hosts whose URLs the query lists: a label that begins with one of these words.
@@ -58,7 +80,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_line_dedup": op2_line_dedup,
     "op4_decontaminate": op4_decontaminate,
+    "op5_secrets": op5_secrets,
     "op6_mix_sources": op6_mix_sources,
+    "op7_nearest": op7_nearest,
+    "op8_pii": op8_pii,
+    "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
 }
 
