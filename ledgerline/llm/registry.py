@@ -1,11 +1,12 @@
 """One query per operator over its whole tables, and their SQL."""
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, decontaminate, line_runs, mixing, pii, quality, secrets, url_filter, warc
+from ledgerline.llm import ann, decontaminate, jaccard_join, line_runs, mixing, pii, quality, secrets, url_filter, warc
 from ledgerline.session import shared_dir
 
 
@@ -28,6 +29,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three words and a similarity of 0.9, as the query's contract says."""
+    found = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=Fraction(9, 10))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -79,6 +86,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_line_dedup": op2_line_dedup,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
     "op5_secrets": op5_secrets,
     "op6_mix_sources": op6_mix_sources,
