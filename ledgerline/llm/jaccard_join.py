@@ -10,13 +10,15 @@ distance 1 from all of them, so every window reaches everywhere.)
 radius ``r`` only the first ``|x| - ceil((1 - r) |x|) + 1`` pivots of ``x`` matter, and the document is
 replicated to exactly those regions. Two sets within ``r`` have their first common pivot in both windows.
 
-**Document pivots.** In every home region one document becomes a pivot of its own: all members
-are compared with it (and with those of the next two regions), which joins large groups of
-near copies by a star of links instead of all pairs. Regions whose members are all connected by then are done.
+**Document pivots.** In every region the document with the fewest pivots before this one becomes a pivot
+itself, and all members are compared with it, which joins large groups of near copies by a star of
+links instead of all pairs. Regions whose members are all connected by then are done.
 
 **Recursion.** In the other regions only members outside the largest connected part are compared with the
-rest. A region that is still large is divided again by the next common pivot, which has to lie in
-the window as well, one place longer for each pivot shared before; this goes on ``LEVELS`` deep.
+rest, and only in the first region two sets share. Large regions are cut into blocks; two blocks are
+joined recursively in the metric space of histograms: a member is the pivot, those within the median
+distance are divided from those beyond, and both sides of a window around the border are replicated
+into a third and fourth part. Where a window holds nearly everything, the parts are compared as they are.
 
 **Candidates** pass two bounds that hold for every pair within the radius - sizes, and the distance between
 histograms of their shingles, which never exceeds the symmetric difference - before the whole sets
@@ -33,6 +35,7 @@ from collections.abc import Callable
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,13 +52,13 @@ ORDERINGS = 2
 MAP_BITS = 22
 #: Buckets of the histograms.
 BUCKETS = 128
-#: Homes whose document pivots a set is compared with.
-HOMES = 3
 #: Rows of keys that are broadcast; beyond, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
-#: Pairs left to compare beyond which a region is divided by the next common pivot, and how often.
-PAIRS = 50_000
-LEVELS = 3
+#: Pairs left to compare beyond which a region is joined in blocks, and the members of a block.
+PAIRS = 2_000
+BLOCK = 1_024
+#: Pairs of histograms that are compared at once.
+AT_ONCE = 1 << 16
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -127,7 +130,7 @@ def _described(words: int, similarity: Fraction, common: np.ndarray) -> Callable
                 sizes.append(n)
                 marks = found.view(np.int64)
                 signatures.append(_signature(found))
-                windows.append(ordered(found, common)[: min(n, window(n, similarity) + LEVELS - 1)].view(np.int64))
+                windows.append(ordered(found, common)[: min(n, window(n, similarity))].view(np.int64))
                 histograms.append(np.minimum(np.bincount((marks & (BUCKETS - 1)), minlength=BUCKETS), 32767).astype(">i2").tobytes() if n else b"")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(windows, pa.list_(pa.int64())), pa.array(histograms, pa.binary())],
@@ -147,6 +150,60 @@ def _close(a: Column, b: Column, similarity: Fraction) -> Column:
     return (F.least(a, b) * similarity.denominator >= F.greatest(a, b) * similarity.numerator)
 
 
+def metric_pairs(left: np.ndarray, right: np.ndarray, histograms: np.ndarray, radius: int):
+    """Index pairs, one of ``left`` and one of ``right``, whose histograms are within ``radius``, by recursive division.
+
+    Distances are sums of absolute differences, for which the triangle inequality holds.
+    """
+    work = [(left, right)]
+    while work:
+        a, b = work.pop()
+        if not len(a) or not len(b):
+            continue
+        if len(a) * len(b) > AT_ONCE:
+            pivot = histograms[a[len(a) // 2]]
+            da, db = np.abs(histograms[a] - pivot).sum(1), np.abs(histograms[b] - pivot).sum(1)
+            border = np.median(np.concatenate((da, db)))
+            parts = [
+                (a[da <= border], b[db <= border]),
+                (a[da > border], b[db > border]),
+                (a[(da <= border) & (da >= border - radius)], b[(db > border) & (db <= border + radius)]),
+                (a[(da > border) & (da <= border + radius)], b[(db <= border) & (db >= border - radius)]),
+            ]
+            if sum(len(x) * len(y) for x, y in parts) < 0.9 * len(a) * len(b):
+                work.extend(parts)
+                continue
+        step = max(1, AT_ONCE // len(b))
+        for k in range(0, len(a), step):
+            some = a[k : k + step]
+            x, y = np.nonzero(np.abs(histograms[some][:, None] - histograms[b][None]).sum(2, dtype=np.int32) <= radius)
+            yield some[x], b[y]
+
+
+def _block_pairs(similarity: Fraction) -> Callable:
+    s = similarity
+
+    def pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = key[1:]
+        n, part, minor, block = (rows[c].to_numpy() for c in ("n", "part", "minor", "block"))
+        histograms = np.frombuffer(b"".join(rows["histogram"]), ">i2").reshape(-1, BUCKETS).astype(np.int16)
+        found = []
+        radius = 2 * int(n.max()) * (s.denominator - s.numerator) // (s.denominator + s.numerator)
+        earlier = [set(x) for x in rows["earlier"]]
+        c = rows["c"].tolist()
+        for x, y in metric_pairs(np.flatnonzero(block == i), np.flatnonzero(block == j), histograms, radius):
+            total, apart = n[x] + n[y], np.abs(histograms[x] - histograms[y]).sum(1, dtype=np.int64)
+            right = (part[x] != part[y]) & (minor[x] | minor[y]) & (apart * (s.denominator + s.numerator) <= total * (s.denominator - s.numerator))
+            if i == j:
+                right &= x < y
+            for k, m in zip(x[right], y[right]):
+                if earlier[k].isdisjoint(earlier[m]):
+                    found.append((min(c[k], c[m]), max(c[k], c[m])))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return pairs
+
+
 class JaccardJoin:
     """One join. Its tables are written below one folder, which cuts the lineage for lost executors."""
 
@@ -179,6 +236,11 @@ class JaccardJoin:
     def _window(self) -> Column:
         return F.col("n") - F.ceil(F.col("n") * self.similarity.numerator / self.similarity.denominator) + 1
 
+    def _possible(self, at: Column, other_at: Column, n: Column, other_n: Column) -> Column:
+        """Whether two sets can be within the radius: at their first common pivot, what stands before is in one of them only."""
+        s = self.similarity
+        return (at + other_at) * (s.denominator + s.numerator) <= (n + other_n) * (s.denominator - s.numerator)
+
     def _sent(self, df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
         """A written table of one or two narrow columns, broadcast if it is counted to be small enough."""
         return F.broadcast(df) if df.count() <= rows else df
@@ -258,54 +320,44 @@ class JaccardJoin:
         met = self._kept(self._entries(classes).groupBy("pivot").agg(F.count("*").alias("m")).filter("m > 1").select("pivot"), "met")
         entries = self._kept(self._entries(classes).join(self._sent(met), "pivot", "left_semi"), "entries")
 
-        homes = entries.filter(F.col("at") < HOMES)
-        centre = homes.groupBy("pivot").agg(F.min(F.struct("c", "n")).alias("p")).select("pivot", F.col("p.c").alias("b"), F.col("p.n").alias("bn"))
-        stars = homes.join(self._kept(centre, "centres"), "pivot").filter((F.col("c") != F.col("b")) & _close(F.col("n"), F.col("bn"), self.similarity))
+        # the centre of a region is the member with the fewest pivots before it, which has the fewest shingles of its own
+        centre = entries.groupBy("pivot").agg(F.min(F.struct("at", "c", "n")).alias("p")).select("pivot", F.col("p.c").alias("b"), F.col("p.n").alias("bn"), F.col("p.at").alias("bat"))
+        met_centre = entries.join(self._kept(centre, "centres"), "pivot").filter((F.col("c") != F.col("b")) & _close(F.col("n"), F.col("bn"), self.similarity))
+        stars = met_centre.filter(self._possible(F.col("at"), F.col("bat"), F.col("n"), F.col("bn")))
         star_links = self._verified(stars.select(F.least("c", "b").alias("a"), F.greatest("c", "b").alias("b")), classes, "star")
 
         parts = self._kept(components(star_links), "parts").withColumnRenamed("node", "pc")
         known = entries.join(parts, F.col("c") == F.col("pc"), "left").select("pivot", "at", "c", "n", F.coalesce("component", "c").alias("part"))
         known = self._kept(known, "known")
-        rest = self._verified(self._region_pairs(self._open(known.withColumn("region", F.array("pivot"))), classes), classes, "rest")
+        rest = self._verified(self._region_pairs(self._open(known), classes), classes, "rest")
         return self._kept(star_links.unionByName(rest).distinct(), "links")
 
     def _open(self, known: DataFrame) -> DataFrame:
         """The members of regions that more than one connected part meets in, with the pairs left to compare there."""
-        sizes = known.groupBy("region", "part").agg(F.count("*").alias("m"))
-        regions = sizes.groupBy("region").agg(F.count("*").alias("parts"), F.sum("m").alias("members"), F.max(F.struct("m", "part")).alias("main")).filter("parts > 1")
-        regions = self._kept(regions.select("region", (F.col("members") * (F.col("members") - F.col("main.m"))).alias("left"), F.col("main.part").alias("main")), "regions")
-        return self._kept(known.join(regions, "region").select("region", "at", "c", "n", "part", "left", (F.col("part") != F.col("main")).alias("minor")), "open")
+        sizes = known.groupBy("pivot", "part").agg(F.count("*").alias("m"))
+        regions = sizes.groupBy("pivot").agg(F.count("*").alias("parts"), F.sum("m").alias("members"), F.max(F.struct("m", "part")).alias("main")).filter("parts > 1")
+        regions = self._kept(regions.select("pivot", "members", (F.col("members") * (F.col("members") - F.col("main.m"))).alias("left"), F.col("main.part").alias("main")), "regions")
+        return self._kept(known.join(regions, "pivot").select("pivot", "at", "c", "n", "part", "members", "left", (F.col("part") != F.col("main")).alias("minor")), "open")
 
     def _region_pairs(self, regions: DataFrame, classes: DataFrame) -> DataFrame:
-        """Candidate pairs of the open regions, those with many divided by the next common pivot."""
-        pairs, level = [], 1
-        while level < LEVELS:
-            large = regions.filter(F.col("left") > PAIRS)
-            pairs.append(self._pairs(regions.filter(F.col("left") <= PAIRS)))
-            wins = classes.select(F.col("c").alias("wc"), "win")
-            deeper = large.join(wins, F.col("c") == F.col("wc"))
-            # the next common pivot lies behind the last one and at most one place further than the window before
-            reach = F.least(self._window() + level, F.size("win"))
-            after = F.slice("win", F.col("at") + 2, F.greatest(F.lit(0), (reach - F.col("at") - 1)).cast("int"))
-            divided = deeper.select("region", "at", "c", "n", "part", F.posexplode(after).alias("step", "next")).select(F.concat("region", F.array("next")).alias("region"), (F.col("at") + F.col("step") + 1).alias("at"), "c", "n", "part")
-            regions = self._open(self._kept(divided, f"divided-{level}"))
-            level += 1
-        pairs.append(self._pairs(regions))
-        found = pairs[0]
-        for more in pairs[1:]:
-            found = found.unionByName(more)
-        return found
+        """Candidate pairs of the open regions: small ones by a join, large ones cut into blocks, every two of which are one task's work."""
+        small = self._pairs(regions.filter(F.col("left") <= PAIRS))
+        large = regions.filter(F.col("left") > PAIRS).join(classes.select(F.col("c").alias("wc"), "win", "histogram"), F.col("c") == F.col("wc"))
+        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+        own = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+        placed = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        met = placed.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c", "n", "at", "part", "minor", F.slice("win", F.lit(1), F.col("at")).alias("earlier"), "histogram")
+        near = met.groupBy("pivot", "i", "j").applyInPandas(_block_pairs(self.similarity), "a binary, b binary")
+        return small.unionByName(near)
 
     def _pairs(self, regions: DataFrame) -> DataFrame:
         """Members outside the main part against all others of their region that are not connected with them yet."""
         s = self.similarity
-        x = regions.filter("minor").select("region", F.col("c").alias("x"), F.col("n").alias("xn"), F.col("at").alias("xat"), F.col("part").alias("xpart"))
-        y = regions.select("region", F.col("c").alias("y"), F.col("n").alias("yn"), F.col("at").alias("yat"), F.col("part").alias("ypart"), "minor")
-        # what two sets share from here on bounds their intersection at their first common pivot
-        shared = F.size("region") + F.least(F.col("xn") - F.col("xat"), F.col("yn") - F.col("yat")) - 1
-        enough = shared * (s.denominator + s.numerator) >= (F.col("xn") + F.col("yn")) * s.numerator
+        x = regions.filter("minor").select("pivot", F.col("c").alias("x"), F.col("n").alias("xn"), F.col("at").alias("xat"), F.col("part").alias("xpart"))
+        y = regions.select("pivot", F.col("c").alias("y"), F.col("n").alias("yn"), F.col("at").alias("yat"), F.col("part").alias("ypart"), "minor")
+        enough = self._possible(F.col("xat"), F.col("yat"), F.col("xn"), F.col("yn"))
         once = ~F.col("minor") | (F.col("x") < F.col("y"))
-        met = x.join(y, "region").filter((F.col("xpart") != F.col("ypart")) & once & _close(F.col("xn"), F.col("yn"), s) & enough)
+        met = x.join(y, "pivot").filter((F.col("xpart") != F.col("ypart")) & once & _close(F.col("xn"), F.col("yn"), s) & enough)
         return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
     def groups(self) -> DataFrame:
