@@ -1,18 +1,31 @@
 """The training-data pipeline: stages over ``documents``, each written and read again by the next."""
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, line_runs, mixing
+from ledgerline.llm import decontaminate, jaccard_join, line_runs, mixing, quality
 from ledgerline.session import shared_dir
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score stays below the threshold go; the labels are those of the whole tables."""
+    scored = quality.scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=docs.columns)
+    return scored.filter(F.col("score") >= quality.THRESHOLD).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go; ``n_chars`` follows the text."""
     kept = line_runs.without_frequent_lines(docs)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles with a similarity of 0.8 or more, the smallest id stays."""
+    return jaccard_join.keep_one(docs, words=5, similarity=Fraction(4, 5))
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -23,7 +36,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", drop_low_quality),
     ("line_dedup", drop_repeated_lines),
+    ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("mix", mix_sources),
 ]
