@@ -71,8 +71,9 @@ def hits(documents: DataFrame, windows: DataFrame, doc: str = "doc_id", text: st
         start = F.col("at") + 1
     sizes = F.array(*[F.lit(s) for s in totals.sizes or [0]])
     spans = found.select("id", "key", "at", "words", F.explode(sizes).alias("size")).select("id", "key", "at", "size", F.slice("words", start, F.col("size")).alias("window"))
+    whole = spans.filter(F.size("window") == F.col("size"))  # at its end a text has no window of every size
     return (
-        spans.withColumn("hash", F.xxhash64("window"))
+        whole.withColumn("hash", F.xxhash64("window"))
         .join(sent(windows.select(F.col("hash"), F.col("window").alias("listed"), "item")), "hash")
         .filter(F.col("window") == F.col("listed"))
         .select("id", "key", "at", "size", "item")
