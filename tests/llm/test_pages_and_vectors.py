@@ -1,0 +1,274 @@
+"""WARC archives, URL filters, nearest neighbours and the quality classifier."""
+
+import gzip
+import hashlib
+import os
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import ann, quality, url_filter, warc
+from ledgerline.llm.registry import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+needs_data = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
+
+
+# ---- WARC
+
+
+def archived(spark, pages, folder):
+    first = warc.originals(warc.payload_headers(pages))
+    first.write.parquet(f"{folder}/first")
+    warc.write_archives(pages, spark.read.parquet(f"{folder}/first"), f"{folder}/archives")
+    return warc.read_archives(spark, f"{folder}/archives")
+
+
+BIG = "<p>é" + "x" * 200 + "</p>"
+TRICKY = "a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n" * 5 + "end\r\n\r\n"
+PAGES = [
+    (3, "http://a/", BIG),
+    (1, "http://b/", BIG),
+    (2, None, BIG),
+    (4, "http://c/", "short"),
+    (5, "http://d/", "short"),
+    (6, "http://e/\r\nX: y", None),
+    (7, "http://f/", ""),
+    (8, "http://g/", TRICKY),
+    (9, "http://h/", TRICKY),
+    (10, "http://i/", TRICKY[:-4]),
+    (1, "http://b2/", BIG),
+    (None, "http://j/", "y" * 150),
+    (11, "http://k/", "z" * 3_000_000),
+]
+
+
+def test_archives_round_trip_and_revisits_resolve(spark, tmp_path):
+    pages = spark.createDataFrame([(*p, "extra") for p in PAGES], "page_id long, url string, html string, digest string")
+    records = archived(spark, pages, str(tmp_path))
+    records.write.parquet(f"{tmp_path}/records")
+    records = spark.read.parquet(f"{tmp_path}/records")
+    payloads = {r.id: bytes(r.payload) for r in records.filter("record_type = 'response'").collect()}
+    assert payloads["8"] == TRICKY.encode()
+    assert payloads["10"] == TRICKY[:-4].encode()
+    assert payloads["6"] == b""
+    found = Counter((r.id, r.record_type, r.refers_to, r.digest, r.payload_bytes) for r in warc.resolve(records).collect())
+    expected = Counter()
+    for page, _, html in PAGES:
+        body = (html or "").encode()
+        same = [p for p, _, h in PAGES if (h or "").encode() == body and p is not None]
+        revisit = len(body) >= 100 and page is not None and page != min(same)
+        expected[(None if page is None else str(page), "revisit" if revisit else "response", str(min(same)) if revisit else None, hashlib.sha256(body).hexdigest(), len(body))] += 1
+    assert found == expected
+    assert len({r.record_id for r in records.collect()}) >= len(PAGES) - 1
+
+
+def test_archives_are_plain_warc(spark, tmp_path):
+    archived(spark, spark.createDataFrame(PAGES, "page_id long, url string, html string"), str(tmp_path))
+    text = b"".join(gzip.decompress(p.read_bytes()) for p in sorted(Path(tmp_path, "archives").glob("*.gz")))
+    seen = 0
+    while text:
+        head, _, rest = text.partition(b"\r\n\r\n")
+        assert head.startswith(b"WARC/1.1\r\n")
+        fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
+        length = int(fields[b"Content-Length"])
+        assert rest[length : length + 4] == b"\r\n\r\n"
+        if fields[b"WARC-Type"] == b"revisit":
+            assert fields[b"WARC-Profile"].endswith(b"identical-payload-digest")
+        text, seen = rest[length + 4 :], seen + 1
+    assert seen == len(PAGES)
+
+
+def test_concatenated_gzip_members_are_read(spark, tmp_path):
+    def record(k, body):
+        return f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:{k}>\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+    (tmp_path / "foreign.warc.gz").write_bytes(b"".join(gzip.compress(record(k, b"body\r\n\r\n" * k)) for k in range(5)))
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted((r.record_id, r.payload_bytes) for r in rows) == [(f"<urn:x:{k}>", 8 * k) for k in range(5)]
+
+
+def test_cut_archive_and_wrong_digest_fail(spark, tmp_path):
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "a.warc.gz").write_bytes(gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 50\r\n\r\nshort\r\n\r\n"))
+    with pytest.raises(Exception, match="ends within a record"):
+        warc.read_archives(spark, str(tmp_path / "cut")).collect()
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "a.warc.gz").write_bytes(gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Payload-Digest: sha256:00\r\nContent-Length: 1\r\n\r\nx\r\n\r\n"))
+    with pytest.raises(Exception, match="does not match"):
+        warc.read_archives(spark, str(tmp_path / "bad")).collect()
+
+
+def test_no_pages(spark, tmp_path):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert warc.originals(warc.payload_headers(pages)).count() == 0
+    assert archived(spark, pages, str(tmp_path)).count() == 0
+
+
+# ---- URL filters
+
+
+def test_host_path_and_canonical(spark):
+    urls = ["HTTP://User@Www.Ex.COM:80/A/index.html?utm_source=x&b=2&a=1#f", "ftp://x", "no scheme/at?all", "a://b?c://d/e", "://", None, "", "http://É.org/é.html", "http://h#frag/p", "http://m.x.com//"]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string")
+    u = F.col("url")
+    got = [tuple(r) for r in rows.select(url_filter.host(u), url_filter.path(u), url_filter.canonical(u)).collect()]
+    assert got == [
+        ("user@www.ex.com:80", "/A/index.html", "user@www.ex.com/A?a=1&b=2"),
+        ("x", "", "x"),
+        ("", "", None),
+        ("b", "", "b?c://d/e"),
+        ("", "", None),
+        ("", "", None),
+        ("", "", None),
+        ("É.org", "/é.html", "É.org/é"),
+        ("h", "", "h"),
+        ("m.x.com", "//", "x.com/"),
+    ]
+
+
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("block", "deep.sub.org", ""), ("allow", "twice.net", "/a"), ("block", "twice.net", "/a")]
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_verdicts_equal_plain_rules(spark, monkeypatch, most):
+    monkeypatch.setattr(url_filter, "BROADCAST_BLOCKS", most)
+    urls = [f"http://{h}{p}" for h in ("example.org", "www.example.org", "notexample.org", "org", "x.deep.sub.org", "twice.net", "other.com", "org.com", "") for p in ("", "/", "/es/", "/es", "/en/1", "/en/123?q", "/a#b", "/en/2")]
+    urls += [None, "plain", "HTTP://EXAMPLE.ORG/ES/", urls[3], "http://listed.com/x.html?utm_a=1"]
+    pages = spark.createDataFrame([(k, u, "r") for k, u in enumerate(urls)], "page_id long, url string, rule string")
+    listed = spark.createDataFrame([("listed.com/x",), ("listed.com/x",), (None,)], "canonical string")
+    got = {r.row.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, spark.createDataFrame(RULES, "verdict string, host string, path string"), listed).collect()}
+    assert len(got) == len(urls)
+    for k, u in enumerate(urls):
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+        host, path = rest[:cut].lower(), rest[cut:].split("?")[0].split("#")[0]
+        fits = sorted(((len(h + p), v, h + p) for v, h, p in RULES if u and (host == h or host.endswith("." + h)) and path.startswith(p)), reverse=True)
+        expected = (fits[0][2], "block" if any(f[2] == fits[0][2] and f[1] == "block" for f in fits) else "allow") if fits else (None, "block" if u and "listed.com" in u else "allow")
+        assert got[k] == expected, u
+
+
+def test_bloom_filter_misses_nothing_and_lets_few_pass(spark):
+    listed = spark.range(5000).select(F.concat(F.lit("in"), "id").alias("key"))
+    probes = listed.unionByName(spark.range(20000).select(F.concat(F.lit("out"), "id").alias("key")))
+    passed = url_filter.possible_hits(probes, listed, "key")
+    assert passed.filter("key like 'in%'").count() == 5000
+    assert passed.filter("key like 'out%'").count() < 2000
+
+
+def test_no_rules_no_list_no_pages(spark):
+    rules = spark.createDataFrame([], "verdict string, host string, path string")
+    listed = spark.createDataFrame([], "canonical string")
+    pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
+    assert [r.verdict for r in url_filter.judge(pages, rules, listed).collect()] == ["allow"]
+    assert url_filter.judge(pages.limit(0), rules, listed).count() == 0
+
+
+# ---- nearest neighbours
+
+
+def exact(rows, queries, k=5):
+    usable = [(i, np.array(v, float)) for i, v in rows if i is not None and v and len(v) == 6 and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = {}
+    for q, v in usable:
+        if q in queries:
+            found = sorted((-float(v @ w / np.linalg.norm(v) / np.linalg.norm(w)), i) for i, w in usable if i != q)
+            out[q] = [(i, -s) for s, i in found[:k]]
+    return out
+
+
+def test_small_tables_are_searched_whole(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(k), [float(x) for x in rng.normal(size=6)]) for k in range(60)]
+    rows += [(100 + k, rows[0][1]) for k in range(20)] + [(200, None), (201, []), (202, [0.0] * 6), (203, [1.0] * 5 + [float("nan")]), (204, [1.0] * 5 + [None]), (205, [1.0, 2.0]), (206, [float("inf")] * 6), (None, rows[1][1])]
+    rows += [rows[3]]
+    vectors = spark.createDataFrame([(i, v, 1.0) for i, v in rows], "vec_id long, embedding array<double>, score double")
+    index = ann.MultiIndex(vectors)
+    found = {}
+    for r in index.search(vectors.filter("vec_id % 10 = 0")).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(found[r.query_id])
+    expected = exact(list({r[0]: r for r in rows}.values()), {i for i, _ in rows if i is not None and i % 10 == 0})
+    assert set(found) == set(expected)
+    reached = sum(len({i for i, _ in found[q]} & {i for i, _ in expected[q]}) for q in expected)
+    assert reached >= 0.9 * sum(map(len, expected.values()))
+    assert [i for i, _ in found[100]] == [0, 101, 102, 103, 104]
+    for q in found:
+        assert [s for _, s in found[q]] == sorted((s for _, s in found[q]), reverse=True)
+
+
+def test_few_or_no_vectors(spark):
+    vectors = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    assert [(r.vec_id, round(r.score, 6)) for r in ann.MultiIndex(vectors).search(vectors.filter("vec_id = 0")).collect()] == [(1, 0.707107)]
+    assert ann.MultiIndex(vectors.limit(0)).search(vectors).count() == 0
+
+
+@needs_data
+def test_recall_over_the_embeddings(spark):
+    data = "/root/testdata/sf0.1"
+    found = {}
+    for r in QUERIES["op7_nearest"](spark, data).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    rows = spark.read.parquet(f"{data}/embeddings.parquet").toPandas()
+    matrix = np.array(rows["embedding"].tolist(), float)
+    units, ids = matrix / np.linalg.norm(matrix, axis=1, keepdims=True), rows["vec_id"].to_numpy()
+    right = total = 0
+    for n in np.flatnonzero(ids % 50 == 0):
+        score = units @ units[n]
+        score[n] = -2
+        best = set(ids[np.lexsort((ids, -score))[:5]].tolist())
+        right, total = right + len(best & found[int(ids[n])]), total + 5
+    assert right / total >= 0.9
+
+
+def test_cells_come_by_rising_distance():
+    rng = np.random.default_rng(0)
+    a, b, sizes = rng.random(7), rng.random(9), np.ones(63, int)
+    order = ann.cells_in_order(a, b, sizes, 63)
+    sums = [a[c // 9] + b[c % 9] for c in order]
+    assert len(set(order)) == 63
+    assert sums == sorted(sums)
+    assert len(ann.cells_in_order(a, b, sizes, 5)) == 5
+
+
+# ---- quality
+
+
+@needs_data
+def test_held_out_accuracy(spark):
+    data = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{data}/labels.parquet").select("doc_id", "quality")
+    rows = QUERIES["op9_quality"](spark, data).join(labels, "doc_id").filter("held_out").collect()
+    bad, good = [r for r in rows if r.quality == 0], [r for r in rows if r.quality == 1]
+    assert sum(r.predicted == r.quality for r in rows) / len(rows) >= 0.9
+    assert sum(r.predicted == 0 for r in bad) / len(bad) >= 0.7
+    assert sum(r.predicted == 1 for r in good) / len(good) >= 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_isotonic_is_monotone_and_keeps_totals():
+    good, count = [1, 0, 3, 2, 9, 4], [4, 2, 4, 5, 10, 4]
+    shares = quality.isotonic(good, count)
+    assert shares == sorted(shares)
+    assert sum(s * n for s, n in zip(shares, count)) == pytest.approx(sum(good))
+
+
+def test_odd_texts_and_missing_labels(spark):
+    docs = spark.createDataFrame([(1, None, 9), (2, "", 9), (3, " \n\t", 9), (4, "é " * 100_000, 9), (None, "text", 9), (1, "other text", 9)], "doc_id long, text string, quality int")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert [r.score for r in quality.scores(docs, labels).collect()] == [0.5] * 6
+    labels = spark.createDataFrame([(1, 1), (2, None), (4, 0), (4, 1), (99, 1)], "doc_id long, quality int")
+    rows = quality.scores(docs, labels, keep=docs.columns).collect()
+    assert len(rows) == 6
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert quality.scores(docs.limit(0), labels).count() == 0
+
+
+def test_statistics_have_names_and_are_finite():
+    for text in (b"", b"a", b"A!! B!! C!!", "é ü | x".encode(), b"x" * 10**6, b"w w w w\nw w"):
+        found = quality.statistics(text)
+        assert len(found) == len(quality.STATISTICS)
+        assert np.isfinite(found).all()
