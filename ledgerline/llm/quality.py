@@ -192,14 +192,16 @@ def scores(documents: DataFrame, labels: DataFrame, keep: list[str] | None = Non
     spark = documents.sparkSession
     folder = shared_dir(spark, "quality")
     keep = keep or [doc]
-    described = describe(documents, keep, text)
+    described = describe(documents, [doc] if text in keep else keep, text)
     described.write.parquet(f"{folder}/statistics")
     written = spark.read.schema(described.schema).parquet(f"{folder}/statistics")
     model = fit(written, labels, doc)
+    # texts are not written with the statistics; where they are wanted, the statistics are made once more
+    rows = describe(documents, keep, text) if text in keep else written
     if model is None:
-        return written.select("row", F.lit(0.5).alias("score"))
+        return rows.select("row", F.lit(0.5).alias("score"))
     mapped, weights, edges, shares = model
-    row = written.schema["row"].dataType.simpleString()
-    raw = written.mapInArrow(_scored(mapped, weights), f"row {row}, raw double")
+    kind = rows.schema["row"].dataType.simpleString()
+    raw = rows.mapInArrow(_scored(mapped, weights), f"row {kind}, raw double")
     table = F.lit(0.0) + _calibrated(F.col("raw"), edges, shares)
     return raw.select("row", F.least(F.lit(1.0), F.greatest(F.lit(0.0), table)).alias("score"))
