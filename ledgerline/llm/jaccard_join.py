@@ -47,7 +47,7 @@ from ledgerline.session import shared_dir
 SPACE = b" \t\n\x0b\x0c\r"
 #: Sets in a region beyond which its pivot goes to the end of the order, and rounds of ordering.
 COMMON = 24
-ORDERINGS = 2
+ORDERINGS = 1
 #: Bits of the map of common pivots; a shingle that shares its place with a common one is moved too, which is harmless.
 MAP_BITS = 22
 #: Buckets of the histograms.
@@ -120,21 +120,29 @@ def window(size: int, similarity: Fraction) -> int:
     return size - -(-size * similarity.numerator // similarity.denominator) + 1 if size else 0
 
 
+def _signed(words: int) -> Callable:
+    def sign(batches):
+        for batch in batches:
+            found = [shingles(x.as_py(), words) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array([_signature(x) for x in found], pa.binary())], names=["row", "n", "c"])
+
+    return sign
+
+
 def _described(words: int, similarity: Fraction, common: np.ndarray) -> Callable:
     def describe(batches):
         for batch in batches:
-            sizes, signatures, windows, histograms = [], [], [], []
-            for text in batch.column(1):
+            signatures, sizes, windows, histograms = [], [], [], []
+            for text in batch.column(0):
                 found = shingles(text.as_py(), words)
                 n = len(found)
-                sizes.append(n)
-                marks = found.view(np.int64)
                 signatures.append(_signature(found))
-                windows.append(ordered(found, common)[: min(n, window(n, similarity))].view(np.int64))
-                histograms.append(np.minimum(np.bincount((marks & (BUCKETS - 1)), minlength=BUCKETS), 32767).astype(">i2").tobytes() if n else b"")
+                sizes.append(n)
+                windows.append(ordered(found, common)[: window(n, similarity)].view(np.int64))
+                histograms.append(np.minimum(np.bincount(found.view(np.int64) & (BUCKETS - 1), minlength=BUCKETS), 32767).astype(">i2").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(windows, pa.list_(pa.int64())), pa.array(histograms, pa.binary())],
-                names=["row", "n", "signature", "win", "histogram"],
+                [pa.array(signatures, pa.binary()), pa.array(sizes, pa.int64()), pa.array(windows, pa.list_(pa.int64())), pa.array(histograms, pa.binary())],
+                names=["c", "n", "win", "histogram"],
             )
 
     return describe
@@ -218,9 +226,13 @@ class JaccardJoin:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _sets(self, common: np.ndarray) -> DataFrame:
-        describe = _described(self.words, self.similarity, common)
-        return self.texts.mapInArrow(describe, f"row struct<id:{self.kind},key:bigint>, n long, signature binary, win array<long>, histogram binary")
+    def _texts_of(self, rows: DataFrame) -> DataFrame:
+        """The texts of some rows, given by ``id`` and ``key`` in a written table."""
+        wanted = self._sent(rows)
+        return self.texts.join(wanted, self.texts["row.id"].eqNullSafe(wanted["id"]) & (self.texts["row.key"] == wanted["key"]), "left_semi")
+
+    def _described(self, texts: DataFrame, common: np.ndarray) -> DataFrame:
+        return texts.select("text").mapInArrow(_described(self.words, self.similarity, common), "c binary, n long, win array<long>, histogram binary")
 
     def _common(self, classes: DataFrame, common: np.ndarray) -> np.ndarray:
         """Adds the pivots of crowded regions to the map; its size is fixed, whatever the data."""
@@ -252,15 +264,23 @@ class JaccardJoin:
         return classes.filter(can_differ).select("c", "n", F.posexplode(F.slice("win", F.lit(1), F.least(self._window(), F.size("win")).cast("int"))).alias("at", "pivot"))
 
     def classes(self) -> tuple[DataFrame, DataFrame]:
-        """``members`` (``id, key, n, c``) and the distinct non-empty ``classes`` (``c, n, win, histogram``), in the final order of pivots."""
+        """``members`` (``id, key, n, c``) and the distinct non-empty ``classes`` (``c, n, win, histogram``), in the final order of pivots.
+
+        Sets are told apart by their signatures first; windows are made from the text of one member of each class.
+        """
+        signed = self.texts.mapInArrow(_signed(self.words), f"row struct<id:{self.kind},key:bigint>, n long, c binary")
+        members = self._kept(signed.select("row.id", "row.key", "n", "c"), "members")
+        first = members.filter("n > 0").groupBy("c").agg(F.min(F.struct("id", "key")).alias("row"))
+        self.first = self._kept(first.select("c", "row.id", "row.key"), "first")
+        texts = self._texts_of(self.first.select("id", "key"))
+        # rows that repeat both id and text would be described more than once
+        repeated = members.groupBy("id", "key").agg(F.count("*").alias("m")).filter("m > 1").limit(1).count() > 0
         common = np.zeros(0, bool)
         for _ in range(ORDERINGS):
-            common = self._common(self._distinct(self._sets(common)), common)
-        sets = self._kept(self._sets(common), "sets")
-        return sets.select("row.id", "row.key", "n", F.col("signature").alias("c")), self._kept(self._distinct(sets), "classes")
-
-    def _distinct(self, sets: DataFrame) -> DataFrame:
-        return sets.filter("n > 0").groupBy(F.col("signature").alias("c")).agg(F.any_value("n").alias("n"), F.any_value("win").alias("win"), F.any_value("histogram").alias("histogram"))
+            found = self._described(texts, common)
+            common = self._common(found.dropDuplicates(["c"]) if repeated else found, common)
+        found = self._described(texts, common)
+        return members, self._kept(found.dropDuplicates(["c"]) if repeated else found, "classes")
 
     def _verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
         """Of candidate pairs ``a, b`` of classes those within the radius: histograms first, then whole sets."""
@@ -301,18 +321,15 @@ class JaccardJoin:
 
     def _full(self, wanted: DataFrame) -> DataFrame:
         """``c, found``: the whole sets of some classes, made again from the text of one member each."""
-        some = self.members.filter("n > 0").groupBy("c").agg(F.min("id").alias("one")).join(wanted, F.col("c") == F.col("w"), "left_semi")
         words = self.words
 
         def whole(batches):
             for batch in batches:
-                found = [shingles(x.as_py(), words) for x in batch.column(1)]
+                found = [shingles(x.as_py(), words) for x in batch.column(0)]
                 yield pa.RecordBatch.from_arrays([pa.array([_signature(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], names=["c", "found"])
 
-        some = self._sent(self._kept(some.select("one"), "wanted"))
-        texts = self.texts.join(some, self.texts["row.id"].eqNullSafe(some["one"]), "left_semi").mapInArrow(whole, "c binary, found binary")
-        # an id that is repeated with other texts makes sets that nobody asked for, or one set several times
-        return texts.dropDuplicates(["c"]).join(wanted, F.col("c") == F.col("w"), "left_semi")
+        some = self._kept(self.first.join(wanted, F.col("c") == F.col("w"), "left_semi").select("id", "key"), "wanted")
+        return self._texts_of(some).select("text").mapInArrow(whole, "c binary, found binary").dropDuplicates(["c"])
 
     def links(self) -> DataFrame:
         """``a, b``: links between classes, enough for all connections (not every pair within a connected group)."""
