@@ -131,6 +131,19 @@ def _scored(mapped: Map, weights: np.ndarray):
     return score
 
 
+def _described_and_scored(mapped: Map, weights: np.ndarray, text: str, at_once: int = 1000):
+    """Scores whole documents that carry their text themselves, a slice of a batch at a time, so that texts are held once."""
+
+    def score(batches):
+        for batch in batches:
+            for first in range(0, batch.num_rows, at_once):
+                rows = batch.column(0).slice(first, at_once)
+                found = np.array([statistics((x.as_py() or "").encode()) for x in rows.field(text)], np.float64)
+                yield pa.RecordBatch.from_arrays([rows, pa.array(mapped(found) @ weights)], names=["row", "raw"])
+
+    return score
+
+
 def isotonic(good: list[float], count: list[float]) -> list[float]:
     """The monotone shares nearest to ``good / count``, by pooling neighbours that fall."""
     pools: list[list[float]] = []
@@ -197,11 +210,11 @@ def scores(documents: DataFrame, labels: DataFrame, keep: list[str] | None = Non
     written = spark.read.schema(described.schema).parquet(f"{folder}/statistics")
     model = fit(written, labels, doc)
     # texts are not written with the statistics; where they are wanted, the statistics are made once more
-    rows = describe(documents, keep, text) if text in keep else written
+    rows = documents.select(F.struct(*[documents[c] for c in keep]).alias("row")) if text in keep else written
     if model is None:
         return rows.select("row", F.lit(0.5).alias("score"))
     mapped, weights, edges, shares = model
-    kind = rows.schema["row"].dataType.simpleString()
-    raw = rows.mapInArrow(_scored(mapped, weights), f"row {kind}, raw double")
+    scored = _described_and_scored(mapped, weights, text) if text in keep else _scored(mapped, weights)
+    raw = rows.mapInArrow(scored, f"row {rows.schema['row'].dataType.simpleString()}, raw double")
     table = F.lit(0.0) + _calibrated(F.col("raw"), edges, shares)
     return raw.select("row", F.least(F.lit(1.0), F.greatest(F.lit(0.0), table)).alias("score"))
