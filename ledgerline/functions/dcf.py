@@ -21,45 +21,9 @@ def grown_flows(df: DataFrame, base: str, growth: str) -> DataFrame:
 
 
 def with_discount_factors(df: DataFrame, rate: str) -> DataFrame:
-    """Add ``_df1 .. _df5``, the powers of ``1 + rate``.
-
-    ``pow`` may differ in the last bit between JVMs and processors, which shows when a
-    figure is a rounding tie. Here each power is a plain product plus its own rounding
-    error, which gives the correctly rounded power everywhere. The products stay short
-    expressions of ``1 + rate``, so nothing nests. They come out of a one-element
-    ``inline``: a filter on a result is then not pushed below them, which would copy the
-    whole expression into the filter once per use.
-    """
-    df = df.withColumn("_df1", F.lit(1.0) + F.col(rate))
-    x = F.col("_df1")
-    x2 = x * x
-    x3 = x2 * x
-    x4 = x2 * x2
-    x5 = x4 * x
-    df = df.withColumn("_rest2", _product_error(x, x))
-    df = df.withColumns(
-        {
-            "_rest3": _product_error(x2, x) + F.col("_rest2") * x,
-            "_rest4": _product_error(x2, x2) + F.lit(2.0) * x2 * F.col("_rest2"),
-        }
-    )
-    df = df.withColumn("_rest5", _product_error(x4, x) + F.col("_rest4") * x)
-    powers = F.struct(*[(plain + F.col(f"_rest{y}")).alias(f"_df{y}") for y, plain in ((2, x2), (3, x3), (4, x4), (5, x5))])
-    return df.select("*", F.inline(F.array(powers))).drop("_rest2", "_rest3", "_rest4", "_rest5")
-
-
-def _product_error(a: Column, b: Column) -> Column:
-    """What rounding cuts off ``a * b``, exactly (Dekker)."""
-    a_top, a_rest = _halves(a)
-    b_top, b_rest = _halves(b)
-    return ((a_top * b_top - a * b) + a_top * b_rest + a_rest * b_top) + a_rest * b_rest
-
-
-def _halves(value: Column) -> tuple[Column, Column]:
-    """A double as the sum of two with half the digits."""
-    scaled = F.lit(134217729.0) * value
-    top = scaled - (scaled - value)
-    return top, value - top
+    """Add ``_df1 .. _df5``, the powers of ``1 + rate``."""
+    one_plus = F.lit(1.0) + F.col(rate)
+    return df.withColumns({f"_df{y}": F.pow(one_plus, F.lit(float(y))) for y in range(1, YEARS + 1)})
 
 
 def present_values(df: DataFrame, rate: str, terminal_growth: str, cash: str, debt: str) -> DataFrame:

@@ -15,19 +15,19 @@ DEFAULT_INDUSTRY = "General Equity"
 def dim_company(prices: DataFrame, filings: DataFrame) -> DataFrame:
     """Every priced ticker with the entity data of its filings.
 
-    A ticker with several filing rows appears once per row; ``expect_unique`` on
-    ``company_sk`` reports that. The left join is written as matches plus non-matches:
-    both parts keep the filing side splittable, so a ticker with very many filings does
-    not end in one task (an outer join cannot split its optional side).
+    Filings that say the same of a ticker count once, before the join, so many documents of
+    one company do not multiply it. Only filings that differ in what they say give a ticker
+    several rows; ``expect_unique`` on ``company_sk`` reports that. Each input is read once,
+    and both sides of the join are small by then.
     """
     tickers = prices.select("ticker").distinct()
     entity = F.from_json("payload", "entityName string, sicDescription string")
-    entities = filings.select("ticker", "cik", entity.alias("_entity")).select(
-        "ticker", "cik", F.col("_entity.entityName").alias("_name"), F.col("_entity.sicDescription").alias("_industry")
+    entities = (
+        filings.select("ticker", "cik", entity.alias("_entity"))
+        .select("ticker", "cik", F.col("_entity.entityName").alias("_name"), F.col("_entity.sicDescription").alias("_industry"))
+        .distinct()
     )
-    with_filing = entities.join(tickers, "ticker")
-    without = tickers.join(filings.select("ticker").distinct(), "ticker", "left_anti")
-    combined = with_filing.unionByName(without, allowMissingColumns=True)
+    combined = tickers.join(entities, "ticker", "left")
 
     bursa = F.col("ticker").endswith(BURSA_SUFFIX)
     return combined.select(

@@ -29,7 +29,7 @@ def extract_facts(
     taxonomy: str = "us-gaap",
     unit: str = "USD",
     periods=FISCAL_PERIODS,
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
     payload: str = "payload",
 ) -> DataFrame:
     """Flatten nested filing documents to one typed, distinct row per reported fact.
@@ -37,14 +37,11 @@ def extract_facts(
     Only the wanted tags and unit are declared, so one streaming pass over each document
     skips everything else without building it. Amounts are declared as decimals: the parser
     then takes their digits as written, while a number read as text would pass through a
-    double. ``mode="FAILFAST"`` rejects malformed documents; by default they give no rows.
+    double. A malformed document - cut off, a scalar where facts should be, an amount that is
+    no number or too large - fails the job. ``mode="PERMISSIVE"`` lets such documents lose
+    facts instead; ``rejected_filings`` names them.
     """
-    texts = [T.StructField(n, T.StringType()) for n in ("form", "fy", "fp", "filed", "start", "end", "accn")]
-    fact = T.StructType([*texts, T.StructField("val", MONEY)])
-    by_unit = T.StructType([T.StructField(unit, T.ArrayType(fact))])
-    by_tag = T.StructType([T.StructField(tag, T.StructType([T.StructField("units", by_unit)])) for tag in tags])
-    document = T.StructType([T.StructField("facts", T.StructType([T.StructField(taxonomy, by_tag)]))])
-
+    document = _document(tags, taxonomy, unit)
     parsed = filings.select("ticker", "cik", F.from_json(payload, document, {"mode": mode}).alias("doc"))
     body = F.col("doc.facts").getField(taxonomy)
     per_tag = [F.struct(F.lit(t).alias("gaap_tag"), body.getField(t).getField("units").getField(unit).alias("facts")) for t in tags]
@@ -67,3 +64,19 @@ def extract_facts(
         )
         .distinct()
     )
+
+
+def rejected_filings(filings: DataFrame, tags=GAAP_TAGS, taxonomy: str = "us-gaap", unit: str = "USD", payload: str = "payload") -> DataFrame:
+    """The filings that :func:`extract_facts` refuses, with all their columns."""
+    document = _document(tags, taxonomy, unit).add("_corrupt", T.StringType())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = F.from_json(payload, document, options)
+    return filings.where(F.col(payload).isNotNull() & (parsed.isNull() | parsed.getField("_corrupt").isNotNull()))
+
+
+def _document(tags, taxonomy: str, unit: str) -> T.StructType:
+    texts = [T.StructField(n, T.StringType()) for n in ("form", "fy", "fp", "filed", "start", "end", "accn")]
+    fact = T.StructType([*texts, T.StructField("val", MONEY)])
+    by_unit = T.StructType([T.StructField(unit, T.ArrayType(fact))])
+    by_tag = T.StructType([T.StructField(tag, T.StructType([T.StructField("units", by_unit)])) for tag in tags])
+    return T.StructType([T.StructField("facts", T.StructType([T.StructField(taxonomy, by_tag)]))])

@@ -25,7 +25,7 @@ def upsert(
 
     A batch must not hold a key twice: the running job fails if it does, unless
     ``latest_by`` names the columns by which the last duplicate is kept. The check shares
-    the shuffle of the join.
+    the shuffle of the join and filters its rows, so it runs whatever is selected later.
     """
     keys = list(keys)
     now = F.current_timestamp() if touched_at is None else touched_at
@@ -40,11 +40,10 @@ def upsert(
     checked = (
         keyed.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(F.lit(True).alias("_present"), *values)).alias("_new"))
-        .withColumn(
-            "_new",
-            F.when(F.col("_n") == 1, F.col("_new")).otherwise(
-                F.raise_error(F.concat(F.lit("duplicate key in batch: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))
-            ),
+        .where(
+            F.when(F.col("_n") == 1, F.lit(True)).otherwise(
+                F.raise_error(F.concat(F.lit("duplicate key in batch: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))).cast("boolean")
+            )
         )
         .drop("_n")
     )

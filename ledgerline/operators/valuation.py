@@ -77,8 +77,9 @@ def dcf_scenarios(
     percent; the defaults give 91 x 45 x 36 scenarios a row. The grid has a fixed size and
     is generated inside each row, so no join is involved. Discount factors depend on two of
     the three assumptions only and are computed before growth is expanded. Rows are spread
-    over ``partitions`` tasks (default: the shuffle partitions) between the two expansions,
-    because the table of companies is small and its product is not.
+    over ``partitions`` tasks (default: the shuffle partitions) after the first expansion, 45
+    narrow rows a company: the table of companies is small and its product is not, and no
+    expanded row crosses the network.
 
     Money comes out unrounded; fair value has two digits, margin of safety (percent) one, and
     the rating goes by the rounded margin.
@@ -94,18 +95,17 @@ def dcf_scenarios(
         {f"_{c}": (to_fixed(F.col(c) / billion, 2) * billion if quantize else F.col(c).cast("double")) for c in money}
     )
 
+    spread = partitions or int(companies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rates = F.array(*[F.lit(p) for p in _fractions(wacc)])
     terminals = F.array(*[F.lit(p) for p in _fractions(terminal)])
     pairs = (
         rows.withColumn("wacc", F.explode(rates))
+        .repartition(spread, F.xxhash64(*names), "wacc")
         .withColumn("terminal_growth", F.explode(terminals))
         .withColumn("_rate", F.greatest(F.col("wacc"), F.col("terminal_growth") + F.lit(floor)))
     )
     pairs = with_discount_factors(pairs, "_rate")
-    spread = partitions or int(companies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grid = pairs.repartition(spread, F.xxhash64(*names), "wacc", "terminal_growth").withColumn(
-        "growth", F.explode(F.array(*[F.lit(p) for p in _fractions(growth)]))
-    )
+    grid = pairs.withColumn("growth", F.explode(F.array(*[F.lit(p) for p in _fractions(growth)])))
     valued = present_values(grown_flows(grid, "_base_fcf", "growth"), "_rate", "terminal_growth", "_cash", "_total_debt")
     price = F.col("current_price").cast("double")
     shares = F.col("_shares_outstanding")

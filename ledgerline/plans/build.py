@@ -3,11 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline import schemas as S
 from ledgerline.operators.dims import dim_company
 from ledgerline.operators.fundamentals import quarterly_financials
 from ledgerline.operators.history import scd2
 from ledgerline.operators.price_analytics import price_analytics
-from ledgerline.operators.quality import expect_not_null
+from ledgerline.operators.quality import expect_not_null, expect_unique
 from ledgerline.operators.staging import extract_facts, stage_prices
 from ledgerline.plans.gold import daily_valuation
 
@@ -24,6 +25,7 @@ TABLES = {
     "gold/fact_daily_market_valuation": None,
 }
 NOT_NULL = {"raw_market_prices": ("ticker", "trade_date"), "raw_sec_filings": ("cik", "form_type")}
+UNIQUE = {"raw_market_prices": S.PRICE_KEYS, "raw_sec_filings": S.FILING_KEYS}
 
 
 def build(spark: SparkSession, bronze_dir: str, out_dir: str, strategy: str = "range") -> dict[str, str]:
@@ -32,11 +34,15 @@ def build(spark: SparkSession, bronze_dir: str, out_dir: str, strategy: str = "r
     Price staging stays lazy and is inlined into its consumers; the extracted facts are
     written, so the nested documents are parsed once. Silver and gold are written, and later
     steps read the written tables: nothing is computed twice, a lost executor costs at most
-    one step, and no long lineage builds up. The gold fact uses the broadcast form of the
+    one step, and no long lineage builds up. The bronze checks run first and the company keys
+    are checked once written: a violation fails the build. The gold fact uses the broadcast form of the
     as-of join when the statements are measured to be small, else the window form. Row counts
     come from the file footers. Tables are overwritten one by one; give every run an
     ``out_dir`` of its own where readers must not see a half-built set.
     """
+    broken = check_sources(spark, bronze_dir).where("should_error").collect()  # a row per checked column or key
+    if broken:
+        raise ValueError("bronze checks failed: " + "; ".join(f"{r.table_name}.{r.column_name}: {r.failures}" for r in broken))
     prices = spark.read.parquet(f"{bronze_dir}/raw_market_prices")
     filings = spark.read.parquet(f"{bronze_dir}/raw_sec_filings")
     paths = {}
@@ -62,7 +68,10 @@ def build(spark: SparkSession, bronze_dir: str, out_dir: str, strategy: str = "r
         "gold/fact_quarterly_financials",
         quarterly_financials(statements.where("is_current")).withColumn("computed_at", run_at),
     )
-    write("gold/dim_company", dim_company(silver_prices, filings).withColumn("created_at", run_at))
+    companies = write("gold/dim_company", dim_company(silver_prices, filings).withColumn("created_at", run_at))
+    twice = expect_unique(companies, ("company_sk",)).first()
+    if twice is not None:
+        raise ValueError(f"gold/dim_company has company_sk {twice.company_sk} {twice.n_rows} times")
     write(
         "gold/fact_daily_market_valuation",
         daily_valuation(
@@ -82,11 +91,16 @@ def register_views(spark: SparkSession, paths: dict[str, str]) -> list[str]:
 
 
 def check_sources(spark: SparkSession, bronze_dir: str) -> DataFrame:
-    """The not-null checks of the bronze tables, one row per checked column."""
+    """The not-null and unique checks of the bronze tables, one row per checked column or key."""
     results = [
         expect_not_null(spark.read.parquet(f"{bronze_dir}/{table}"), cols).select(F.lit(table).alias("table_name"), "*")
         for table, cols in NOT_NULL.items()
     ]
+    for table, keys in UNIQUE.items():
+        whole = spark.read.parquet(f"{bronze_dir}/{table}").dropna(subset=list(keys))
+        failures = expect_unique(whole, keys).agg(F.count(F.lit(1)).alias("failures"))
+        broken = F.col("failures") > 0
+        results.append(failures.select(F.lit(table).alias("table_name"), F.lit(",".join(keys)).alias("column_name"), "failures", broken.alias("should_warn"), broken.alias("should_error")))
     combined = results[0]
     for more in results[1:]:
         combined = combined.unionByName(more)

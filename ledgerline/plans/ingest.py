@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
-from ledgerline.sources.landed import on_watchlist, read_filings, read_prices
+from ledgerline.sources.landed import lookback, on_watchlist, read_filings, read_prices
 from ledgerline.sources.landing import land_partitions
 
 CIK_GROUPS = 64
@@ -27,13 +27,17 @@ def ingest_prices(
     fmt: str = "parquet",
     ticker: str | None = None,
     watchlist: DataFrame | None = None,
+    run_date=None,
+    lookback_days: int | None = None,
 ) -> int:
     """Upsert landed price files, of watched tickers if a watchlist is given.
 
-    Returns the number of price rows; without any, nothing is written. Repeating a run with
-    its ``run_id`` is safe.
+    With ``lookback_days``, only the days up to ``run_date`` count. Returns the number of
+    price rows; without any, nothing is written. Repeating a run is safe.
     """
     batch = read_prices(spark, incoming, fmt, ticker)
+    if lookback_days is not None:
+        batch = lookback(batch, run_date, lookback_days)
     if watchlist is not None:
         batch = on_watchlist(batch, watchlist)
     rows = batch.count()
@@ -62,10 +66,14 @@ def ingest_filings(
     watchlist: DataFrame,
     layout: str = "documents",
 ) -> int:
-    """Upsert landed filing documents of watched companies; returns their number."""
+    """Upsert landed filing documents of watched companies; returns their number.
+
+    Shares of one company have one document; it lands once, under the first ticker by name.
+    """
     batch = read_filings(spark, incoming, layout, watchlist)
     if layout == "lines":
-        batch = on_watchlist(batch, watchlist)
+        watched = on_watchlist(batch, watchlist)
+        batch = _one_per_company(watched)
     rows = batch.count()
     if rows:
         land_partitions(
@@ -81,3 +89,10 @@ def ingest_filings(
             cik_group(),
         )
     return rows
+
+
+def _one_per_company(batch: DataFrame) -> DataFrame:
+    keys = list(S.FILING_KEYS)
+    others = [c for c in batch.columns if c not in keys]
+    first = F.min_by(F.struct(*others), F.struct("ticker", "payload")).alias("_first")
+    return batch.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*batch.columns)

@@ -1,23 +1,14 @@
 """Folders shared by all executors."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-LOCAL_DIR_CONF = "spark.ledgerline.localDir"
-
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder; a cluster
-    has to name a folder every executor can reach.
+    Without that setting it lies in the warehouse, which every executor reaches as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_DIR_CONF, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set(LOCAL_DIR_CONF, base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -33,11 +33,14 @@ def read_prices(spark: SparkSession, path: str, fmt: str = "parquet", ticker: st
     if fmt == "csv":
         return shape_prices(spark.read.option("header", True).option("enforceSchema", False).csv(path), ticker)
     if fmt == "json":
-        # Declared, so that the files are not read once more to infer types.
-        raw = spark.read.schema(VENDOR_SCHEMA).json(path)
+        # Lines say which columns there are by their keys; a reported null is not an absent column.
+        lines = spark.read.text(path).where(F.trim("value") != "")
+        keys = F.json_object_keys("value")
+        row = F.from_json("value", VENDOR_SCHEMA, {"mode": "FAILFAST"})
+        raw = lines.select(row.alias("row"), keys.alias("keys")).select("row.*", "keys")
         for name, (_, default) in VENDOR_OPTIONAL.items():
-            raw = raw.withColumn(name, F.coalesce(name, F.lit(str(default))))
-        return shape_prices(raw, ticker)
+            raw = raw.withColumn(name, F.when(F.array_contains("keys", name), F.col(f"`{name}`")).otherwise(F.lit(str(default))))
+        return shape_prices(raw.drop("keys"), ticker)
     raise ValueError(f"unknown format {fmt!r}")
 
 
@@ -45,7 +48,8 @@ def shape_prices(raw: DataFrame, ticker: str | None = None) -> DataFrame:
     """Vendor columns to bronze columns.
 
     A time-zoned trading time gives its local date. Dividend and split default to 0 and 1
-    only when the whole column is absent; a reported 0 split is data.
+    only when the column is absent (from the table, or from a JSON line); a reported 0
+    split is data, and a reported null stays null.
     """
     symbol = F.lit(ticker) if ticker is not None else F.col("Ticker")
     if isinstance(raw.schema["Date"].dataType, T.StringType):
@@ -86,8 +90,7 @@ def read_filings(spark: SparkSession, path: str, layout: str = "lines", watchlis
     files = spark.read.text(path, wholetext=True).select(
         zfill(F.regexp_extract("_metadata.file_name", r"(\d+)", 1)).alias("cik"), F.col("value").alias("payload")
     )
-    tickers = filers(watchlist).select("ticker", zfill("cik").alias("cik"))
-    return shape_filings(files.join(tickers, "cik"))
+    return shape_filings(files.join(first_tickers(watchlist), "cik"))
 
 
 def shape_filings(raw: DataFrame) -> DataFrame:
@@ -102,6 +105,11 @@ def shape_filings(raw: DataFrame) -> DataFrame:
     )
 
 
+def first_tickers(watchlist: DataFrame) -> DataFrame:
+    """One ``ticker`` for each ``cik``: companies with several listed shares land under the first by name."""
+    return filers(watchlist).groupBy(zfill("cik").alias("cik")).agg(F.min(F.upper("ticker")).alias("ticker"))
+
+
 def filers(watchlist: DataFrame) -> DataFrame:
     """Watchlist entries that file with the regulator."""
     return watchlist.where(F.col("cik").isNotNull() & (F.col("cik") != ""))

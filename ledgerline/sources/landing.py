@@ -41,14 +41,15 @@ def land_partitions(
     partition. A daily batch with a few days of lookback rewrites one or two months of a
     table of any length.
 
-    The new partitions are written to ``staging_path``, marked complete under ``run_id``, and
-    then copied over the old ones. A run that was cut off while copying is repeated with the
-    same ``run_id`` and only copies again; otherwise it starts over from the intact table.
-    The copy replaces partition by partition, so readers should wait for it to end.
+    The new partitions are written to ``staging_path``, marked as staged under ``run_id``,
+    copied over the old ones, and marked as copied. Only a run that was cut off between the
+    two marks is resumed by the same ``run_id``: it copies again. Every other call upserts its
+    batch, also under a ``run_id`` that has been used before. The copy replaces partition by
+    partition, so readers should wait for it to end.
     """
     staged, done = f"{staging_path}/rows", f"{staging_path}/done"
     marker = _read(spark, done)
-    if marker is None or marker.where(F.col("run_id") == run_id).isEmpty():
+    if marker is None or marker.where((F.col("run_id") == run_id) & (F.col("state") == "staged")).isEmpty():
         batch = batch.withColumn(partition_col, partition_of)
         old = _read(spark, table_path)
         if old is None:
@@ -56,18 +57,28 @@ def land_partitions(
         # No more values than the table has partitions; as literals they prune the listing,
         # so untouched partitions are not read.
         touched = [row[0] for row in batch.select(partition_col).distinct().collect()]
-        current = old.where(F.col(partition_col).isin(touched)).select(*schema.fieldNames())
+        inside = F.col(partition_col).isin([value for value in touched if value is not None])
+        if None in touched:
+            inside = inside | F.col(partition_col).isNull()
+        current = old.where(inside).select(*schema.fieldNames())
         merged = upsert(current, batch.drop(partition_col), keys, update_cols, **options)
         merged.withColumn(partition_col, partition_of).write.mode("overwrite").partitionBy(partition_col).parquet(staged)
-        spark.createDataFrame([(run_id,)], "run_id string").write.mode("overwrite").parquet(done)
+        _mark(spark, done, run_id, "staged")
     rows = _read(spark, staged)
     if rows is not None:
         (
-            rows.write.mode("overwrite")
+            # computed again: a column of null partition values only is read back without a type
+            rows.withColumn(partition_col, partition_of)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition_col)
             .parquet(table_path)
         )
+    _mark(spark, done, run_id, "copied")
+
+
+def _mark(spark, path, run_id, state):
+    spark.createDataFrame([(run_id, state)], "run_id string, state string").write.mode("overwrite").parquet(path)
 
 
 def _read(spark, path):

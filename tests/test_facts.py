@@ -11,7 +11,7 @@ from ledgerline.operators.dims import dim_company
 from ledgerline.operators.fundamentals import dcf_defaults, financial_ratios, pivot_facts, ttm_rollup
 from ledgerline.operators.history import current_versions, scd2
 from ledgerline.operators.quality import expect_not_null, expect_unique
-from ledgerline.operators.staging import extract_facts
+from ledgerline.operators.staging import extract_facts, rejected_filings
 
 FACT = "ticker string, cik string, gaap_tag string, form_type string, fiscal_year int, fiscal_period string, filed_date date, period_start_date date, period_end_date date, amount decimal(20,2), accession_number string"
 
@@ -79,9 +79,20 @@ def test_amounts_are_exact(spark):
 
 def test_malformed_document(spark):
     broken = filing(spark, None, raw='{"facts": {"us-gaap": ')
-    assert extract_facts(broken).count() == 0
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        extract_facts(broken, mode="FAILFAST").count()
+        extract_facts(broken).count()
+    assert extract_facts(broken, mode="PERMISSIVE").count() == 0
+    assert rejected_filings(broken).count() == 1
+
+
+@pytest.mark.parametrize("bad", [{"val": "none"}, {"val": 10**40}], ids=["text", "large"])
+def test_amounts_that_are_no_amounts(spark, bad):
+    tags = {"Assets": {"units": {"USD": [node(), node(**bad)]}}}
+    broken = filing(spark, tags)
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        extract_facts(broken).count()
+    assert rejected_filings(broken).count() == 1
+    assert rejected_filings(filing(spark, {"Assets": {"units": {"USD": [node()]}}})).count() == 0
 
 
 def test_other_unit_and_taxonomy(spark):

@@ -66,6 +66,13 @@ def test_duplicate_found_when_columns_are_pruned(spark):
         apply(prices(spark), batch).select("adj_close").collect()
 
 
+def test_duplicate_found_whatever_is_selected(spark):
+    after = apply(prices(spark), prices(spark, price(adj="2"), price(adj="3")))
+    for pruned in (after.select("ticker"), after.groupBy().count()):
+        with pytest.raises(PySparkException, match="duplicate key"):
+            pruned.collect()
+
+
 def test_null_key_parts_never_conflict(spark):
     row = ("1", "T", "FACTS", None, "ALL", "{}", OLD)
     table = spark.createDataFrame([row], S.RAW_FILINGS)
@@ -134,6 +141,24 @@ def test_land_partitions_resumes_after_a_cut_off_copy(spark, tmp_path):
     assert sorted((r["trade_date"], r["adj_close"]) for r in table.collect()) == [(DAY, D("5.0000")), (dt.date(2024, 3, 1), D("1.0000"))]
 
 
+def test_land_partitions_reads_a_new_batch_under_a_used_run_id(spark, tmp_path):
+    land_month(spark, tmp_path, 0, price())
+    table = land_month(spark, tmp_path, 0, price(adj="9"))
+    assert [r["adj_close"] for r in table.collect()] == [D("9.0000")]
+
+
+def test_rows_without_a_partition_value_stay(spark, tmp_path):
+    filing = lambda cik, year: (cik, "T", "FACTS", year, "ALL", "{}", OLD)
+
+    def land_filing(run, row):
+        batch = spark.createDataFrame([row], S.RAW_FILINGS)
+        land_partitions(spark, str(tmp_path / "t"), S.RAW_FILINGS, batch, str(tmp_path / "s"), run, S.FILING_KEYS, S.FILING_UPDATES, "year", F.col("fiscal_year"))
+
+    land_filing("1", filing("1", None))
+    land_filing("2", filing("2", None))
+    assert sorted(r["cik"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == ["1", "2"]
+
+
 def test_price_stream(spark, tmp_path):
     incoming, table = str(tmp_path / "in"), str(tmp_path / "prices")
     args = (spark, incoming, table, str(tmp_path / "checkpoint"))
@@ -168,6 +193,35 @@ def test_reported_zero_split_is_kept(spark, tmp_path):
     assert [(r["dividend_amount"], r["split_coefficient"]) for r in rows] == [(D("0.0000"), D("1.0000")), (D("0.2500"), D("0.0000"))]
 
 
+def test_reported_nulls_in_json_lines_stay_null(spark, tmp_path):
+    path = tmp_path / "n.json"
+    record = {"Ticker": "T", "Date": "2024-01-05", "Open": 1, "High": 1, "Low": 1, "Close": 1, "Adj Close": 1, "Volume": 5}
+    path.write_text(json.dumps({**record, "Dividends": None, "Stock Splits": None}) + "\n\n")
+    (row,) = read_prices(spark, str(path), "json").collect()
+    assert (row["dividend_amount"], row["split_coefficient"]) == (None, None)
+
+
+def test_shares_of_one_company_land_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "CIK0001652044.json").write_text('{"entityName": "Alphabet"}')
+    shares = spark.createDataFrame([("googl", "1652044"), ("GOOG", "0001652044"), ("X", None)], S.WATCHLIST)
+    assert ingest_filings(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "w"), "1", shares) == 1
+    assert [(r["cik"], r["ticker"]) for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [("0001652044", "GOOG")]
+
+
+def test_ingest_looks_back_from_the_run_date(spark, tmp_path):
+    (tmp_path / "d.csv").write_text(f"{HEADER}\nA,2024-01-01,1,1,1,1,1,5\nA,2024-01-04,1,1,1,1,1,5\nA,2024-01-09,1,1,1,1,1,5\n")
+    n = ingest_prices(spark, str(tmp_path / "d.csv"), str(tmp_path / "t"), str(tmp_path / "w"), "1", "csv", run_date="2024-01-05", lookback_days=3)
+    assert n == 1 and spark.read.parquet(str(tmp_path / "t")).first()["trade_date"] == dt.date(2024, 1, 4)
+
+
+def test_broken_bronze_fails_the_build(spark, tmp_path):
+    prices(spark, price(), price()).write.parquet(f"{tmp_path}/raw_market_prices")
+    spark.createDataFrame([("1", "T", "FACTS", 0, "ALL", "{}", OLD)], S.RAW_FILINGS).write.parquet(f"{tmp_path}/raw_sec_filings")
+    with pytest.raises(ValueError, match="raw_market_prices.ticker,trade_date: 1"):
+        build(spark, str(tmp_path), f"{tmp_path}/out")
+
+
 def test_read_parquet_for_one_ticker(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.sql(
@@ -243,7 +297,7 @@ def test_build(spark, tmp_path):
     assert "gold_dim_company" in register_views(spark, paths)
     assert spark.sql("select count(*) from gold_fact_daily_market_valuation join gold_dim_company using (company_sk)").first()[0] == 120
     assert check_sources(spark, bronze).where("should_error").count() == 0
-    assert check_sources(spark, bronze).count() == 4
+    assert check_sources(spark, bronze).count() == 6
 
 
 def test_shared_dir_follows_the_session(spark):

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
-from ledgerline.functions.dcf import money_columns
 from ledgerline.operators.asof import asof_join
 from ledgerline.operators.dims import dim_company
 from ledgerline.operators.fundamentals import financial_ratios, pivot_facts, quarterly_financials, ttm_rollup
@@ -17,6 +16,7 @@ from ledgerline.operators.upsert import upsert
 from ledgerline.operators.valuation import dcf, dcf_projections, dcf_scenarios
 from ledgerline.plans.build import build
 from ledgerline.plans.gold import daily_valuation
+from ledgerline.plans.ingest import ingest_filings, ingest_prices
 from ledgerline.plans.reports import company_page, statement_history, watchlist_report
 from ledgerline.session import shared_dir
 from ledgerline.sources.landed import last_sessions, lookback, shape_filings, shape_prices
@@ -90,17 +90,35 @@ def _upsert(landed, keys, update_cols):
 
 
 def _scenarios(spark, d):
-    swept = dcf_scenarios(W.scenario_companies(spark, d), **W.COARSE_GRID)
-    return swept.withColumns({name: F.round(name, 2) for name in money_columns()})
-
-
-def _build_gold(spark: SparkSession, d: str) -> DataFrame:
+    """Every triple of the default ranges for every company, then totals of the rounded results."""
+    swept = dcf_scenarios(W.scenario_companies(spark, d))
+    fair, margin = F.col("fair_value").cast("decimal(28,2)"), F.col("margin_of_safety").cast("decimal(28,1)")
+    return swept.groupBy("company", "rating").agg(
+        F.count(F.lit(1)).alias("scenarios"),
+        F.sum(fair).alias("fair_value_sum"),
+        F.min("fair_value").alias("fair_value_min"),
+        F.max("fair_value").alias("fair_value_max"),
+        F.sum(margin).alias("margin_sum"),
+    )
+
+
+def _built(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The written tables of a whole build."""
     bronze, out = shared_dir(spark, "bronze"), shared_dir(spark, "warehouse")
     W.px_raw(spark, d).write.parquet(f"{bronze}/raw_market_prices")
     W.filings_raw(spark, d).write.parquet(f"{bronze}/raw_sec_filings")
+    return {name: spark.read.parquet(path) for name, path in build(spark, bronze, out).items()}
+
+
+def _build_watchlist(spark, d):
+    tables = _built(spark, d)
+    return watchlist_report(tables["gold/dim_company"], tables["gold/fact_daily_market_valuation"])
+
+
+def _build_gold(spark: SparkSession, d: str) -> DataFrame:
     counts = [
-        spark.read.parquet(path).select(F.lit(name).alias("table_name")).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
-        for name, path in build(spark, bronze, out).items()
+        table.select(F.lit(name).alias("table_name")).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+        for name, table in _built(spark, d).items()
     ]
     combined = counts[0]
     for more in counts[1:]:
@@ -108,6 +126,26 @@ def _build_gold(spark: SparkSession, d: str) -> DataFrame:
     return combined
 
 
+def _ingest_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Three landed batches of price files: CSV, JSON lines, and CSV again under the run id of the second."""
+    landed, table, work = shared_dir(spark, "landed"), shared_dir(spark, "prices"), shared_dir(spark, "work")
+    rows = W.vendor_batches(spark, d)
+    for batch, fmt, run in ((0, "csv", "a"), (1, "json", "b"), (2, "csv", "b")):
+        writer = rows.where(F.col("batch") == batch).drop("batch").write
+        (writer.option("header", True).csv if fmt == "csv" else writer.json)(f"{landed}/{batch}")
+        ingest_prices(spark, f"{landed}/{batch}", table, work, run, fmt)
+    return spark.read.parquet(table).drop("ingested_at", "trade_month")
+
+
+def _ingest_filings(spark: SparkSession, d: str) -> DataFrame:
+    """One document per customer, every two tickers of which share a CIK."""
+    landed, table, work = shared_dir(spark, "landed"), shared_dir(spark, "filings"), shared_dir(spark, "work")
+    shares = W.shared_filings(spark, d)
+    shares.write.json(landed)
+    ingest_filings(spark, landed, table, work, "a", shares.select("ticker", "cik"), layout="lines")
+    return spark.read.parquet(table).drop("ingested_at", "cik_group")
+
+
 QUERIES = {
     "read_prices": lambda s, d: shape_prices(W.vendor_prices(s, d)),
     "read_filings": lambda s, d: shape_filings(W.customer_filings(s, d)),
@@ -147,4 +185,11 @@ QUERIES = {
     ),
     "expect_unique": lambda s, d: expect_unique(W.table(s, d, "lineitem"), ("l_orderkey", "l_linenumber")),
     "build_gold": _build_gold,
+    "build_daily": lambda s, d: _built(s, d)["gold/fact_daily_market_valuation"].drop("calculated_at"),
+    "build_quarterly": lambda s, d: _built(s, d)["gold/fact_quarterly_financials"].drop("computed_at"),
+    "build_dim": lambda s, d: _built(s, d)["gold/dim_company"].drop("created_at"),
+    "build_watchlist": _build_watchlist,
+    "company_lookup": lambda s, d: company_page(_dim(s, d), _daily(s, d), _quarterly(s, d), ticker="S1").drop("projections"),
+    "ingest_round_trip": _ingest_round_trip,
+    "ingest_filings": _ingest_filings,
 }

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from ledgerline.schemas import GAAP_TAGS
 
 FILING_BLOCK = 4096
-# Every tenth or so step of the assumption ranges, to keep the comparison output readable.
-COARSE_GRID = {"growth": (-1000, 3500, 250), "wacc": (500, 1600, 100), "terminal": (100, 450, 50)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -255,3 +253,26 @@ def landed_filings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         )
     )
     return rows.where(~incoming).drop("incoming"), rows.where(incoming).drop("incoming", "ingested_at")
+
+
+def vendor_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by customer and day as vendor files in three batches that overlap; the last order of a day counts."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    cents = F.col("o_totalprice").cast("decimal(14,2)")
+    rows = (
+        table(spark, sf_dir, "orders")
+        .groupBy((F.col("o_custkey") % 50).alias("k"), day.alias("Date"), (F.col("o_orderkey") % 3).cast("int").alias("batch"))
+        .agg(F.max(cents).alias("high"), F.min(cents).alias("low"), F.count(F.lit(1)).alias("n"))
+    )
+    text = {"Open": "low", "High": "high", "Low": "low", "Close": "high", "Adj Close": "low", "Volume": "n"}
+    return rows.select(F.concat(F.lit("c"), F.col("k").cast("string")).alias("Ticker"), "Date", *[F.col(c).cast("string").alias(n) for n, c in text.items()], "batch")
+
+
+def shared_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as filers; every two share a CIK and so one document."""
+    pair = F.floor(F.col("c_custkey") / 2).cast("string")
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("c"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("ticker"),
+        pair.alias("cik"),
+        F.to_json(F.struct(F.concat(F.lit("Company "), pair).alias("entityName"))).alias("payload"),
+    )
