@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ledgerline.operators import slicing
 from ledgerline.operators.asof import asof_join
 from ledgerline.operators.history import FACT_KEYS, FACT_ORDER, scd2
 from ledgerline.operators.price_analytics import price_analytics
@@ -55,12 +56,31 @@ def test_nothing_to_measure(spark):
     assert measure(prices, ["ticker"], ["trade_date"], rows_at_most=10, rows_per_group=10) is None
 
 
-def test_group_limit_grows_with_the_data(spark):
-    """No more than max_groups cuts whatever the row count."""
+def test_groups_do_not_grow_with_the_data(spark):
+    """The largest slice holds no more rows of a table ten times as long."""
+    for n in (6000, 60000):
+        prices = skewed_prices(spark, n)
+        plan = measure(prices, ["ticker"], ["trade_date"], rows_per_group=500)
+        groups = plan.assign(prices).groupBy("ticker", "_slice").count()
+        assert groups.where("ticker = 'HOT'").agg(F.max("count")).first()[0] <= 500
+        assert plan.most_cuts >= n / 3 / 500
+
+
+def test_cuts_too_many_to_broadcast(spark, monkeypatch):
     prices = skewed_prices(spark)
-    plan = measure(prices, ["ticker"], ["trade_date"], rows_per_group=1, max_groups=10)
-    assert plan.cuts.count() <= 10
-    assert plan.most_cuts <= 20
+    monkeypatch.setattr(slicing, "BROADCAST_CUTS", 0)
+    plan = measure(prices, ["ticker"], ["trade_date"], rows_per_group=200)
+    assert same(price_analytics(prices, slicing=plan), price_analytics(prices, slicing=None))
+
+
+def test_known_rows_reach_over_empty_slices(spark):
+    """One statement at the start, thousands of later prices: every slice needs a copy of it."""
+    left = spark.range(3000).select(F.lit("A").alias("k"), F.col("id").alias("t"))
+    right = spark.createDataFrame([("A", 0, 1), ("A", 2990, 2)], "k string, u bigint, r int")
+    plan = measure(left, ["k"], ["t"], rows_per_group=100)
+    assert plan.most_cuts > 30
+    found = asof_join(left, right, "k", "t", "u", slicing=plan)
+    assert found.groupBy("r").count().orderBy("r").collect() == [(1, 2990), (2, 10)]
 
 
 def test_single_order_value_cannot_be_cut(spark):

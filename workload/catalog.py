@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas as S
 from ledgerline.operators.asof import asof_join
 from ledgerline.operators.dims import dim_company
-from ledgerline.operators.fundamentals import financial_ratios, pivot_facts, quarterly_financials, ttm_rollup
+from ledgerline.operators.fundamentals import pivot_facts, quarterly_financials, ttm_rollup
 from ledgerline.operators.history import current_versions, latest_per_key, scd2
 from ledgerline.operators.price_analytics import price_analytics
 from ledgerline.operators.quality import expect_not_null, expect_unique
@@ -158,8 +158,8 @@ QUERIES = {
     "json_scalar": lambda s, d: W.table(s, d, "events").select("event_id", F.from_json("props", "k int").getField("k").alias("k")),
     "scd2": _versions,
     "current_versions": lambda s, d: current_versions(W.facts_raw(s, d)),
-    "pivot_facts": lambda s, d: pivot_facts(_versions(s, d).where("is_current")),
-    "financial_ratios": lambda s, d: financial_ratios(pivot_facts(_versions(s, d).where("is_current"))),
+    "pivot_facts": lambda s, d: pivot_facts(current_versions(W.facts_raw(s, d))),
+    "financial_ratios": _quarterly,
     "dim_company": _dim,
     "asof_union": _asof("window"),
     "asof_range": _asof("range"),
