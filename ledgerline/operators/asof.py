@@ -1,5 +1,7 @@
 """As-of join: for each left row the latest right row that is not after it."""
 
+import warnings
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +38,7 @@ def asof_join(
       and one sort. It is linear in the rows of both sides, and oversized keys are sliced.
     * ``"range"`` turns right rows into validity ranges and broadcasts them, so the left
       side is not moved at all. Only taken when the right side is measured to be small in
-      total and per key, otherwise the window form runs.
+      total and per key, otherwise the window form runs, with a warning.
     """
     on = [on] if isinstance(on, str) else list(on)
     clash = (set(left.columns) & set(right.columns)) - set(on)
@@ -45,8 +47,10 @@ def asof_join(
     if strategy not in ("window", "range"):
         raise ValueError("strategy must be 'window' or 'range'")
     right = right.dropna(subset=[*on, right_time])
-    if strategy == "range" and _fits_broadcast(right, on):
-        return _range_form(left, right, on, left_time, right_time, tiebreak)
+    if strategy == "range":
+        if _fits_broadcast(right, on):
+            return _range_form(left, right, on, left_time, right_time, tiebreak)
+        warnings.warn("the right side is too large to broadcast: the window form runs", stacklevel=2)
     return _window_form(left, right, on, left_time, right_time, tiebreak, slicing, rows_at_most)
 
 

@@ -74,7 +74,9 @@ def latest_per_key(df: DataFrame, keys, order, n: int = 1) -> DataFrame:
     """The last ``n`` rows per key by ``order``, nulls counting as latest.
 
     ``row_number() <= n`` becomes a group limit that also runs before the shuffle, so each
-    map task sends at most ``n`` rows of a key, however many the key has.
+    map task sends at most ``n`` rows of a key, however many the key has. Spark does so up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000); for a larger ``n`` raise it, or
+    whole keys are sorted in one task each. Results do not depend on it.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     along = Window.partitionBy(*keys).orderBy(*descending(order))

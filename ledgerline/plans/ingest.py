@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.sources.landed import lookback, on_watchlist, read_filings, read_prices
-from ledgerline.sources.landing import land_partitions
+from ledgerline.sources.landing import land_partitions, read_if_there
 
 CIK_GROUPS = 64
 
@@ -14,8 +14,8 @@ def trade_month() -> Column:
     return F.date_format("trade_date", "yyyy-MM")
 
 
-def cik_group() -> Column:
-    return F.pmod(F.crc32(F.col("cik").cast("binary")), F.lit(CIK_GROUPS)).cast("int")
+def cik_group(groups: int) -> Column:
+    return F.pmod(F.crc32(F.col("cik").cast("binary")), F.lit(groups)).cast("int")
 
 
 def ingest_prices(
@@ -40,21 +40,18 @@ def ingest_prices(
         batch = lookback(batch, run_date, lookback_days)
     if watchlist is not None:
         batch = on_watchlist(batch, watchlist)
-    rows = batch.count()
-    if rows:
-        land_partitions(
-            spark,
-            table_path,
-            S.RAW_MARKET_PRICES,
-            batch,
-            work_path,
-            run_id,
-            S.PRICE_KEYS,
-            S.PRICE_UPDATES,
-            "trade_month",
-            trade_month(),
-        )
-    return rows
+    return land_partitions(
+        spark,
+        table_path,
+        S.RAW_MARKET_PRICES,
+        batch,
+        work_path,
+        run_id,
+        S.PRICE_KEYS,
+        S.PRICE_UPDATES,
+        "trade_month",
+        trade_month(),
+    )
 
 
 def ingest_filings(
@@ -65,30 +62,47 @@ def ingest_filings(
     run_id: str,
     watchlist: DataFrame,
     layout: str = "documents",
+    groups: int | None = None,
 ) -> int:
     """Upsert landed filing documents of watched companies; returns their number.
 
     Shares of one company have one document; it lands once, under the first ticker by name.
+    Documents lie in ``groups`` partitions by CIK, chosen for the table's size by its first
+    run (default :data:`CIK_GROUPS`) and kept by later ones.
     """
     batch = read_filings(spark, incoming, layout, watchlist)
     if layout == "lines":
         watched = on_watchlist(batch, watchlist)
         batch = _one_per_company(watched)
-    rows = batch.count()
-    if rows:
-        land_partitions(
-            spark,
-            table_path,
-            S.RAW_FILINGS,
-            batch,
-            work_path,
-            run_id,
-            S.FILING_KEYS,
-            S.FILING_UPDATES,
-            "cik_group",
-            cik_group(),
-        )
-    return rows
+    return land_partitions(
+        spark,
+        table_path,
+        S.RAW_FILINGS,
+        batch,
+        work_path,
+        run_id,
+        S.FILING_KEYS,
+        S.FILING_UPDATES,
+        "cik_group",
+        cik_group(_stored_groups(spark, table_path, groups)),
+    )
+
+
+def _stored_groups(spark: SparkSession, table_path: str, groups: int | None) -> int:
+    """The table's number of groups, written beside it by its first run; another number is refused."""
+    path = f"{table_path.rstrip('/')}_groups"
+    stored = read_if_there(spark, path)
+    if stored is not None:
+        known = stored.first()["groups"]
+    elif read_if_there(spark, table_path) is not None:
+        known = CIK_GROUPS
+    else:
+        known = groups or CIK_GROUPS
+    if groups is not None and groups != known:
+        raise ValueError(f"{table_path} was made with {known} groups, not {groups}")
+    if stored is None:
+        spark.createDataFrame([(known,)], "groups int").write.mode("overwrite").parquet(path)
+    return known
 
 
 def _one_per_company(batch: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ def watchlist_report(companies: DataFrame, daily: DataFrame, labels: bool = Fals
     zero return on equity as null, a zero net margin as 0.
     """
     latest = _latest_day(daily)
-    rows = companies.where("is_active").join(latest, "company_sk", "left")
+    rows = companies.where("is_active").join(latest, "ticker", "left")
     roe = percent("return_on_equity")
     report = rows.select(
         "ticker",
@@ -104,8 +104,8 @@ def company_page(
     """
     if ticker is not None:
         companies = _company(companies, ticker)
-    latest = _latest_day(daily).select("company_sk", "close_price", "daily_return", "sma_20", "sma_50")
-    header = companies.join(latest, "company_sk", "left").select(
+    latest = _latest_day(daily).select("ticker", "close_price", "daily_return", "sma_20", "sma_50")
+    header = companies.join(latest, "ticker", "left").select(
         "company_sk",
         *PAGE_COLUMNS,
         F.coalesce(percent("daily_return"), F.lit(0.0)).alias("daily_return"),
@@ -123,8 +123,9 @@ def _company(companies: DataFrame, ticker: str) -> DataFrame:
 
 
 def _latest_day(daily: DataFrame) -> DataFrame:
+    """By ticker, of which the surrogate key is a hash: daily rows that lie by ticker are not shuffled again."""
     columns = [
-        "company_sk",
+        "ticker",
         "trade_date",
         "close_price",
         "daily_return",
@@ -134,4 +135,4 @@ def _latest_day(daily: DataFrame) -> DataFrame:
         "net_margin",
         "return_on_equity",
     ]
-    return latest_per_key(daily.select(*columns), "company_sk", ["trade_date"])
+    return latest_per_key(daily.select(*columns), "ticker", ["trade_date"])

@@ -34,9 +34,11 @@ def land_partitions(
     partition_col: str,
     partition_of,
     **options,
-) -> None:
+) -> int:
     """Upsert into a partitioned table, rewriting only the partitions the batch touches.
 
+    Returns the batch's row count; without rows nothing new is written.
+
     ``partition_of`` computes ``partition_col`` from key columns, so a key never changes its
     partition. A daily batch with a few days of lookback rewrites one or two months of a
     table of any length.
@@ -48,15 +50,19 @@ def land_partitions(
     partition, so readers should wait for it to end.
     """
     staged, done = f"{staging_path}/rows", f"{staging_path}/done"
-    marker = _read(spark, done)
+    marker = read_if_there(spark, done)
+    batch = batch.withColumn(partition_col, partition_of)
+    # No more values than the table has partitions.
+    sizes = batch.groupBy(partition_col).count().collect()
+    rows_landed = sum(row["count"] for row in sizes)
     if marker is None or marker.where((F.col("run_id") == run_id) & (F.col("state") == "staged")).isEmpty():
-        batch = batch.withColumn(partition_col, partition_of)
-        old = _read(spark, table_path)
+        if not rows_landed:
+            return 0
+        old = read_if_there(spark, table_path)
         if old is None:
             old = empty_table(spark, schema).withColumn(partition_col, partition_of)
-        # No more values than the table has partitions; as literals they prune the listing,
-        # so untouched partitions are not read.
-        touched = [row[0] for row in batch.select(partition_col).distinct().collect()]
+        # As literals the values prune the listing, so untouched partitions are not read.
+        touched = [row[0] for row in sizes]
         inside = F.col(partition_col).isin([value for value in touched if value is not None])
         if None in touched:
             inside = inside | F.col(partition_col).isNull()
@@ -64,7 +70,7 @@ def land_partitions(
         merged = upsert(current, batch.drop(partition_col), keys, update_cols, **options)
         merged.withColumn(partition_col, partition_of).write.mode("overwrite").partitionBy(partition_col).parquet(staged)
         _mark(spark, done, run_id, "staged")
-    rows = _read(spark, staged)
+    rows = read_if_there(spark, staged)
     if rows is not None:
         (
             # computed again: a column of null partition values only is read back without a type
@@ -75,13 +81,14 @@ def land_partitions(
             .parquet(table_path)
         )
     _mark(spark, done, run_id, "copied")
+    return rows_landed
 
 
 def _mark(spark, path, run_id, state):
     spark.createDataFrame([(run_id, state)], "run_id string, state string").write.mode("overwrite").parquet(path)
 
 
-def _read(spark, path):
+def read_if_there(spark, path):
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:

@@ -209,6 +209,20 @@ def test_shares_of_one_company_land_once(spark, tmp_path):
     assert [(r["cik"], r["ticker"]) for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [("0001652044", "GOOG")]
 
 
+def test_filings_keep_the_groups_of_their_first_run(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for cik in range(1, 9):
+        (tmp_path / "in" / f"CIK{cik:010d}.json").write_text("{}")
+    watched = spark.createDataFrame([(f"T{cik}", str(cik)) for cik in range(1, 9)], S.WATCHLIST)
+    paths = str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "w")
+    assert ingest_filings(spark, *paths, "1", watched, groups=2) == 8
+    assert ingest_filings(spark, *paths, "2", watched) == 8
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert (table.count(), table.select("cik_group").distinct().count()) == (8, 2)
+    with pytest.raises(ValueError, match="2 groups"):
+        ingest_filings(spark, *paths, "3", watched, groups=3)
+
+
 def test_ingest_looks_back_from_the_run_date(spark, tmp_path):
     (tmp_path / "d.csv").write_text(f"{HEADER}\nA,2024-01-01,1,1,1,1,1,5\nA,2024-01-04,1,1,1,1,1,5\nA,2024-01-09,1,1,1,1,1,5\n")
     n = ingest_prices(spark, str(tmp_path / "d.csv"), str(tmp_path / "t"), str(tmp_path / "w"), "1", "csv", run_date="2024-01-05", lookback_days=3)

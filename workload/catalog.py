@@ -190,6 +190,9 @@ QUERIES = {
     "build_dim": lambda s, d: _built(s, d)["gold/dim_company"].drop("created_at"),
     "build_watchlist": _build_watchlist,
     "company_lookup": lambda s, d: company_page(_dim(s, d), _daily(s, d), _quarterly(s, d), ticker="S1").drop("projections"),
+    "company_projections": lambda s, d: dcf_projections(company_page(_dim(s, d), _daily(s, d), _quarterly(s, d)), "ticker"),
+    "statement_lookup": lambda s, d: statement_history(_dim(s, d), _quarterly(s, d), ticker="s1"),
+    "statement_lookup_newest": lambda s, d: statement_history(_dim(s, d), _quarterly(s, d), ticker="s1", order="reference"),
     "ingest_round_trip": _ingest_round_trip,
     "ingest_filings": _ingest_filings,
 }
