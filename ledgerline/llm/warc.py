@@ -5,9 +5,10 @@ id of each digest keeps its payload, the others become revisit records that refe
 are gzip files written by Spark's text writer, one record after another, so they commit and
 recover like any table and their size has no bound that matters: the reader streams them.
 
-The reader cuts a file at ``CRLF CRLF`` before the next version line and puts pieces together again
-until a record has its ``Content-Length``, so payloads may hold anything, other archives included.
-Gzip files are read by one task from their beginning, as cutting needs the pieces in order.
+The reader joins a file's lines again and cuts them by ``Content-Length`` alone, so payloads may hold
+anything, other archives included; a record that is not followed by ``CRLF CRLF`` is an error. Lines
+end at one byte because Spark's text source misses, or loses bytes before, a longer separator that
+an input buffer divides. Gzip files are read by one task from their beginning, lines in order.
 
 Defined cases: a null payload is an empty one; payloads under ``least`` bytes are always
 responses; of rows repeated with the smallest id, each is a response; a null id is the empty
@@ -16,13 +17,15 @@ are written as ``about:blank``; line breaks in URLs are percent-encoded; no page
 """
 
 import hashlib
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION = "WARC/1.1"
-SEPARATOR = "\r\n\r\n" + VERSION + "\r\n"
+END = b"\r\n\r\n"
 PROFILE = "http://netpreservefoundation.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "record_type string, record_id string, id string, target_uri string, refers_to string, digest string, payload_bytes long, payload binary"
 
@@ -80,14 +83,8 @@ def _fields(head: bytes) -> dict[str, str]:
     return {k.strip().lower().decode(): v.strip().decode() for k, v in pairs}
 
 
-def _parsed(record: bytes, with_payload: bool):
-    """A record's fields, or None while it is shorter than its Content-Length says."""
-    head, _, block = record.partition(b"\r\n\r\n")
-    fields = _fields(head)
-    length = int(fields["content-length"])
-    if len(block) < length:
-        return None
-    payload = block[:length].partition(b"\r\n\r\n")[2] if fields.get("content-type", "").startswith("application/http") else block[:length]
+def _parsed(fields: dict[str, str], block: bytes, with_payload: bool):
+    payload = block.partition(b"\r\n\r\n")[2] if fields.get("content-type", "").startswith("application/http") else block
     response = fields["warc-type"] == "response"
     digest = hashlib.sha256(payload).hexdigest() if response else fields.get("warc-payload-digest", "").removeprefix("sha256:")
     if response and fields.get("warc-payload-digest", "").startswith("sha256:") and fields["warc-payload-digest"] != f"sha256:{digest}":
@@ -95,37 +92,64 @@ def _parsed(record: bytes, with_payload: bool):
     return (fields["warc-type"], fields.get("warc-record-id"), fields.get("x-id") or None, fields.get("warc-target-uri"), fields.get("x-refers-to-id"), digest, len(payload) if response else None, payload if with_payload else None)
 
 
+class _Stream:
+    """The bytes of one file as they come, cut into records by their Content-Length."""
+
+    def __init__(self, path: str):
+        self.path, self.held, self.known = path, bytearray(), None
+
+    def records(self, data: bytes, with_payload: bool):
+        self.held += data
+        at = 0
+        while True:
+            if self.known is None:
+                end = self.held.find(END, at)
+                if end < 0:
+                    break
+                head = bytes(self.held[at:end])
+                if not head.startswith(b"WARC/"):
+                    raise ValueError(f"{self.path}: {head[:40]!r} is not the beginning of a record")
+                fields = _fields(head)
+                self.known, at = (fields, int(fields["content-length"])), end + len(END)
+            fields, length = self.known
+            if len(self.held) < at + length + len(END):
+                break
+            if self.held[at + length : at + length + len(END)] != END:
+                raise ValueError(f"{self.path}: {fields.get('warc-record-id')} does not end where its Content-Length says")
+            yield _parsed(fields, bytes(self.held[at : at + length]), with_payload)
+            self.known, at = None, at + length + len(END)
+        del self.held[:at]
+
+    def close(self) -> None:
+        if self.held or self.known:
+            raise ValueError(f"{self.path} ends within a record")
+
+
 def _records(with_payload: bool):
     names = [x.split()[0] for x in RECORD.split(", ")]
     types = [pa.string()] * 6 + [pa.int64(), pa.binary()]
 
     def read(batches):
-        at, held = None, None
+        stream = None
         for batch in batches:
             rows = []
-            for path, piece in zip(batch.column(0), batch.column(1)):
-                path, piece = path.as_py(), piece.as_py()
-                if path != at:
-                    if held is not None:
-                        raise ValueError(f"{at} ends within a record")
-                    at, record = path, piece
-                else:
-                    record = piece if held is None else held + SEPARATOR.encode() + piece
-                row = _parsed(record, with_payload)
-                held = record if row is None else None
-                if row:
-                    rows.append(row)
+            for path, lines in groupby(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), itemgetter(0)):
+                if stream is None or path != stream.path:
+                    if stream is not None:
+                        stream.close()
+                    stream = _Stream(path)
+                rows.extend(stream.records(b"".join(x + b"\n" for _, x in lines), with_payload))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 8, types)], names=names)
-        if held is not None:
-            raise ValueError(f"{at} ends within a record")
+        if stream is not None:
+            stream.close()
 
     return read
 
 
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
     """One row per record, see ``RECORD``; digests of responses are computed from the payload and checked."""
-    pieces = spark.read.option("lineSep", SEPARATOR).text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("piece"))
-    return pieces.mapInArrow(_records(with_payload), RECORD)
+    lines = spark.read.option("lineSep", "\n").text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line"))
+    return lines.mapInArrow(_records(with_payload), RECORD)
 
 
 def resolve(records: DataFrame) -> DataFrame:

@@ -102,6 +102,25 @@ def test_cut_archive_and_wrong_digest_fail(spark, tmp_path):
         warc.read_archives(spark, str(tmp_path / "bad")).collect()
 
 
+def test_no_record_is_lost_at_the_end_of_an_input_buffer(spark, tmp_path):
+    body = F.when(F.col("id") % 3 == 0, F.concat(F.lit("own "), F.col("id").cast("string"), F.lit("\r\n" * 3))).when(F.col("id") % 3 == 1, F.lit("")).otherwise(F.lit(BIG))
+    pages = spark.range(300_000).select(F.col("id").alias("page_id"), F.lit("http://a/").alias("url"), body.alias("html")).coalesce(1)
+    pages.write.parquet(f"{tmp_path}/pages")
+    pages = spark.read.parquet(f"{tmp_path}/pages").coalesce(1)
+    first = spark.createDataFrame([(hashlib.sha256(BIG.encode()).hexdigest(), 2)], "digest string, original long")
+    warc.write_archives(pages, F.broadcast(first), f"{tmp_path}/archives")
+    assert len(list(Path(tmp_path, "archives").glob("*.gz"))) == 1
+    records = warc.read_archives(spark, f"{tmp_path}/archives", with_payload=False)
+    counts = records.groupBy("record_type").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids")).collect()
+    assert {r.record_type: (r.n, r.ids) for r in counts} == {"response": (200_001, 200_001), "revisit": (99_999, 99_999)}
+
+
+def test_only_crlf_crlf_may_follow_a_record(spark, tmp_path):
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nshort\r\n\r\n"))
+    with pytest.raises(Exception, match="does not end where"):
+        warc.read_archives(spark, str(tmp_path)).collect()
+
+
 def test_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.originals(warc.payload_headers(pages)).count() == 0
