@@ -3,8 +3,10 @@
 A line's key is the line without ASCII white space at its ends, A-Z lower-cased; its hash has 128
 bits. A run holds ``hash, docs`` (how many documents have the line), sorted by hash within hash
 partitions, as one written table below the shared folder. Each new batch is merge-joined with the
-runs and then adds a run of its own at level 0; when a level has ``fanout`` runs they are merged
-into one run of the next level, so ``n`` batches leave about ``fanout * log(n)`` runs.
+runs and then adds a run of its own at level 0: hashes that no run holds start in it (``fresh``),
+the others add to their counts. When a level has ``fanout`` runs they are merged into one run of
+the next level, so ``n`` batches leave about ``fanout * log(n)`` runs. Of a hash's rows exactly
+one is fresh.
 
 Defined cases: a null or empty text is one empty line; empty keys are never counted or dropped;
 every row counts as a document, also rows repeated with the same id, which get the same answer;
@@ -58,16 +60,26 @@ class LineRuns:
         return path
 
     def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("hash binary, docs long").parquet(*paths)
+        return self.spark.read.schema("hash binary, docs long, fresh boolean").parquet(*paths)
 
     def counts(self) -> DataFrame:
         """``hash, docs`` over all runs; a hash may come once per run."""
         paths = [p for level in self.levels for p in level]
-        return self._read(paths) if paths else self.spark.createDataFrame([], "hash binary, docs long")
+        return (self._read(paths) if paths else self.spark.createDataFrame([], "hash binary, docs long, fresh boolean")).select("hash", "docs")
+
+    def _known(self) -> DataFrame:
+        """The hashes of all runs, each once."""
+        paths = [p for level in self.levels for p in level]
+        return self._read(paths).filter("fresh").select(F.col("hash").alias("known"))
 
     def add(self, lines: DataFrame) -> None:
-        """Adds the run of one batch and compacts every level that is full."""
+        """Joins one batch with the runs, adds its run and compacts every level that is full."""
         run = lines.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("docs"))
+        if self.written:
+            known = self._known().hint("merge")
+            run = run.join(known, F.col("hash") == F.col("known"), "left").select("hash", "docs", F.col("known").isNull().alias("fresh"))
+        else:
+            run = run.withColumn("fresh", F.lit(True))
         self._place(0, self._write(run))
 
     def _place(self, level: int, path: str) -> None:
@@ -75,7 +87,7 @@ class LineRuns:
             self.levels.append([])
         self.levels[level].append(path)
         if len(self.levels[level]) >= self.fanout:
-            merged = self._write(self._read(self.levels[level]).groupBy("hash").agg(F.sum("docs").alias("docs")))
+            merged = self._write(self._read(self.levels[level]).groupBy("hash").agg(F.sum("docs").alias("docs"), F.max("fresh").alias("fresh")))
             self.levels[level] = []
             self._place(level + 1, merged)
 
@@ -88,7 +100,8 @@ class LineRuns:
 
     def unseen(self, lines: DataFrame) -> DataFrame:
         """``id, hash``: the batch's lines that no run holds yet (merge-anti-join)."""
-        return lines.select("id", F.explode("hashes").alias("hash")).join(self.counts().select("hash"), "hash", "left_anti")
+        found = lines.select("id", F.explode("hashes").alias("hash"))
+        return found.join(self._known().hint("merge"), F.col("hash") == F.col("known"), "left_anti") if self.written else found
 
 
 def _purged(batches):

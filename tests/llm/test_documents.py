@@ -52,6 +52,28 @@ def test_runs_are_compacted_by_level(spark):
     assert [bytes(r.hash) for r in runs.unseen(batch).collect()] == [line_runs.line_hash(b"new")]
 
 
+def test_each_batch_is_joined_with_the_runs(spark):
+    runs = line_runs.LineRuns(spark, fanout=3)
+    for k in range(7):
+        runs.add(line_runs.document_lines(spark.createDataFrame([(k, f"same\nown {k}\npair {k // 2}"), (k, None)], "doc_id long, text string")))
+    paths = [p for level in runs.levels for p in level]
+    rows = [(bytes(r.hash), r.docs, r.fresh) for r in runs._read(paths).collect()]
+    fresh = Counter(h for h, _, new in rows if new)
+    assert set(fresh.values()) == {1}
+    assert set(fresh) == {h for h, _, _ in rows}
+    last = {bytes(r.hash): r.fresh for r in spark.read.parquet(runs.levels[0][-1]).collect()}
+    assert last == {line_runs.line_hash(b"same"): False, line_runs.line_hash(b"own 6"): True, line_runs.line_hash(b"pair 3"): True}
+
+
+def test_the_query_joins_its_batches(spark, monkeypatch):
+    joined = []
+    known = line_runs.LineRuns._known
+    monkeypatch.setattr(line_runs.LineRuns, "_known", lambda self: joined.append(self.written) or known(self))
+    docs = spark.createDataFrame([(k, f"same\nown {k}") for k in range(20)], "doc_id long, text string")
+    assert sorted(r.kept for r in line_runs.dedup_lines(docs).collect()) == sorted(f"own {k}" for k in range(20))
+    assert joined == [1, 2, 3]
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, n_chars long")
     assert line_runs.without_frequent_lines(docs).collect() == []
