@@ -6,7 +6,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, decontaminate, jaccard_join, line_runs, mixing, pii, quality, secrets, url_filter, warc
+from ledgerline.llm import ann, decontaminate, jaccard_join, licenses, line_runs, mixing, pii, quality, secrets, url_filter, warc
 from ledgerline.session import shared_dir
 
 
@@ -83,6 +83,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.detect(table(spark, sf_dir, "documents")).withColumn("base", licenses.base_detections())
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.word").alias("first_word"),
+        F.array_max("base.word").alias("last_word"),
+        licenses.joined_labels(F.col("base")).alias("base_labels"),
+        licenses.joined_labels(F.col("detections")).alias("labels"),
+        licenses.score().alias("score"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_line_dedup": op2_line_dedup,
@@ -94,5 +108,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
+    "op11_license_scan": op11_license_scan,
 }
 

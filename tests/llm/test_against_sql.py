@@ -16,6 +16,7 @@ CONTRACT = {
     "op7_nearest": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op8_pii": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
     "op9_quality": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11_license_scan": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double"},
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
