@@ -89,5 +89,43 @@ listed as (select distinct canon from canonical where regexp_matches(host, '(^|\
 select c.page_id, c.host, c.path, f.rule, coalesce(f.verdict, case when l.canon is not null then 'block' else 'allow' end) as verdict
 from canonical c left join fits f on c.page_id is not distinct from f.page_id and c.url = f.url and f.nr = 1
 left join listed l on c.canon = l.canon
+""",
+    "op12_lexical_search": f"""
+with docs as (select row_number() over () as nr, doc_id, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words from documents),
+items as (select row_number() over () as inr, item_id, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words from benchmark),
+asked as (select inr, item_id, term, count(*) as q from (select inr, item_id, unnest(words) as term from items) group by all),
+totals as (select count(*) as docs, cast(sum(len(words)) as bigint) as length from docs where len(words) > 0),
+held as (select nr, doc_id, n, term, count(*) as tf from (select nr, doc_id, cast(len(words) as bigint) as n, unnest(words) as term from docs) group by all),
+wanted as (select * from held where term in (select term from asked)),
+weights as (select term, cast(floor(1000 * ln((2 * t.docs + 2) / (2 * f.df + 1))) as bigint) as w from (select term, count(*) as df from wanted group by term) f, totals t),
+scored as (
+  select a.inr, a.item_id, h.nr, h.doc_id, sum(a.q * w.w * ((1000000000 * h.tf) // (1000 * h.tf + 12 * (100 - 25 + (25 * h.n * t.docs) // t.length)))) as score
+  from asked a join wanted h on a.term = h.term join weights w on a.term = w.term, totals t
+  group by a.inr, a.item_id, h.nr, h.doc_id),
+ranked as (select *, row_number() over (partition by inr order by score desc, doc_id nulls last) as rank from scored where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, cast(score as bigint) as score from ranked where rank <= 20
+""",
+    "op13_source_divergence": f"""
+with docs as (select row_number() over () as nr, coalesce(lang, '') as lang, coalesce(source, '') as source, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\\x00-\\x60\\x7B-\\x7F]+') as words from documents),
+said as (select nr, lang, source, unnest(words) as term from docs),
+kept as (select lang, term from said group by lang, term having count(distinct nr) >= 30),
+counts as (select s.lang, s.source, s.term, count(*) as n from said s join kept k on s.lang = k.lang and s.term = k.term group by all),
+sizes as (select lang, count(*) as v from kept group by lang),
+sums as (select lang, source, sum(n) as total from counts group by lang, source),
+groups as (
+  select g.lang, g.source, coalesce(z.v, 0) as v, cast(coalesce(s.total, 0) as bigint) as total
+  from (select distinct lang, source from docs) g left join sizes z on g.lang = z.lang left join sums s on g.lang = s.lang and g.source = s.source),
+shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n, 1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (g.total + 5 * g.v) as p
+  from groups g join kept k on g.lang = k.lang left join counts c on g.lang = c.lang and g.source = c.source and k.term = c.term),
+apart as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select a.lang, a.source, b.source as item, coalesce(d.value, 0) as value from groups a join groups b on a.lang = b.lang and a.source <> b.source left join apart d on a.lang = d.lang and a.source = d.source and b.source = d.item),
+whole as (select s.lang, s.term, 1 + (1000000000 * (sum(s.n) + 5)) // (any_value(t.total) + 5 * any_value(t.v)) as q from shares s join (select lang, sum(total) as total, any_value(v) as v from groups group by lang) t on s.lang = t.lang group by s.lang, s.term),
+marked as (select s.lang, s.source, s.term as item, s.p - w.q as value from shares s join whole w on s.lang = w.lang and s.term = w.term where s.n > 0 and s.p > w.q),
+ranked as (
+  select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, encode(item)) as rank from pairs
+  union all
+  select lang, source, 'term' as part, item, value, row_number() over (partition by lang, source order by value desc, encode(item)) as rank from marked)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as int) as rank from ranked where part = 'pair' or rank <= 50
 """,
 }

@@ -6,7 +6,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, decontaminate, jaccard_join, licenses, line_runs, mixing, pii, quality, secrets, url_filter, warc
+from ledgerline.llm import ann, decontaminate, divergence, jaccard_join, lexical_search, licenses, line_runs, mixing, pii, quality, secrets, url_filter, warc
 from ledgerline.session import shared_dir
 
 
@@ -97,6 +97,15 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.Audit(table(spark, sf_dir, "documents"), min_docs=30).report(top=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_line_dedup": op2_line_dedup,
@@ -109,5 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
     "op11_license_scan": op11_license_scan,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_source_divergence": op13_source_divergence,
 }
 

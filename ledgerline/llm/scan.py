@@ -22,3 +22,16 @@ def word_starts(body: np.ndarray, letters: np.ndarray) -> np.ndarray:
     """Where the maximal runs of ``letters`` begin."""
     inside = letters[body]
     return np.flatnonzero(inside[1:] > inside[:-1]) + 1 if not (len(inside) and inside[0]) else np.concatenate(([0], np.flatnonzero(inside[1:] > inside[:-1]) + 1))
+
+
+def pieces(body: bytes, letters: np.ndarray, size: int = 1 << 20):
+    """The text in pieces of about ``size`` bytes, cut where no word is divided, so that no list of all words is held."""
+    start = 0
+    while len(body) - start > size:
+        end = start + size
+        while end < len(body) and letters[body[end]]:  # to the end of the word, wherever that is
+            ahead = np.flatnonzero(~letters[np.frombuffer(body, np.uint8, min(size, len(body) - end), end)])
+            end = end + int(ahead[0]) if len(ahead) else min(end + size, len(body))
+        yield body[start:end]
+        start = end
+    yield body[start:]
