@@ -196,21 +196,19 @@ def _apart(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     width = int(rows["width"].iloc[0])
     base = rows[rows["ordinal"] < 0].sort_values("source", kind="stable")
     entries = rows[rows["ordinal"] >= 0]
-    names = base["source"].to_numpy()
+    names = base["source"].to_numpy(object)
     place = {s: k for k, s in enumerate(names)}
     shares = np.repeat(base["p"].fillna(0).to_numpy(np.int64)[:, None], width, axis=1)
     if len(entries):
         shares[entries["source"].map(place).to_numpy(np.int64), entries["ordinal"].to_numpy(np.int64) % SPAN] = entries["p"].to_numpy(np.int64)
     tile = base["tile"].to_numpy()
     left, right = np.flatnonzero(tile == one), np.flatnonzero(tile == other)
-    made = []
-    for k in left:
-        others = right[right > k] if one == other else right
-        if len(others):
-            made.append(pd.DataFrame({"a": names[k], "b": names[others], "value": np.abs(shares[others] - shares[k]).sum(axis=1)}))
-    found = pd.concat(made) if made else pd.DataFrame({"a": [], "b": [], "value": []})
-    found.insert(0, "lang", lang)
-    return found.astype({"value": "int64"})
+    pairs = [(k, right[right > k] if one == other else right) for k in left]
+    values = [np.abs(shares[others] - shares[k]).sum(axis=1) for k, others in pairs]
+    first = names[np.repeat(left, [len(others) for _, others in pairs])] if pairs else []
+    second = names[np.concatenate([others for _, others in pairs])] if pairs else []
+    found = {"a": pd.Series(first, dtype=object), "b": pd.Series(second, dtype=object), "value": np.concatenate(values) if values else np.zeros(0, np.int64)}
+    return pd.DataFrame({"lang": pd.Series([lang] * len(first), dtype=object), **found})
 
 
 class Audit:
