@@ -1,6 +1,6 @@
 """Column-selective upsert."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.history import latest_per_key
@@ -37,15 +37,13 @@ def upsert(
     if latest_by is not None:
         keyed = latest_per_key(keyed, keys, latest_by)
     values = [c for c in batch.columns if c not in keys]
+    # A row with another one of its key behind it fails the job. The window shares the shuffle and the sort of the join.
+    again = F.lead(F.lit(True)).over(Window.partitionBy(*keys).orderBy(*keys))
+    message = F.concat(F.lit("duplicate key in batch: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
     checked = (
-        keyed.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(F.lit(True).alias("_present"), *values)).alias("_new"))
-        .where(
-            F.when(F.col("_n") == 1, F.lit(True)).otherwise(
-                F.raise_error(F.concat(F.lit("duplicate key in batch: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))).cast("boolean")
-            )
-        )
-        .drop("_n")
+        keyed.withColumn("_again", again)
+        .where(F.when(F.col("_again"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        .select(*keys, F.struct(F.lit(True).alias("_present"), *values).alias("_new"))
     )
     old = target.select(*keys, F.struct(F.lit(True).alias("_present"), *[c for c in target.columns if c not in keys]).alias("_old"))
     joined = old.join(checked, keys, "full")

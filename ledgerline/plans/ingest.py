@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas as S
 from ledgerline.sources.landed import lookback, on_watchlist, read_filings, read_prices
 from ledgerline.sources.landing import land_partitions, read_if_there
+from ledgerline.sources.merge_on_read import Landing
 
 CIK_GROUPS = 64
 
@@ -18,6 +19,12 @@ def cik_group(groups: int) -> Column:
     return F.pmod(F.crc32(F.col("cik").cast("binary")), F.lit(groups)).cast("int")
 
 
+#: How the bronze tables are landed as deltas: prices and yields by month, documents by a fixed number of CIK groups.
+PRICES = Landing("raw_market_prices", S.RAW_MARKET_PRICES, S.PRICE_KEYS, S.PRICE_UPDATES, "trade_month", trade_month)
+FILINGS = Landing("raw_sec_filings", S.RAW_FILINGS, S.FILING_KEYS, S.FILING_UPDATES, "cik_group", lambda: cik_group(CIK_GROUPS))
+YIELDS = Landing("raw_macro_yields", S.RAW_MACRO_YIELDS, S.YIELD_KEYS, S.YIELD_UPDATES, "observation_month", lambda: F.date_format("observation_date", "yyyy-MM"))
+
+
 def ingest_prices(
     spark: SparkSession,
     incoming: str,
