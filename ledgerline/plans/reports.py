@@ -1,5 +1,7 @@
 """Report projections over the gold tables."""
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,6 +9,8 @@ from ledgerline.functions.columns import ascending, billions_label, currency_lab
 from ledgerline.operators.fundamentals import dcf_defaults, ttm_rollup
 from ledgerline.operators.history import latest_per_key
 from ledgerline.operators.valuation import dcf
+from ledgerline.plans.build import built
+from ledgerline.sources.versions import TableSet
 
 PAGE_COLUMNS = ("ticker", "company_name", "reporting_currency", "primary_exchange", "industry")
 
@@ -65,7 +69,7 @@ def statement_history(
     if order not in ("latest", "reference"):
         raise ValueError("order must be 'latest' or 'reference'")
     if ticker is not None:
-        companies = _company(companies, ticker)
+        companies, quarterly = _company(companies, ticker), _only(quarterly, ticker)
     figures = {
         "revenue": "total_revenue",
         "operating_income": "operating_income",
@@ -103,7 +107,7 @@ def company_page(
     The statements of the page are :func:`statement_history`.
     """
     if ticker is not None:
-        companies = _company(companies, ticker)
+        companies, daily, quarterly = _company(companies, ticker), _only(daily, ticker), _only(quarterly, ticker)
     latest = _latest_day(daily).select("company_sk", "close_price", "daily_return", "sma_20", "sma_50")
     header = companies.join(latest, "company_sk", "left").select(
         "company_sk",
@@ -117,9 +121,30 @@ def company_page(
     return dcf(inputs)
 
 
+def built_page(tables: TableSet, ticker: str, order: str = "latest") -> DataFrame:
+    """:func:`company_page` of one company out of the built tables: one partition folder of each is read."""
+    return company_page(*[built(tables, f"gold/{t}", ticker) for t in ("dim_company", "fact_daily_market_valuation", "fact_quarterly_financials")], ticker, order)
+
+
+def built_history(tables: TableSet, ticker: str, chart: bool = False, order: str = "latest") -> DataFrame:
+    """:func:`statement_history` of one company out of the built tables."""
+    return statement_history(*[built(tables, f"gold/{t}", ticker) for t in ("dim_company", "fact_quarterly_financials")], ticker, chart, order)
+
+
 def _company(companies: DataFrame, ticker: str) -> DataFrame:
     """The first company row of a ticker in any case; no row when there is none."""
-    return companies.where(F.col("ticker") == F.upper(F.lit(ticker))).orderBy(F.col("cik").asc_nulls_last()).limit(1)
+    return companies.where(F.col("ticker") == ticker.upper()).orderBy(F.col("cik").asc_nulls_last()).limit(1)
+
+
+def _only(facts: DataFrame, ticker: str) -> DataFrame:
+    """The rows of one company. Its key is a literal, which reaches the scan of every side and skips files and row groups."""
+    found = facts.where(F.col("company_sk") == company_sk(ticker))
+    return found.where(F.col("ticker") == ticker.upper()) if "ticker" in facts.columns else found
+
+
+def company_sk(ticker: str) -> str:
+    """The key that ``company_key`` gives a ticker."""
+    return hashlib.md5(ticker.upper().encode(), usedforsecurity=False).hexdigest()
 
 
 def _latest_day(daily: DataFrame) -> DataFrame:

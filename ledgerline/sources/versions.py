@@ -83,9 +83,12 @@ class TableSet:
 
     def read(self, name: str, where: Iterable[str] | None = None) -> DataFrame:
         """The table's columns; of ``where`` partition values only, whose folders alone are listed."""
-        table = self.tables[name]
+        return self.read_written(self.tables[name], where)
+
+    def read_written(self, table: Table, where: Iterable[str] | None = None) -> DataFrame:
+        """A table that need not be committed yet."""
         chosen = table.parts if where is None else {v: table.parts[v] for v in where if v in table.parts}
-        return self._folders(table, [f"{self.root}/{name}/{WRITE}={write}" + _below(table, value) for value, write in chosen.items()])
+        return self._folders(table, [f"{self.root}/{table.name}/{WRITE}={write}" + _below(table, value) for value, write in chosen.items()])
 
     def read_delta(self, name: str, delta: Delta, table: Table | None = None) -> DataFrame:
         """A landed batch; ``table`` stands for one that is not committed yet."""
@@ -142,6 +145,11 @@ class TableSet:
         made.spark, made.root, made.version, made.tables = self.spark, self.root, number, new
         return made
 
+    def paths(self, name: str) -> list[str]:
+        """The folders that a table's rows lie in."""
+        table = self.tables[name]
+        return sorted({f"{self.root}/{name}/{WRITE}={write}" for write in table.parts.values()})
+
     def replace_parts(self, name: str, written: Table, gone: Iterable[str] = ()) -> Table:
         """The table with the partitions of ``written`` in place of its own, and without those of ``gone``."""
         old = self.tables[name]

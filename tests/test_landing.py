@@ -301,14 +301,14 @@ def test_build(spark, tmp_path):
     spark.createDataFrame([("0001652044", "GOOGL", "FACTS", 0, "ALL", payload, OLD)], S.RAW_FILINGS).write.parquet(f"{bronze}/raw_sec_filings")
 
     for strategy in ("range", "window"):
-        paths = build(spark, bronze, out, strategy=strategy)
-        daily = spark.read.parquet(paths["gold/fact_daily_market_valuation"])
+        tables = build(spark, bronze, out, strategy=strategy)
+        daily = tables.read("gold/fact_daily_market_valuation")
         assert daily.count() == 120
         seen = daily.where("filing_date is not null").agg(F.min("trade_date"), F.count("*"), F.max("net_margin")).first()
         assert tuple(seen) == (dt.date(2024, 2, 1), 33, D("1.0000"))
-    assert spark.read.parquet(paths["gold/dim_company"]).count() == 2
-    assert spark.read.parquet(paths["silver/market_prices"]).columns[-5] != "ingested_at"
-    assert "gold_dim_company" in register_views(spark, paths)
+    assert tables.read("gold/dim_company").count() == 2
+    assert "ingested_at" not in tables.read("silver/market_prices").columns
+    assert "gold_dim_company" in register_views(tables)
     assert spark.sql("select count(*) from gold_fact_daily_market_valuation join gold_dim_company using (company_sk)").first()[0] == 120
     assert check_sources(spark, bronze).where("should_error").count() == 0
     assert check_sources(spark, bronze).count() == 6
@@ -337,7 +337,7 @@ def test_ingest_then_build(spark, tmp_path):
     assert spark.read.parquet(filings_path).count() == 1
     (landed / "day1.csv").write_text(f"{HEADER}\nother,2024-01-31,9,9,9,9,7,5\n")
     assert ingest_prices(spark, str(landed), prices_path, f"{work}/prices", "3", "csv", watchlist=watchlist(spark)) == 0
-    daily = spark.read.parquet(build(spark, bronze, str(tmp_path / "out"))["gold/fact_daily_market_valuation"])
+    daily = build(spark, bronze, str(tmp_path / "out")).read("gold/fact_daily_market_valuation")
     rows = {(r["ticker"], str(r["trade_date"])): (r["close_price"], r["adj_close"], r["total_revenue"]) for r in daily.collect()}
     assert rows == {
         ("1155.KL", "2024-01-31"): (D("2.0000"), D("2.0000"), None),
