@@ -14,13 +14,17 @@ replicated to exactly those regions. Two sets within ``r`` have their first comm
 itself, and all members are compared with it, which joins large groups of near copies by a star of
 links instead of all pairs. Regions whose members are all connected by then are done.
 
-**Recursion.** In the other regions only members outside the largest connected part are compared with the
-rest, and only in the first region two sets share. Large regions are cut into blocks; two blocks are
-joined recursively in the metric space of histograms: a member is the pivot, those within the median
-distance are divided from those beyond, and both sides of a window around the border are replicated
-into a third and fourth part. Where a window holds nearly everything, the parts are compared as they are.
+**Home regions.** Where more than ``PAIRS`` pairs are left, the members of a home region - each set is in one only - are
+compared in blocks, which connects most of what is left of a large group with one copy of each set.
 
-**Candidates** pass two bounds that hold for every pair within the radius - sizes, and the distance between
+**Recursion.** In the regions that more than one connected part still meets in, members outside the largest part
+are compared with the rest: small regions by a join, large ones by every two of their blocks. A first task divides its
+blocks recursively by distances of histograms to members as pivots, with windows on both sides of each border, and
+finds who can have a partner there, in the first region that both share. A second task divides only those, by Jaccard
+distances, and counts overlaps of whole sets. What leaves is a spanning forest of the parts, never the pairs. The
+comparisons within a large group of mutually distant near copies grow with its square, spread over pairs of blocks.
+
+**Candidates** of stars and small regions pass two bounds that hold for every pair within the radius - sizes, and the distance between
 histograms of their shingles, which never exceeds the symmetric difference - before the whole sets
 are compared. All of this is exact, up to equal 64-bit hashes of different shingles.
 
@@ -41,6 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import components
+from ledgerline.llm.jaccard_blocks import Forest, Sets, forest
 from ledgerline.llm.text import text_key
 from ledgerline.session import shared_dir
 
@@ -54,9 +59,10 @@ MAP_BITS = 22
 BUCKETS = 128
 #: Rows of keys that are broadcast; beyond, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
-#: Pairs left to compare beyond which a region is joined in blocks, and the members of a block.
+#: Pairs left to compare beyond which a region is joined in blocks; members and shingles of a block.
 PAIRS = 2_000
 BLOCK = 1_024
+SHINGLES = 1 << 19
 #: Pairs of histograms that are compared at once.
 AT_ONCE = 1 << 16
 
@@ -188,28 +194,42 @@ def metric_pairs(left: np.ndarray, right: np.ndarray, histograms: np.ndarray, ra
             yield some[x], b[y]
 
 
-def _block_pairs(similarity: Fraction) -> Callable:
+def _block_candidates(similarity: Fraction) -> Callable:
     s = similarity
 
-    def pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def groups(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        """The members with a possible partner, each with the group it is connected with by such pairs."""
         i, j = key[1:]
         n, part, minor, block = (rows[c].to_numpy() for c in ("n", "part", "minor", "block"))
         histograms = np.frombuffer(b"".join(rows["histogram"]), ">i2").reshape(-1, BUCKETS).astype(np.int16)
-        found = []
         radius = 2 * int(n.max()) * (s.denominator - s.numerator) // (s.denominator + s.numerator)
         earlier = [set(x) for x in rows["earlier"]]
-        c = rows["c"].tolist()
+        joined = Forest(len(rows))
         for x, y in metric_pairs(np.flatnonzero(block == i), np.flatnonzero(block == j), histograms, radius):
             total, apart = n[x] + n[y], np.abs(histograms[x] - histograms[y]).sum(1, dtype=np.int64)
-            right = (part[x] != part[y]) & (minor[x] | minor[y]) & (apart * (s.denominator + s.numerator) <= total * (s.denominator - s.numerator))
-            if i == j:
-                right &= x < y
-            for k, m in zip(x[right], y[right]):
-                if earlier[k].isdisjoint(earlier[m]):
-                    found.append((min(c[k], c[m]), max(c[k], c[m])))
-        return pd.DataFrame(found, columns=["a", "b"])
+            right = (x != y) & (part[x] != part[y]) & (minor[x] | minor[y]) & (apart * (s.denominator + s.numerator) <= total * (s.denominator - s.numerator))
+            for k, m in zip(x[right].tolist(), y[right].tolist()):
+                if joined.root(k) != joined.root(m) and earlier[k].isdisjoint(earlier[m]):
+                    joined.join(k, m)
+        group = np.array([joined.root(k) for k in range(len(rows))], np.int64)
+        found = np.bincount(group, minlength=len(rows))[group] > 1
+        some = rows.loc[found, ["pivot", "i", "j", "block", "c", "part", "minor"]]
+        return some.assign(group=group[found])
+
+    return groups
+
+
+def _block_links(similarity: Fraction) -> Callable:
+    def links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = key[1:3]
+        sets = Sets([np.frombuffer(x, np.uint64) for x in rows["found"]])
+        block, minor = rows["block"].to_numpy(), rows["minor"].to_numpy(bool)
+        part = np.unique(rows["part"].to_numpy(object), return_inverse=True)[1]
+        c = rows["c"].tolist()
+        found = forest(sets, part, minor, np.flatnonzero(block == i), np.flatnonzero(block == j), similarity)
+        return pd.DataFrame([(min(c[x], c[y]), max(c[x], c[y])) for x, y in found], columns=["a", "b"])
 
-    return pairs
+    return links
 
 
 class JaccardJoin:
@@ -343,29 +363,51 @@ class JaccardJoin:
         stars = met_centre.filter(self._possible(F.col("at"), F.col("bat"), F.col("n"), F.col("bn")))
         star_links = self._verified(stars.select(F.least("c", "b").alias("a"), F.greatest("c", "b").alias("b")), classes, "star")
 
-        parts = self._kept(components(star_links), "parts").withColumnRenamed("node", "pc")
+        known = self._known(entries, star_links)
+        home_links = self._home_links(known, classes)
+        if home_links is not None:
+            star_links = star_links.unionByName(home_links)
+            known = self._known(entries, star_links)
+        regions = self._open(known)
+        rest = self._verified(self._pairs(regions.filter(F.col("left") <= PAIRS)), classes, "rest")
+        crossed = self._blocks(regions.filter(F.col("left") > PAIRS), classes, "crossed")
+        return self._kept(star_links.unionByName(rest).unionByName(crossed).distinct(), "links")
+
+    def _known(self, entries: DataFrame, links: DataFrame) -> DataFrame:
+        """The entries with the part that the links so far connect each set with."""
+        parts = self._kept(components(links), "parts").withColumnRenamed("node", "pc")
         known = entries.join(parts, F.col("c") == F.col("pc"), "left").select("pivot", "at", "c", "n", F.coalesce("component", "c").alias("part"))
-        known = self._kept(known, "known")
-        rest = self._verified(self._region_pairs(self._open(known), classes), classes, "rest")
-        return self._kept(star_links.unionByName(rest).distinct(), "links")
+        return self._kept(known, "known")
+
+    def _home_links(self, known: DataFrame, classes: DataFrame) -> DataFrame | None:
+        """Links within the blocks of large home regions, where each set is in one region and one block only; None if no region is large."""
+        home = known.groupBy("c").agg(F.min(F.struct("at", "pivot", "n", "part")).alias("h")).select("h.pivot", "h.at", "c", "h.n", "h.part")
+        large = self._open(self._kept(home, "homes")).filter(F.col("left") > PAIRS)
+        return None if large.isEmpty() else self._blocks(large, classes, "home", across=False)
 
     def _open(self, known: DataFrame) -> DataFrame:
-        """The members of regions that more than one connected part meets in, with the pairs left to compare there."""
-        sizes = known.groupBy("pivot", "part").agg(F.count("*").alias("m"))
-        regions = sizes.groupBy("pivot").agg(F.count("*").alias("parts"), F.sum("m").alias("members"), F.max(F.struct("m", "part")).alias("main")).filter("parts > 1")
-        regions = self._kept(regions.select("pivot", "members", (F.col("members") * (F.col("members") - F.col("main.m"))).alias("left"), F.col("main.part").alias("main")), "regions")
-        return self._kept(known.join(regions, "pivot").select("pivot", "at", "c", "n", "part", "members", "left", (F.col("part") != F.col("main")).alias("minor")), "open")
-
-    def _region_pairs(self, regions: DataFrame, classes: DataFrame) -> DataFrame:
-        """Candidate pairs of the open regions: small ones by a join, large ones cut into blocks, every two of which are one task's work."""
-        small = self._pairs(regions.filter(F.col("left") <= PAIRS))
-        large = regions.filter(F.col("left") > PAIRS).join(classes.select(F.col("c").alias("wc"), "win", "histogram"), F.col("c") == F.col("wc"))
-        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+        """The members of regions that more than one connected part meets in, with the pairs left to compare and the shingles there."""
+        sizes = known.groupBy("pivot", "part").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+        regions = sizes.groupBy("pivot").agg(F.count("*").alias("parts"), F.sum("m").alias("members"), F.sum("s").alias("shingles"), F.max(F.struct("m", "part")).alias("main")).filter("parts > 1")
+        regions = self._kept(regions.select("pivot", "members", "shingles", (F.col("members") * (F.col("members") - F.col("main.m"))).alias("left"), F.col("main.part").alias("main")), "regions")
+        return self._kept(known.join(regions, "pivot").select("pivot", "at", "c", "n", "part", "members", "shingles", "left", (F.col("part") != F.col("main")).alias("minor")), "open")
+
+    def _blocks(self, regions: DataFrame, classes: DataFrame, name: str, across: bool = True) -> DataFrame:
+        """Links of large regions, cut into blocks of bounded size: within each, and ``across`` every two of them.
+
+        A first task per pair of blocks finds by bounds which members can have a partner there; only their sets are
+        sent to a second one, which compares them.
+        """
+        blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / SHINGLES)).cast("int")
+        large = regions.join(classes.select(F.col("c").alias("wc"), "win", "histogram"), F.col("c") == F.col("wc"))
         own = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
-        placed = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        met = placed.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c", "n", "at", "part", "minor", F.slice("win", F.lit(1), F.col("at")).alias("earlier"), "histogram")
-        near = met.groupBy("pivot", "i", "j").applyInPandas(_block_pairs(self.similarity), "a binary, b binary")
-        return small.unionByName(near)
+        placed = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if across else F.col("block"))
+        met = placed.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c", "n", "part", "minor", F.slice("win", F.lit(1), F.col("at")).alias("earlier"), "histogram")
+        possible = met.groupBy("pivot", "i", "j").applyInPandas(_block_candidates(self.similarity), "pivot long, i int, j int, block int, c binary, part binary, minor boolean, group long")
+        possible = self._kept(possible, f"{name}-possible").withColumnRenamed("c", "mc")
+        sets = self._kept(self._full(possible.select(F.col("mc").alias("w")).distinct()), f"{name}-sets")
+        whole = possible.join(sets, F.col("mc") == F.col("c")).select("pivot", "i", "j", "group", "block", "c", "part", "minor", "found")
+        return self._kept(whole.groupBy("pivot", "i", "j", "group").applyInPandas(_block_links(self.similarity), "a binary, b binary"), f"{name}-links")
 
     def _pairs(self, regions: DataFrame) -> DataFrame:
         """Members outside the main part against all others of their region that are not connected with them yet."""

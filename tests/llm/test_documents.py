@@ -5,12 +5,13 @@ import itertools
 import random
 from collections import Counter
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, jaccard_join, line_runs, mixing
+from ledgerline.llm import decontaminate, jaccard_blocks, jaccard_join, line_runs, mixing
 from ledgerline.llm.components import components
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -233,7 +234,7 @@ def near_copies(rng, base, edits):
 def test_groups_equal_brute_force(spark, words, similarity, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PAIRS", 20)
     monkeypatch.setattr(jaccard_join, "BLOCK", 16)
-    monkeypatch.setattr(jaccard_join, "AT_ONCE", 32)
+    monkeypatch.setattr(jaccard_join, "SHINGLES", 500)
     monkeypatch.setattr(jaccard_join, "COMMON", 4)
     rng = random.Random(words)
     vocabulary = [f"w{k}" for k in range(60)]
@@ -257,20 +258,70 @@ def test_rows_without_id_stay(spark):
     assert jaccard_join.keep_one(docs.limit(0)).count() == 0
 
 
-def test_metric_pairs_lose_nothing():
+def test_metric_pairs_lose_nothing(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "AT_ONCE", 64)
     rng = np.random.default_rng(3)
     points = np.vstack([rng.integers(0, 4, (150, 8)), rng.integers(10, 14, (150, 8))]).astype(np.int16)
     index = np.arange(300)
-    old, jaccard_join.AT_ONCE = jaccard_join.AT_ONCE, 64
-    try:
-        found = Counter((int(x), int(y)) for a, b in jaccard_join.metric_pairs(index, index, points, 5) for x, y in zip(a, b))
-    finally:
-        jaccard_join.AT_ONCE = old
+    found = Counter((int(x), int(y)) for a, b in jaccard_join.metric_pairs(index, index, points, 5) for x, y in zip(a, b))
     apart = np.abs(points[:, None].astype(int) - points[None]).sum(2)
     assert set(found) == {(int(x), int(y)) for x, y in zip(*np.nonzero(apart <= 5))}
     assert max(found.values()) == 1
 
 
+def test_division_loses_nothing(monkeypatch):
+    monkeypatch.setattr(jaccard_blocks, "AT_ONCE", 64)
+    rng = np.random.default_rng(3)
+    own = [np.unique(rng.integers(100 * (k % 4), 100 * (k % 4) + 30, rng.integers(1, 60))).astype(np.uint64) for k in range(200)] + [np.zeros(0, np.uint64)]
+    sets, index = jaccard_blocks.Sets(own), np.arange(201)
+    plain = [[len(np.intersect1d(x, y)) for y in own] for x in own]
+    for sparse, columns in ((64, 7), (0, 7), (10**9, 7)):
+        monkeypatch.setattr(jaccard_blocks, "SPARSE", sparse)
+        monkeypatch.setattr(jaccard_blocks, "COLUMNS", columns)
+        assert sets.shared(index, index).tolist() == plain
+    met = Counter((int(x), int(y)) for a, b in jaccard_blocks.parts_within(sets, index, index, 0.2) for x in a for y in b)
+    near = {(x, y) for x in range(201) for y in range(201) if plain[x][y] and plain[x][y] >= 0.8 * (len(own[x]) + len(own[y]) - plain[x][y])}
+    assert near <= set(met) and max(met.values()) == 1 and len(met) < 201 * 201
+
+
+def test_forest_connects_what_pairs_connect():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        own = [np.unique(rng.integers(0, 25, 14)).astype(np.uint64) for _ in range(40)]
+        part, minor = rng.integers(0, 25, 40), rng.random(40) < 0.7
+        left, right = (np.arange(40), np.arange(40)) if rng.random() < 0.5 else (np.arange(20), np.arange(20, 40))
+        links = jaccard_blocks.forest(jaccard_blocks.Sets(own), part, minor, left, right, Fraction(7, 10))
+        similar = lambda x, y: 10 * len(np.intersect1d(own[x], own[y])) >= 7 * len(np.union1d(own[x], own[y]))  # noqa: B023, E731
+        groups = {}
+        for source in (links, [(x, y) for x in left for y in right if part[x] != part[y] and (minor[x] or minor[y]) and similar(x, y)]):
+            group = {int(p): int(p) for p in part}
+            for x, y in source:
+                old, new = group[int(part[x])], group[int(part[y])]
+                group = {k: new if g == old else g for k, g in group.items()}
+            groups[len(groups)] = {frozenset(k for k in group if group[k] == g) for g in group.values()}
+        assert groups[0] == groups[1]
+        assert all(similar(x, y) for x, y in links)
+        assert len(links) == len(set(part.tolist())) - len(groups[0])
+
+
+def test_a_large_group_leaves_its_tasks_in_proportion(spark, monkeypatch):
+    """Twice the near copies give about twice the rows in every written table, not four times."""
+    rng = random.Random(7)
+    base = " ".join(f"w{rng.randrange(4000)}" for _ in range(200))
+    texts = [near_copies(rng, base, 2) for _ in range(1200)]
+    monkeypatch.setattr(jaccard_join, "BLOCK", 256)
+    rows = []
+    for n in (300, 600, 1200):
+        join = jaccard_join.JaccardJoin(spark.createDataFrame(list(enumerate(texts[:n])), "doc_id long, text string"), 3, Fraction(9, 10))
+        got = Counter((r.id, r.n, r.component) for r in join.groups().collect())
+        if n == 300:
+            assert got == plain_groups(list(enumerate(texts[:n])), 3, Fraction(9, 10))
+        rows.append({p.name.split("-", 1)[1]: spark.read.parquet(str(p)).count() for p in Path(join.folder).iterdir()})
+    for less, more in zip(rows, rows[1:]):
+        for name in ("home-possible", "home-links", "rest-pairs", "rest-links", "crossed-possible", "crossed-links", "links"):
+            assert more.get(name, 0) <= 3 * max(less.get(name, 0), 300), (name, less, more)
+
+
 def test_word_hashes_follow_words():
     assert list(jaccard_join.word_hashes(b"a B  a\tb\n")) == list(jaccard_join.word_hashes(b"A b A B"))
     assert len(set(jaccard_join.word_hashes(b"ab ba abb a b aab \xc3\xa9 \xc3\x89"))) == 8
