@@ -61,6 +61,74 @@ def scd2(
     )
 
 
+def splice_versions(
+    versions: DataFrame,
+    facts: DataFrame,
+    keys=FACT_KEYS,
+    effective: str = "filed_date",
+    order=FACT_ORDER,
+    key_name: str = "statement_sk",
+    slicing="auto",
+    rows_at_most: int | None = None,
+) -> DataFrame:
+    """What changes in a version history when ``facts``, late or new, come to it.
+
+    ``versions`` is what :func:`scd2` makes of the facts so far. Returned are the versions that open (``_new``) and
+    the present ones that end at another date or are current no longer, with all columns of ``versions``; every other version
+    stays. Facts that the history holds already, in all columns, open nothing.
+
+    Of a touched key only the versions around the new dates are looked at: those that end no earlier than the key's
+    first new date and begin no later than its last one. That includes the one before every new fact, whose old
+    end is the end of the last new fact behind it. A fact before a key's whole history ends where that begins.
+    """
+    order = [c for c in order if c in facts.columns]
+    names = facts.columns
+    never = F.lit(OPEN_END).cast("date")
+    day = F.coalesce(F.col(effective), never)
+    span = facts.groupBy(*keys).agg(F.min(day).alias("_least"), F.max(day).alias("_most"))
+    of_key = [F.col(f"v.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    met = versions.alias("v").join(span.alias("s"), of_key)
+    began = met.groupBy(*[F.col(f"v.{k}") for k in keys]).agg(F.min("valid_from").alias("_began"), F.lit(True).alias("_some"))
+    around = met.where((F.col("valid_to") >= F.col("_least")) & (F.coalesce("valid_from", never) <= F.col("_most")))
+    present = around.select(
+        *[F.col(f"v.{c}") if c != effective else F.col("v.valid_from").alias(effective) for c in names],
+        F.struct(F.col("v.valid_to").alias("valid_to"), F.col("v.is_current").alias("is_current")).alias("_old"),
+    )
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"p.{c}")) for c in names]
+    fresh = facts.distinct().alias("f").join(present.alias("p"), same, "left_anti")
+    rows = present.unionByName(fresh, allowMissingColumns=True)
+
+    plan = resolve(slicing, rows, keys, order, rows_at_most)
+    groups = list(keys)
+    if plan is not None:
+        sliced = plan.assign(rows)
+        after = plan.neighbours(sliced.select(*keys, *order, "_old", "_slice", "_last"), 1, "after", order)
+        before = plan.neighbours(sliced.where(F.col("_old").isNotNull()).select(*keys, *order, "_old", "_slice", "_last"), 1, "before", order)
+        rows = sliced.drop("_last").withColumn("_own", F.lit(True))
+        for more in (after, before):
+            rows = rows.unionByName(more.withColumn("_own", F.lit(False)), allowMissingColumns=True)
+        groups = [*keys, "_slice"]
+    along = Window.partitionBy(*groups).orderBy(*ascending(order))
+    next_ = F.lead(F.struct(F.col(effective).alias("at"), F.col("_old").isNull().alias("new"))).over(along)
+    last_old = F.last("_old", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    placed = rows.withColumns({"_next": next_, "_before": last_old})
+    if plan is not None:
+        placed = placed.where("_own")
+    placed = placed.where(F.col("_old").isNull() | F.col("_next.new")).alias("r").join(began.alias("b"), [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], "left")
+    followed = F.col("_next").isNotNull()
+    known = F.col("_before").isNotNull()  # some present version comes before; else what follows last is the key's first one
+    end = F.when(followed, F.col("_next.at")).when(known, F.col("_before.valid_to")).otherwise(F.col("_began"))
+    current = F.when(followed, F.lit(False)).when(known, F.col("_before.is_current")).otherwise(F.col("_some").isNull())
+    return placed.select(
+        surrogate_key(*[F.col(f"r.{k}") for k in keys], F.col(effective)).alias(key_name),
+        *[F.col(f"r.{c}") for c in names if c != effective],
+        F.col(effective).alias("valid_from"),
+        F.coalesce(end, never).alias("valid_to"),
+        current.alias("is_current"),
+        F.col("_old").isNull().alias("_new"),
+    )
+
+
 def current_versions(facts: DataFrame, keys=FACT_KEYS, effective: str = "filed_date", order=FACT_ORDER) -> DataFrame:
     """The rows :func:`scd2` marks current, without building the history.
 
