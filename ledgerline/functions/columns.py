@@ -89,5 +89,10 @@ def in_billions(amount):
     return to_fixed(_col(amount).cast("double") / F.lit(1e9), 2)
 
 
+def json_fields(text, **kinds):
+    """A struct of top-level fields of a JSON text, by name and type; absent or unfitting ones are null."""
+    return F.from_json(_col(text), ", ".join(f"`{name}` {kind}" for name, kind in kinds.items()))
+
+
 def _col(c):
     return c if isinstance(c, Column) else F.col(c)

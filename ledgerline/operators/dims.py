@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import company_key
+from ledgerline.functions.columns import company_key, json_fields
 
 # How a ticker's suffix decides currency and exchange, and the default industry.
 BURSA_SUFFIX = ".KL"
@@ -21,7 +21,7 @@ def dim_company(prices: DataFrame, filings: DataFrame) -> DataFrame:
     and both sides of the join are small by then.
     """
     tickers = prices.select("ticker").distinct()
-    entity = F.from_json("payload", "entityName string, sicDescription string")
+    entity = json_fields("payload", entityName="string", sicDescription="string")
     entities = (
         filings.select("ticker", "cik", entity.alias("_entity"))
         .select("ticker", "cik", F.col("_entity.entityName").alias("_name"), F.col("_entity.sicDescription").alias("_industry"))

@@ -50,12 +50,8 @@ class Slicing:
         table = _sent(self.cuts, self.all_cuts).alias("c")
         same_key = [F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in self.keys]
         key = order_key([F.col(f"d.{c}") for c in self.order])
-        found = df.alias("d").join(table, same_key, "left").select("d.*", "c._cuts", key.alias("_key"), F.lit(0).alias("_slice"))
-        # Binary search for the number of cuts not above the row, one column per step, so that
-        # it runs in generated code. Without cuts every comparison is null and 0 remains.
-        for step in [2**i for i in reversed(range(self.most_cuts.bit_length()))]:
-            probe = F.get("_cuts", F.col("_slice") + (step - 1))
-            found = found.withColumn("_slice", F.when(probe <= F.col("_key"), F.col("_slice") + step).otherwise(F.col("_slice")))
+        found = df.alias("d").join(table, same_key, "left").select("d.*", "c._cuts", key.alias("_key"))
+        found = count_not_above(found, "_cuts", "_key", self.most_cuts, "_slice")
         last = F.when(F.col("_cuts").isNotNull(), F.size("_cuts"))
         return found.withColumn("_last", last).drop("_cuts", "_key")
 
@@ -106,6 +102,20 @@ class Slicing:
         )
 
 
+def count_not_above(df: DataFrame, array: str, value: str, most: int, name: str) -> DataFrame:
+    """Add ``name``: how many entries of the ascending ``array``, of at most ``most``, are not above ``value``.
+
+    Binary search, one column per step, so that it runs in generated code. Without an array, or
+    for a null value, every comparison is null and 0 remains.
+    """
+    found = df.withColumn(name, F.lit(0))
+    for step in [2**i for i in reversed(range(most.bit_length()))]:
+        # The bits from this step's on are still 0, so they can be set instead of added, which needs no overflow checks.
+        probe = F.get(array, F.col(name).bitwiseOR(step - 1))
+        found = found.withColumn(name, F.when(probe <= F.col(value), F.col(name).bitwiseOR(step)).otherwise(F.col(name)))
+    return found
+
+
 def _sent(table: DataFrame, size: int) -> DataFrame:
     return F.broadcast(table) if size <= BROADCAST_CUTS else table
 

@@ -2,7 +2,7 @@
 
 import hashlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import ascending, billions_label, currency_label, descending, in_billions, percent
@@ -95,6 +95,14 @@ def statement_history(
     return rows
 
 
+def statement_positions(companies: DataFrame, quarterly: DataFrame) -> DataFrame:
+    """Every company's statements with their places, from 1, in the order of :func:`statement_history` and in the page's original one."""
+    by = ["period_end_date", "period"]
+    rows = statement_history(companies, quarterly).select("ticker", *by)
+    place = lambda order: F.row_number().over(Window.partitionBy("ticker").orderBy(*order))
+    return rows.withColumns({"oldest_first": place(ascending(by)), "newest_first": place(descending(by))})
+
+
 def company_page(
     companies: DataFrame,
     daily: DataFrame,

@@ -59,7 +59,7 @@ def asof(spark, left, right, **options):
     return {x["t"]: x["v"] for x in asof_join(l, r, "k", "t", "u", tiebreak=["e"], **options).collect()}
 
 
-@pytest.mark.parametrize("strategy", ["window", "range"])
+@pytest.mark.parametrize("strategy", ["window", "range", "packed"])
 def test_asof_edges(spark, strategy):
     d = dt.date
     left = [d(2024, 1, 1), d(2024, 2, 1), d(2024, 2, 2), None]

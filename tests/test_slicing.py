@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerline.operators import slicing
+from ledgerline.operators import asof
 from ledgerline.operators.asof import asof_join
 from ledgerline.operators.history import FACT_KEYS, FACT_ORDER, scd2
 from ledgerline.operators.price_analytics import price_analytics
@@ -143,6 +144,20 @@ def test_asof_hot_on_either_side(spark):
     assert sliced.count() == 4000
 
 
+def test_packed_form_has_no_bound_per_key(spark, monkeypatch):
+    """Many right rows of one key in many arrays; without a broadcast the join is by key and array."""
+    one = F.when(F.col("id") >= 0, "A").otherwise("B").alias("k")  # a literal would leave no key to join by
+    left = spark.range(5000).select(one, (F.col("id") * 7 % 4001).alias("t"), F.col("id").alias("l"))
+    right = spark.range(3000).select(one, (F.col("id") + 100).alias("u"), F.col("id").alias("r"))
+    for rows in (10**6, 0):
+        monkeypatch.setattr(asof, "BROADCAST_ROWS", rows)
+        df = asof_join(left, right, "k", "t", "u", strategy="packed")
+        assert df.where(~F.col("r").eqNullSafe(F.when(F.col("t") >= 100, F.least(F.col("t") - 100, F.lit(2999))))).count() == 0
+        assert df.count() == 5000
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_chunk" in text and "BroadcastNestedLoopJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_asof_hot_key_and_time(spark):
     """A third of the left rows share key and time; they still spread over slices."""
     left = spark.range(3000).select(F.lit("A").alias("k"), F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 11).alias("t"), "id")
@@ -174,7 +189,12 @@ def test_asof_forms_against_brute_force(spark, left, right):
     forms = {
         "window": asof_join(l, r, "k", "t", "u", tiebreak=["r"], slicing=None),
         "range": asof_join(l, r, "k", "t", "u", tiebreak=["r"], strategy="range"),
+        "packed": asof_join(l, r, "k", "t", "u", tiebreak=["r"], strategy="packed"),
     }
+    with pytest.MonkeyPatch.context() as small:
+        small.setattr(asof, "CHUNK", 4)
+        small.setattr(asof, "BROADCAST_ROWS", 0)
+        forms["packed, shuffled"] = asof_join(l, r, "k", "t", "u", tiebreak=["r"], strategy="packed")
     spark.conf.set("spark.ledgerline.rowsPerGroup", "4")
     try:
         forms["sliced"] = asof_join(l, r, "k", "t", "u", tiebreak=["r"])

@@ -1,9 +1,12 @@
 """The registered queries: one per operator, each over its whole tables."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
+from ledgerline.functions.columns import json_fields
 from ledgerline.operators.asof import asof_join
 from ledgerline.operators.dims import dim_company
 from ledgerline.operators.fundamentals import pivot_facts, quarterly_financials, ttm_rollup
@@ -14,12 +17,15 @@ from ledgerline.operators.slicing import measure
 from ledgerline.operators.staging import extract_facts, stage_prices
 from ledgerline.operators.upsert import upsert
 from ledgerline.operators.valuation import dcf, dcf_projections, dcf_scenarios
-from ledgerline.plans.build import build
+from ledgerline.plans.build import TABLES, build, built, rebuild
 from ledgerline.plans.gold import daily_valuation
-from ledgerline.plans.ingest import ingest_filings, ingest_prices
-from ledgerline.plans.reports import company_page, statement_history, watchlist_report
+from ledgerline.plans.history import STATEMENTS, apply_facts
+from ledgerline.plans.ingest import FILINGS, PRICES, YIELDS, ingest_filings, ingest_prices
+from ledgerline.plans.reports import built_history, built_page, company_page, statement_history, statement_positions, watchlist_report
 from ledgerline.session import shared_dir
 from ledgerline.sources.landed import last_sessions, lookback, shape_filings, shape_prices
+from ledgerline.sources.merge_on_read import compact, land_delta, read_merged
+from ledgerline.sources.versions import TableSet
 from workload import shapes as W
 
 
@@ -73,7 +79,7 @@ def _asof(strategy):
             "filing_date",
             tiebreak=("period_end_date", "fiscal_year", "fiscal_period"),
             strategy=strategy,
-            slicing=_asof_slicing(spark, d) if strategy == "window" else None,
+            slicing=_asof_slicing(spark, d) if strategy == "window" else None,  # the other forms need none
         )
 
     return query
@@ -102,28 +108,108 @@ def _scenarios(spark, d):
     )
 
 
-def _built(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The written tables of a whole build."""
-    bronze, out = shared_dir(spark, "bronze"), shared_dir(spark, "warehouse")
-    W.px_raw(spark, d).write.parquet(f"{bronze}/raw_market_prices")
-    W.filings_raw(spark, d).write.parquet(f"{bronze}/raw_sec_filings")
-    return {name: spark.read.parquet(path) for name, path in build(spark, bronze, out).items()}
+_BUILT: dict[tuple[str, str], TableSet] = {}
+
+
+def _bronze(spark: SparkSession, d: str) -> str:
+    folder = shared_dir(spark, "bronze")
+    W.px_raw(spark, d).write.parquet(f"{folder}/raw_market_prices")
+    W.filings_raw(spark, d).write.parquet(f"{folder}/raw_sec_filings")
+    return folder
+
+
+def _built(spark: SparkSession, d: str) -> TableSet:
+    """The tables of a whole build, which the queries of one application share."""
+    key = spark.sparkContext.applicationId, d
+    if key not in _BUILT:
+        _BUILT[key] = build(spark, _bronze(spark, d), shared_dir(spark, "warehouse"))
+    return _BUILT[key]
+
+
+def _gold(name, *audit):
+    return lambda spark, d: built(_built(spark, d), f"gold/{name}").drop(*audit)
 
 
 def _build_watchlist(spark, d):
     tables = _built(spark, d)
-    return watchlist_report(tables["gold/dim_company"], tables["gold/fact_daily_market_valuation"])
+    return watchlist_report(built(tables, "gold/dim_company"), built(tables, "gold/fact_daily_market_valuation"))
 
 
 def _build_gold(spark: SparkSession, d: str) -> DataFrame:
-    counts = [
-        table.select(F.lit(name).alias("table_name")).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
-        for name, table in _built(spark, d).items()
-    ]
-    combined = counts[0]
-    for more in counts[1:]:
-        combined = combined.unionByName(more)
-    return combined
+    tables = _built(spark, d)
+    counts = [built(tables, name).select(F.lit(name).alias("table_name")).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows")) for name in TABLES]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _rebuilt_daily(spark: SparkSession, d: str) -> DataFrame:
+    """A build over bronze tables that lack some tickers and have other prices and amounts of some, then a rebuild over the right ones."""
+    early, out = shared_dir(spark, "bronze"), shared_dir(spark, "warehouse")
+    prices = W.px_raw(spark, d).where(~F.trim("ticker").endswith("7")).withColumn("adj_close", F.when(F.trim("ticker").like("%3"), F.col("adj_close") * 2).otherwise(F.col("adj_close")).cast(S.PRICE))
+    prices.write.parquet(f"{early}/raw_market_prices")
+    W.filings_raw(spark, d).withColumn("payload", F.when(F.col("ticker").endswith("1"), F.lit("{}")).otherwise(F.col("payload"))).write.parquet(f"{early}/raw_sec_filings")
+    build(spark, early, out)
+    return built(rebuild(spark, _bronze(spark, d), out), "gold/fact_daily_market_valuation").drop("calculated_at")
+
+
+def _landed_deltas(landing, batches, compacted=0):
+    """Batches landed as deltas, with one compaction after the given number of them, and merged when read."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        tables = TableSet(spark, shared_dir(spark, "landed"))
+        for n, (batch, stamp) in enumerate(batches(spark, d), 1):
+            tables, _ = land_delta(tables, landing, batch, str(n), F.lit(stamp).cast("timestamp"))
+            if n == compacted:
+                tables = compact(tables, landing)
+        merged = read_merged(tables, landing).drop(landing.partition_by)
+        return merged.withColumn("ingested_on", F.col("ingested_at").cast("date")).drop("ingested_at")
+
+    return query
+
+
+def _price_batches(spark, d):
+    target, batch = W.landed_prices(spark, d)
+    return [(target.drop("ingested_at"), "2024-01-01"), (batch, "2024-02-02")]
+
+
+def _filing_batches(spark, d):
+    target, batch = W.landed_filings(spark, d)
+    return [(target.drop("ingested_at"), "2024-01-01"), (batch, "2024-02-02")]
+
+
+def _vendor_batches(spark, d):
+    rows = W.vendor_batches(spark, d)
+    return [(shape_prices(rows.where(F.col("batch") == n).drop("batch")), f"2024-01-0{n + 1}") for n in range(3)]
+
+
+def _yield_batches(spark, d):
+    rows = W.yields(spark, d)
+    return [(rows.where(F.col("batch") == n).drop("batch"), f"2024-01-0{n + 1}") for n in range(3)]
+
+
+def _landed_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The row counts that landing returns, batch by batch, for files and for deltas."""
+    landed, table, work = shared_dir(spark, "landed"), shared_dir(spark, "prices"), shared_dir(spark, "work")
+    tables, rows = TableSet(spark, shared_dir(spark, "deltas")), W.vendor_batches(spark, d)
+    counts = []
+    for n, (batch, _) in enumerate(_vendor_batches(spark, d)):
+        rows.where(F.col("batch") == n).drop("batch").write.json(f"{landed}/{n}")
+        tables, as_delta = land_delta(tables, PRICES, batch)
+        counts.append((n, ingest_prices(spark, f"{landed}/{n}", table, work, str(n), "json"), as_delta))
+    return spark.createDataFrame(counts, "batch int, by_files long, by_deltas long")
+
+
+def _spliced_versions(spark: SparkSession, d: str) -> DataFrame:
+    """All facts in four batches that overlap in time, each spliced into the versions of those before."""
+    facts, tables = W.facts_raw(spark, d), TableSet(spark, shared_dir(spark, "history"))
+    for n in (2, 0, 3, 1):
+        tables = apply_facts(tables, facts.where(F.pmod(F.crc32(F.col("accession_number").cast("binary")), F.lit(4)) == n))
+    return built(tables, STATEMENTS)
+
+
+def _statement_positions(spark, d):
+    """The rows of :func:`statement_history` with their places in both orders."""
+    quarterly, dim = _quarterly(spark, d), _dim(spark, d)
+    return statement_positions(dim, quarterly)
 
 
 def _ingest_round_trip(spark: SparkSession, d: str) -> DataFrame:
@@ -155,7 +241,7 @@ QUERIES = {
     "latest_per_key": lambda s, d: latest_per_key(_staged(s, d), "ticker", ["trade_date"]),
     "lookback": lambda s, d: lookback(_staged(s, d), "1998-12-01", 365),
     "extract_facts": lambda s, d: extract_facts(W.filings_raw(s, d)),
-    "json_scalar": lambda s, d: W.table(s, d, "events").select("event_id", F.from_json("props", "k int").getField("k").alias("k")),
+    "json_scalar": lambda s, d: W.table(s, d, "events").select("event_id", json_fields("props", k="int")["k"].alias("k")),
     "scd2": _versions,
     "current_versions": lambda s, d: current_versions(W.facts_raw(s, d)),
     "pivot_facts": lambda s, d: pivot_facts(current_versions(W.facts_raw(s, d))),
@@ -185,9 +271,20 @@ QUERIES = {
     ),
     "expect_unique": lambda s, d: expect_unique(W.table(s, d, "lineitem"), ("l_orderkey", "l_linenumber")),
     "build_gold": _build_gold,
-    "build_daily": lambda s, d: _built(s, d)["gold/fact_daily_market_valuation"].drop("calculated_at"),
-    "build_quarterly": lambda s, d: _built(s, d)["gold/fact_quarterly_financials"].drop("computed_at"),
-    "build_dim": lambda s, d: _built(s, d)["gold/dim_company"].drop("created_at"),
+    "build_daily": _gold("fact_daily_market_valuation", "calculated_at"),
+    "build_quarterly": _gold("fact_quarterly_financials", "computed_at"),
+    "build_dim": _gold("dim_company", "created_at"),
+    "rebuild_daily": _rebuilt_daily,
+    "company_lookup_built": lambda s, d: built_page(_built(s, d), "s1").drop("projections"),
+    "statement_lookup_built": lambda s, d: built_history(_built(s, d), "s1"),
+    "upsert_prices_merged": _landed_deltas(PRICES, _price_batches, compacted=1),
+    "upsert_filings_merged": _landed_deltas(FILINGS, _filing_batches),
+    "ingest_deltas": _landed_deltas(PRICES, _vendor_batches, compacted=2),
+    "upsert_yields": _landed_deltas(YIELDS, _yield_batches),
+    "landed_counts": _landed_counts,
+    "scd2_spliced": _spliced_versions,
+    "asof_packed": _asof("packed"),
+    "statement_positions": _statement_positions,
     "build_watchlist": _build_watchlist,
     "company_lookup": lambda s, d: company_page(_dim(s, d), _daily(s, d), _quarterly(s, d), ticker="S1").drop("projections"),
     "company_projections": lambda s, d: dcf_projections(company_page(_dim(s, d), _daily(s, d), _quarterly(s, d)), "ticker"),

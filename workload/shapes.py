@@ -276,3 +276,14 @@ def shared_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         pair.alias("cik"),
         F.to_json(F.struct(F.concat(F.lit("Company "), pair).alias("entityName"))).alias("payload"),
     )
+
+
+def yields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by customer and day as yield series, in three batches that overlap."""
+    percent = F.max((F.col("o_totalprice").cast("decimal(14,2)") % 1000) / 100)
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy((F.col("o_custkey") % 40).alias("k"), F.col("o_orderdate").cast("date").alias("observation_date"), (F.col("o_orderkey") % 3).cast("int").alias("batch"))
+        .agg(percent.cast("decimal(6,4)").alias("yield_percent"))
+        .select(F.concat(F.lit("Y"), F.col("k").cast("string")).alias("series_id"), "observation_date", "yield_percent", "batch")
+    )
