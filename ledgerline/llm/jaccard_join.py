@@ -39,7 +39,6 @@ from collections.abc import Callable
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -197,41 +196,47 @@ def metric_pairs(left: np.ndarray, right: np.ndarray, histograms: np.ndarray, ra
 def _block_candidates(similarity: Fraction) -> Callable:
     s = similarity
 
-    def groups(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def groups(key: tuple, rows: pa.Table) -> pa.Table:
         """The members with a possible partner, each with the group it is connected with by such pairs."""
-        i, j = key[1:]
-        n, part, minor, block = (rows[c].to_numpy() for c in ("n", "part", "minor", "block"))
-        histograms = np.frombuffer(b"".join(rows["histogram"]), ">i2").reshape(-1, BUCKETS).astype(np.int16)
+        i, j = (k.as_py() for k in key[1:])
+        n, block = (rows.column(c).to_numpy() for c in ("n", "block"))
+        minor, part = rows.column("minor").to_numpy(), _numbered(rows.column("part"))
+        histograms = np.frombuffer(b"".join(rows.column("histogram").to_pylist()), ">i2").reshape(-1, BUCKETS).astype(np.int16)
         radius = 2 * int(n.max()) * (s.denominator - s.numerator) // (s.denominator + s.numerator)
-        earlier = [set(x) for x in rows["earlier"]]
-        joined = Forest(len(rows))
+        earlier = [set(x) for x in rows.column("earlier").to_pylist()]
+        joined = Forest(len(n))
         for x, y in metric_pairs(np.flatnonzero(block == i), np.flatnonzero(block == j), histograms, radius):
             total, apart = n[x] + n[y], np.abs(histograms[x] - histograms[y]).sum(1, dtype=np.int64)
             right = (x != y) & (part[x] != part[y]) & (minor[x] | minor[y]) & (apart * (s.denominator + s.numerator) <= total * (s.denominator - s.numerator))
             for k, m in zip(x[right].tolist(), y[right].tolist()):
                 if joined.root(k) != joined.root(m) and earlier[k].isdisjoint(earlier[m]):
                     joined.join(k, m)
-        group = np.array([joined.root(k) for k in range(len(rows))], np.int64)
-        found = np.bincount(group, minlength=len(rows))[group] > 1
-        some = rows.loc[found, ["pivot", "i", "j", "block", "c", "part", "minor"]]
-        return some.assign(group=group[found])
+        group = np.array([joined.root(k) for k in range(len(n))], np.int64)
+        found = np.bincount(group, minlength=len(n))[group] > 1
+        some = rows.select(["pivot", "i", "j", "block", "c", "part", "minor"]).append_column("group", pa.array(group))
+        return some.filter(pa.array(found))
 
     return groups
 
 
 def _block_links(similarity: Fraction) -> Callable:
-    def links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = key[1:3]
-        sets = Sets([np.frombuffer(x, np.uint64) for x in rows["found"]])
-        block, minor = rows["block"].to_numpy(), rows["minor"].to_numpy(bool)
-        part = np.unique(rows["part"].to_numpy(object), return_inverse=True)[1]
-        c = rows["c"].tolist()
-        found = forest(sets, part, minor, np.flatnonzero(block == i), np.flatnonzero(block == j), similarity)
-        return pd.DataFrame([(min(c[x], c[y]), max(c[x], c[y])) for x, y in found], columns=["a", "b"])
+    def links(key: tuple, rows: pa.Table) -> pa.Table:
+        i, j = (k.as_py() for k in key[1:3])
+        sets = Sets([np.frombuffer(x, np.uint64) for x in rows.column("found").to_pylist()])
+        block, minor = rows.column("block").to_numpy(), rows.column("minor").to_numpy()
+        c = rows.column("c").to_pylist()
+        found = forest(sets, _numbered(rows.column("part")), minor, np.flatnonzero(block == i), np.flatnonzero(block == j), similarity)
+        ends = [(min(c[x], c[y]), max(c[x], c[y])) for x, y in found]
+        return pa.table({"a": pa.array([a for a, _ in ends], pa.binary()), "b": pa.array([b for _, b in ends], pa.binary())})
 
     return links
 
 
+def _numbered(parts: pa.ChunkedArray) -> np.ndarray:
+    """A number for each connected part."""
+    return parts.combine_chunks().dictionary_encode().indices.to_numpy()
+
+
 class JaccardJoin:
     """One join. Its tables are written below one folder, which cuts the lineage for lost executors."""
 
@@ -403,11 +408,11 @@ class JaccardJoin:
         own = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
         placed = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if across else F.col("block"))
         met = placed.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c", "n", "part", "minor", F.slice("win", F.lit(1), F.col("at")).alias("earlier"), "histogram")
-        possible = met.groupBy("pivot", "i", "j").applyInPandas(_block_candidates(self.similarity), "pivot long, i int, j int, block int, c binary, part binary, minor boolean, group long")
+        possible = met.groupBy("pivot", "i", "j").applyInArrow(_block_candidates(self.similarity), "pivot long, i int, j int, block int, c binary, part binary, minor boolean, group long")
         possible = self._kept(possible, f"{name}-possible").withColumnRenamed("c", "mc")
         sets = self._kept(self._full(possible.select(F.col("mc").alias("w")).distinct()), f"{name}-sets")
         whole = possible.join(sets, F.col("mc") == F.col("c")).select("pivot", "i", "j", "group", "block", "c", "part", "minor", "found")
-        return self._kept(whole.groupBy("pivot", "i", "j", "group").applyInPandas(_block_links(self.similarity), "a binary, b binary"), f"{name}-links")
+        return self._kept(whole.groupBy("pivot", "i", "j", "group").applyInArrow(_block_links(self.similarity), "a binary, b binary"), f"{name}-links")
 
     def _pairs(self, regions: DataFrame) -> DataFrame:
         """Members outside the main part against all others of their region that are not connected with them yet."""
