@@ -1,18 +1,20 @@
 """WARC archives: write, read, and resolve revisits.
 
-Headers alone (id, digest, length) are shuffled by payload digest; the record with the smallest
-id of each digest keeps its payload, the others become revisit records that refer to it. Archives
+Headers alone (id, digest, length) are shuffled by payload digest to find the record with the smallest
+id of each digest. It keeps its payload, the others become revisit records that refer to it; pages meet these
+originals by digest, where payloads are moved once if the originals are too many to broadcast. Archives
 are gzip files written by Spark's text writer, one record after another, so they commit and
 recover like any table and their size has no bound that matters: the reader streams them.
 
 The reader joins a file's lines again and cuts them by ``Content-Length`` alone, so payloads may hold
 anything, other archives included; a record that is not followed by ``CRLF CRLF`` is an error. Lines
 end at one byte because Spark's text source misses, or loses bytes before, a longer separator that
-an input buffer divides. Gzip files are read by one task from their beginning, lines in order.
+an input buffer divides. A file that the text source would split (only uncompressed ones) is refused. Gzip files are read by one task from their beginning, lines in order.
 
 Defined cases: a null payload is an empty one; payloads under ``least`` bytes are always
-responses; of rows repeated with the smallest id, each is a response; a null id is the empty
-string in headers and null again when read, and comes first in the order of ids; null URLs
+responses; of rows repeated with the smallest id, each is a response, and rows that repeat an id and a payload
+share a record id; a record without an id is always a response and no other one refers to it (its id is
+the empty string in headers and null again when read); null URLs
 are written as ``about:blank``; line breaks in URLs are percent-encoded; no pages, no records.
 """
 
@@ -55,7 +57,7 @@ def write_archives(pages: DataFrame, first: DataFrame, folder: str, id: str = "p
     uri = F.coalesce(F.regexp_replace(F.regexp_replace(F.col(url), "\r", "%0D"), "\n", "%0A"), F.lit("about:blank"))
     records = pages.select(F.coalesce(F.col(id).cast("string"), F.lit("")).alias("id"), uri.alias("uri"), body.alias("body"), F.sha2(body.cast("binary"), 256).alias("digest"), F.octet_length(body).alias("length"))
     joined = records.join(first.select("digest", F.col("original").cast("string").alias("original")), "digest", "left")
-    revisit = F.col("original").isNotNull() & (F.col("original") != F.col("id"))
+    revisit = F.col("original").isNotNull() & (F.col("id") != "") & (F.col("original") != F.col("id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("length").cast("string"), F.lit("\r\n\r\n"))
     block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("body")))
     when = F.date_format(F.current_timestamp() if date is None else date, "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -148,7 +150,9 @@ def _records(with_payload: bool):
 
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
     """One row per record, see ``RECORD``; digests of responses are computed from the payload and checked."""
-    lines = spark.read.option("lineSep", "\n").text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line"))
+    split = F.col("_metadata.file_block_length") < F.col("_metadata.file_size")
+    whole = F.when(split, F.raise_error(F.concat(F.col("_metadata.file_path"), F.lit(" would be split: compress it")))).otherwise(F.col("value"))
+    lines = spark.read.option("lineSep", "\n").text(folder).select(F.col("_metadata.file_path").alias("path"), whole.cast("binary").alias("line"))
     return lines.mapInArrow(_records(with_payload), RECORD)
 
 
