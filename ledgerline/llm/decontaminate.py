@@ -48,6 +48,11 @@ def _head(array: str, at: Column, size: str | None = None) -> Column:
     return pair if size is None else F.when(F.col(size) == 1, F.xxhash64(F.get(array, at))).otherwise(pair)
 
 
+def _heads(found: Column) -> Column:
+    """For every place of an array of words the hash of the pair there."""
+    return F.transform(found, lambda w, k: F.xxhash64(w, F.get(found, k + 1)))
+
+
 def hits(documents: DataFrame, windows: DataFrame, doc: str = "doc_id", text: str = "text", broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """``id, key, at, size, item``: every place where a window of an item occurs; ``at`` counts words from 0.
 
@@ -58,19 +63,20 @@ def hits(documents: DataFrame, windows: DataFrame, doc: str = "doc_id", text: st
     small = totals.n <= broadcast_windows
     sent = F.broadcast if small else (lambda df: df)
     tokens = documents.select(F.col(doc).alias("id"), text_key(F.col(text)).alias("key"), words(F.col(text)).alias("words")).filter(F.size("words") > 0)
-    places = tokens.select("id", "key", "words", F.explode(F.sequence(F.lit(0), F.size("words") - 1)).alias("at"))
+    # Beyond the broadcast only places and heads are shuffled for the first look-up; texts are moved once, for those with a hit.
+    carried = ["words"] if small else []
+    places = tokens.select("id", "key", *carried, F.posexplode(_heads(F.col("words"))).alias("at", "head"))
     heads = windows.select("head").distinct()
-    likely = [places.withColumn("head", _head("words", F.col("at"))).join(sent(heads), "head", "left_semi")]
+    likely = [places.join(sent(heads), "head", "left_semi")]
     if 1 in (totals.sizes or []):
-        likely.append(places.withColumn("head", F.xxhash64(F.get("words", F.col("at")))).join(sent(windows.filter("size = 1").select("head").distinct()), "head", "left_semi"))
+        alone = tokens.select("id", "key", *carried, F.posexplode(F.transform("words", lambda w: F.xxhash64(w))).alias("at", "head"))
+        likely.append(alone.join(sent(windows.filter("size = 1").select("head").distinct()), "head", "left_semi"))
     found = reduce(DataFrame.unionByName, likely)
-    if not small:  # only the longest window that can start here has to be shuffled
-        found = found.withColumn("words", F.slice("words", F.col("at") + 1, F.lit(max(totals.sizes))))
-        start = F.lit(1)
-    else:
-        start = F.col("at") + 1
+    if not small:
+        met = found.groupBy(F.col("id").alias("i"), F.col("key").alias("k")).agg(F.collect_set("at").alias("places"))
+        found = tokens.join(met, F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k"))).select("id", "key", "words", F.explode("places").alias("at"))
     sizes = F.array(*[F.lit(s) for s in totals.sizes or [0]])
-    spans = found.select("id", "key", "at", "words", F.explode(sizes).alias("size")).select("id", "key", "at", "size", F.slice("words", start, F.col("size")).alias("window"))
+    spans = found.select("id", "key", "at", "words", F.explode(sizes).alias("size")).select("id", "key", "at", "size", F.slice("words", F.col("at") + 1, F.col("size")).alias("window"))
     whole = spans.filter(F.size("window") == F.col("size"))  # at its end a text has no window of every size
     return (
         whole.withColumn("hash", F.xxhash64("window"))
