@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.text import SPACED_WORD
 from ledgerline.session import shared_dir
 
-#: Sources up to which their totals are broadcast.
-BROADCAST_SOURCES = 10_000
+#: Rows of the plan, one for each source and size class, that are broadcast; more are shuffled.
+BROADCAST_ROWS = 500_000
 
 
 def word_count(text: Column) -> Column:
@@ -38,20 +38,36 @@ def source_targets(totals: DataFrame, weights: list[float], share: float, most:
     cut sources come first, so the first level at which the next source stays below its end
     gives every target. One row per source.
     """
-    everything = Window.partitionBy(F.lit(0))
-    numbered = totals.withColumn("nth", F.row_number().over(everything.orderBy(F.col("source").asc_nulls_last())) - 1)
-    weighted = numbered.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("nth") % len(weights) + 1).cast("int"))).withColumn("end", F.lit(float(most)) * F.col("source_size"))
-    by_end = everything.orderBy(F.col("end") / F.col("weight"), "nth")
-    before = by_end.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_end.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    levels = weighted.select(
-        "*",
-        ((F.lit(float(share)) * F.sum("source_size").over(everything) - F.coalesce(F.sum("end").over(before), F.lit(0.0))) / F.sum("weight").over(after)).alias("level"),
-    )
+    numbered = _prefixed(totals.select("source", "source_size"), [F.col("source").asc_nulls_last()], {"nth": F.lit(1)})
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("nth") % len(weights) + 1).cast("int"))
+    weighted = numbered.withColumn("weight", weight).withColumn("end", F.lit(float(most)) * F.col("source_size"))
+    sums = weighted.agg(F.sum("source_size").alias("everything"), F.sum("weight").alias("weights")).first()
+    by_end = _prefixed(weighted, [(F.col("end") / F.col("weight")).asc(), F.col("nth").asc()], {"ends_before": F.col("end"), "weight_before": F.col("weight")})
+    level = (F.lit(float(share)) * F.lit(sums.everything) - F.col("ends_before")) / (F.lit(sums.weights) - F.col("weight_before"))
+    levels = by_end.withColumn("level", level)
     # the first source in this order that stays below its end has the level all others below share
-    chosen = F.min(F.when(F.col("weight") * F.col("level") <= F.col("end"), F.struct(F.col("end") / F.col("weight"), F.col("nth"), F.col("level").alias("level"))))
-    shared = levels.withColumn("level", chosen.over(everything)["level"])
-    return shared.select("source", "source_size", F.coalesce(F.least(F.col("weight") * F.col("level"), F.col("end")), F.col("end")).alias("target"))
+    below = levels.filter(F.col("weight") * F.col("level") <= F.col("end"))
+    chosen = below.agg(F.min(F.struct(F.col("end") / F.col("weight"), F.col("nth"), F.col("level").alias("level"))).alias("c")).first().c
+    target = F.col("end") if chosen is None else F.least(F.col("weight") * F.lit(chosen["level"]), F.col("end"))
+    return levels.select("source", "source_size", target.alias("target"))
+
+
+def _prefixed(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``rows`` with the sums of what comes before each in a total ``order``, and no task with all of them.
+
+    Ranges of the order are written; their totals, one row for each, are summed up first.
+    """
+    spark, folder = rows.sparkSession, shared_dir(rows.sparkSession, "prefix")
+    placed = rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    placed.write.parquet(folder)
+    placed = spark.read.schema(placed.schema).parquet(folder)
+    upto = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    totals = placed.groupBy("range").agg(*[F.sum(c).alias(f"{n}_sum") for n, c in sums.items()])
+    starts = totals.select(F.col("range").alias("r"), *[F.coalesce(F.sum(f"{n}_sum").over(upto), F.lit(0)).alias(f"{n}_start") for n in sums])
+    inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = placed.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{n}_in") for n, c in sums.items()])
+    joined = within.join(F.broadcast(starts), F.col("range") == F.col("r"))
+    return joined.select(*rows.columns, *[(F.col(f"{n}_start") + F.col(f"{n}_in")).alias(n) for n in sums])
 
 
 def _class(size: Column) -> Column:
@@ -85,8 +101,9 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
     offset = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce("source", F.lit("")), F.col("source").isNull().cast("string"))), 1, 12), 16, 10).cast("double") / float(1 << 48)
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     plan = classes.join(targets.select(F.col("source").alias("s"), "source_size", "target"), classes["source"].eqNullSafe(F.col("s"))).select("s", F.col("class").alias("c"), "class_start", "slots", "source_size", "target", expected.alias("expected"), offset.alias("offset"))
-    # at most some five hundred classes a source
-    known = F.broadcast(plan) if targets.count() <= BROADCAST_SOURCES else plan
+    plan.write.parquet(f"{folder}-plan")
+    plan = spark.read.schema(plan.schema).parquet(f"{folder}-plan")
+    known = F.broadcast(plan) if plan.count() <= BROADCAST_ROWS else plan
 
     def placed(rows: DataFrame) -> DataFrame:
         return rows.join(known, rows["source"].eqNullSafe(F.col("s")) & (rows["class"] == F.col("c"))).withColumn("slot", F.pmod(hashed, F.col("slots")))
