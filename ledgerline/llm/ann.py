@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from ledgerline.session import shared_dir
 
 SAMPLE = 20_000
+#: Centroids of a half at most. Up to 13 million vectors a cell holds about CELL of them; with more, cells and the
+#: vectors a query visits grow in proportion, unless ``most_centroids`` (and the sample) are raised with them.
 CENTROIDS = 256
 ROUNDS = 12
 CELL = 200  # vectors in a cell, on average
@@ -171,6 +173,7 @@ class MultiIndex:
         if self.empty:
             return self.spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
         k, spark = self.k, self.spark
+        kind = self.classes.schema["ids"].dataType.elementType.simpleString()
         asked = usable(queries, id, vector).filter(F.size("v") == self.dimensions).distinct()
         # equal queries go through the cells once, under the hash of their vector
         asked.withColumn("q", F.md5(F.to_json(F.col("v")))).write.parquet(f"{self.folder}/queries")
@@ -188,13 +191,18 @@ class MultiIndex:
                     cells = cells_in_order(a[n], b[n], sizes, enough)
                     yield pd.DataFrame({"q": q, "v": [v] * len(cells), "cell": np.array(cells, "int32")})
 
-        visited = distinct.mapInPandas(visits, "q string, v array<double>, cell int")
+        spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        visited = distinct.repartition(spread, "q").mapInPandas(visits, "q string, v array<double>, cell int")
         # a block of entries meets a block of queries; each side is copied to the other's blocks of the cell
-        entry_blocks = F.expr("map_from_arrays(array({0}), array({1}))".format(",".join(map(str, np.flatnonzero(sizes > block))) or "-1", ",".join(str(-(-int(sizes[c]) // block)) for c in np.flatnonzero(sizes > block)) or "1"))
-        large = F.coalesce(F.try_element_at(entry_blocks, F.col("cell")), F.lit(1))
+        sizes_table = self.entries.groupBy(F.col("cell").alias("c")).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("blocks > 1")
+        large = F.coalesce("blocks", F.lit(1))
+
+        def with_blocks(rows: DataFrame) -> DataFrame:
+            return rows.join(F.broadcast(sizes_table), F.col("cell") == F.col("c"), "left")  # at most CENTROIDS squared rows
+
         query_blocks = max(1, -(-asked.count() // (8 * block)))
-        entries = self.entries.withColumn("eb", F.pmod(F.xxhash64("v"), large).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).select("cell", "eb", "qb", "v", "ids")
-        seekers = visited.withColumn("qb", F.pmod(F.xxhash64("q"), F.lit(query_blocks)).cast("int")).withColumn("eb", F.explode(F.sequence(F.lit(0), large - 1))).select("cell", "eb", "qb", "q", "v")
+        entries = with_blocks(self.entries).withColumn("eb", F.pmod(F.xxhash64("v"), large).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).select("cell", "eb", "qb", "v", "ids")
+        seekers = with_blocks(visited).withColumn("qb", F.pmod(F.xxhash64("q"), F.lit(query_blocks)).cast("int")).withColumn("eb", F.explode(F.sequence(F.lit(0), large - 1))).select("cell", "eb", "qb", "q", "v")
 
         def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if not len(left) or not len(right):
@@ -205,12 +213,12 @@ class MultiIndex:
             for n, q in enumerate(right["q"]):
                 line = cosine[n]
                 some = np.flatnonzero(line >= np.partition(line, -(k + 1))[-(k + 1)]) if len(line) > k + 1 else np.arange(len(line))
-                best = sorted((-line[i], int(x)) for i in some for x in left["ids"].iloc[i])[: k + 1]
+                best = sorted((-line[i], x) for i in some for x in left["ids"].iloc[i].tolist())[: k + 1]
                 rows.append((q, [{"score": -x, "id": i} for x, i in best]))
             return pd.DataFrame(rows, columns=["q", "found"])
 
         keys = ["cell", "eb", "qb"]
-        parts = entries.groupBy(*keys).cogroup(seekers.groupBy(*keys)).applyInPandas(nearest, "q string, found array<struct<score:double,id:long>>")
+        parts = entries.groupBy(*keys).cogroup(seekers.groupBy(*keys)).applyInPandas(nearest, f"q string, found array<struct<score:double,id:{kind}>>")
         merged = parts.groupBy("q").agg(F.slice(F.array_sort(F.transform(F.flatten(F.collect_list("found")), lambda f: F.struct((-f["score"]).alias("s"), f["id"].alias("id")))), 1, k + 1).alias("found"))
         merged.write.parquet(f"{self.folder}/found")
         answers = asked.select("q", F.col("id").alias("query_id")).join(spark.read.parquet(f"{self.folder}/found"), "q")
