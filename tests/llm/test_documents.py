@@ -41,38 +41,51 @@ def test_frequent_lines_go_in_every_document(spark):
     assert any(r[2] for r in got)
 
 
+def batch_of(spark, *texts):
+    return line_runs.document_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+
+
 def test_runs_are_compacted_by_level(spark):
-    runs = line_runs.LineRuns(spark, fanout=3)
+    runs = line_runs.LineRuns(spark, min_docs=4, fanout=3)
     for k in range(10):
-        runs.add(line_runs.document_lines(spark.createDataFrame([(k, f"same\nown {k}")], "doc_id long, text string")))
+        runs.add(batch_of(spark, f"same\nown {k}\npair {k // 2}"))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
-    totals = {bytes(r.hash): r.docs for r in runs.counts().groupBy("hash").agg(F.sum("docs").alias("docs")).collect()}
-    assert totals[line_runs.line_hash(b"SAME ")] == 10
-    assert len(totals) == 11
-    batch = line_runs.document_lines(spark.createDataFrame([(99, "same\nnew")], "doc_id long, text string"))
-    assert [bytes(r.hash) for r in runs.unseen(batch).collect()] == [line_runs.line_hash(b"new")]
-
-
-def test_each_batch_is_joined_with_the_runs(spark):
-    runs = line_runs.LineRuns(spark, fanout=3)
-    for k in range(7):
-        runs.add(line_runs.document_lines(spark.createDataFrame([(k, f"same\nown {k}\npair {k // 2}"), (k, None)], "doc_id long, text string")))
-    paths = [p for level in runs.levels for p in level]
-    rows = [(bytes(r.hash), r.docs, r.fresh) for r in runs._read(paths).collect()]
-    fresh = Counter(h for h, _, new in rows if new)
-    assert set(fresh.values()) == {1}
-    assert set(fresh) == {h for h, _, _ in rows}
-    last = {bytes(r.hash): r.fresh for r in spark.read.parquet(runs.levels[0][-1]).collect()}
-    assert last == {line_runs.line_hash(b"same"): False, line_runs.line_hash(b"own 6"): True, line_runs.line_hash(b"pair 3"): True}
-
-
-def test_the_query_joins_its_batches(spark, monkeypatch):
-    joined = []
-    known = line_runs.LineRuns._known
-    monkeypatch.setattr(line_runs.LineRuns, "_known", lambda self: joined.append(self.written) or known(self))
-    docs = spark.createDataFrame([(k, f"same\nown {k}") for k in range(20)], "doc_id long, text string")
-    assert sorted(r.kept for r in line_runs.dedup_lines(docs).collect()) == sorted(f"own {k}" for k in range(20))
-    assert joined == [1, 2, 3]
+    assert [len(level) for level in runs.frequent_levels] == [1, 0, 1]
+    assert [bytes(r.hash) for r in runs.frequent().collect()] == [line_runs.line_hash(b"SAME ")]
+    totals = Counter()
+    for r in runs.counts().collect():
+        totals[bytes(r.hash)] += r.docs
+    assert totals == {line_runs.line_hash(f"own {k}".encode()): 1 for k in range(10)} | {line_runs.line_hash(f"pair {k}".encode()): 2 for k in range(5)}
+    hashes = batch_of(spark, "same\nnew\nown 1").select(F.explode("hashes").alias("hash"))
+    assert {bytes(r.hash) for r in runs.unseen(hashes).collect()} == {line_runs.line_hash(b"new"), line_runs.line_hash(b"own 1")}
+
+
+def test_a_hash_counts_over_all_runs_until_it_is_frequent(spark):
+    rng = random.Random(8)
+    for fanout in (2, 5):
+        runs, seen = line_runs.LineRuns(spark, min_docs=3, fanout=fanout), Counter()
+        for _ in range(6):
+            texts = ["\n".join(rng.choice("abcdefghijklmno") for _ in range(3)) for _ in range(2)]
+            seen.update(x for t in texts for x in set(t.split("\n")))
+            runs.add(batch_of(spark, *texts))
+            assert {bytes(r.hash) for r in runs.frequent().collect()} == {line_runs.line_hash(x.encode()) for x, n in seen.items() if n >= 3}
+
+
+def test_the_result_depends_on_the_anti_join(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"same\nown {k}") for k in range(60)], "doc_id long, text string")
+    assert sorted(r.kept for r in line_runs.dedup_lines(docs, min_docs=3).collect()) == sorted(f"own {k}" for k in range(60))
+    monkeypatch.setattr(line_runs.LineRuns, "unseen", lambda self, hashes: hashes)
+    with pytest.raises(RuntimeError, match="anti-join"):
+        line_runs.dedup_lines(docs, min_docs=3)
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_hashes_to_drop_are_broadcast_only_if_few(spark, monkeypatch, most):
+    monkeypatch.setattr(line_runs, "BROADCAST_HASHES", most)
+    docs = spark.createDataFrame([(k if k % 5 else None, f"same\nown {k}") for k in range(40)], "doc_id long, text string")
+    df = line_runs.dedup_lines(docs)
+    assert sorted(r.kept for r in df.collect()) == sorted(f"own {k}" for k in range(40))
+    assert ("ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()) == bool(most)
 
 
 def test_no_documents(spark):
@@ -132,6 +145,22 @@ def test_contamination_equals_brute_force(spark, broadcast):
     assert got == expected
 
 
+def test_beyond_the_broadcast_no_text_is_sent_for_a_word(spark):
+    long = " ".join(f"w{k}" for k in range(20_000))
+    docs = spark.createDataFrame([(1, long), (2, "a b c w5 w6 w7 x"), (2, "a b c w5 w6 w7 x"), (None, "w5 w6 w7"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("i", "w5 w6 w7"), ("j", "w19999"), ("k", " ".join(f"w{k}" for k in range(100, 130)))], "item_id string, text string")
+    windows = decontaminate.benchmark_windows(items, 10)
+    few, many = (decontaminate.hits(docs, windows, broadcast_windows=n) for n in (10**6, 0))
+    assert set(map(tuple, few.collect())) == set(map(tuple, many.collect())) and few.count() > 3
+    lines = many._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    semi = [k for k, line in enumerate(lines) if "LeftSemi" in line]
+    assert semi
+    for k in semi:  # what is joined by a word's hash has no array of words
+        depth = len(lines[k]) - len(lines[k].lstrip(" :+-"))
+        left = next(line for line in lines[k + 1 :] if len(line) - len(line.lstrip(" :+-")) > depth)
+        assert "words#" not in left.split("Generate")[0]
+
+
 def test_removing_documents_and_spans(spark):
     benchmark = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "A one, Two three! b", 3), (2, "clean one two", 4), (3, None, 5), (1, "clean", 6)], "doc_id long, text string, key int")
@@ -308,18 +337,18 @@ def test_a_large_group_leaves_its_tasks_in_proportion(spark, monkeypatch):
     """Twice the near copies give about twice the rows in every written table, not four times."""
     rng = random.Random(7)
     base = " ".join(f"w{rng.randrange(4000)}" for _ in range(200))
-    texts = [near_copies(rng, base, 2) for _ in range(1200)]
+    texts = [near_copies(rng, base, 2) for _ in range(800)]
     monkeypatch.setattr(jaccard_join, "BLOCK", 256)
     rows = []
-    for n in (300, 600, 1200):
+    for n in (400, 800):
         join = jaccard_join.JaccardJoin(spark.createDataFrame(list(enumerate(texts[:n])), "doc_id long, text string"), 3, Fraction(9, 10))
         got = Counter((r.id, r.n, r.component) for r in join.groups().collect())
-        if n == 300:
+        if n == 400:
             assert got == plain_groups(list(enumerate(texts[:n])), 3, Fraction(9, 10))
         rows.append({p.name.split("-", 1)[1]: spark.read.parquet(str(p)).count() for p in Path(join.folder).iterdir()})
     for less, more in zip(rows, rows[1:]):
         for name in ("home-possible", "home-links", "rest-pairs", "rest-links", "crossed-possible", "crossed-links", "links"):
-            assert more.get(name, 0) <= 3 * max(less.get(name, 0), 300), (name, less, more)
+            assert more.get(name, 0) <= 3 * max(less.get(name, 0), 400), (name, less, more)
 
 
 def test_word_hashes_follow_words():

@@ -6,11 +6,14 @@ import os
 from collections import Counter
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerline.llm import ann, quality, url_filter, warc
+from ledgerline.llm.oracle import ORACLE
 from ledgerline.llm.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -42,6 +45,11 @@ PAGES = [
     (10, "http://i/", TRICKY[:-4]),
     (1, "http://b2/", BIG),
     (None, "http://j/", "y" * 150),
+    (None, "http://l/", BIG),
+    (None, "http://m/", "u" * 120),
+    (None, "http://n/", "u" * 120),
+    (12, "http://o/", "u" * 120),
+    (13, "http://p/", "u" * 120),
     (11, "http://k/", "z" * 3_000_000),
 ]
 
@@ -63,7 +71,25 @@ def test_archives_round_trip_and_revisits_resolve(spark, tmp_path):
         revisit = len(body) >= 100 and page is not None and page != min(same)
         expected[(None if page is None else str(page), "revisit" if revisit else "response", str(min(same)) if revisit else None, hashlib.sha256(body).hexdigest(), len(body))] += 1
     assert found == expected
-    assert len({r.record_id for r in records.collect()}) >= len(PAGES) - 1
+    assert len({r.record_id for r in records.collect()}) == len({(p, h) for p, _, h in PAGES})
+    # the query's SQL says the same of pages without an id
+    connection = duckdb.connect()
+    connection.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    connection.executemany("insert into pages values (?, ?, ?)", [list(p) for p in PAGES])
+    by_sql = Counter((None if r[0] is None else str(r[0]), r[3], None if r[4] is None else str(r[4]), r[2], r[1]) for r in connection.execute(ORACLE["op1_warc_revisits"]).fetchall())
+    assert by_sql == expected
+
+
+def test_a_file_that_would_be_split_is_refused(spark, tmp_path):
+    archived(spark, spark.createDataFrame([(k, "http://a/", f"{k} " * 12_000) for k in range(200)], "page_id long, url string, html string").coalesce(1), f"{tmp_path}/gz")
+    plain = b"".join(gzip.decompress(p.read_bytes()) for p in Path(f"{tmp_path}/gz/archives").glob("*.gz"))
+    (tmp_path / "plain.warc").write_bytes(plain)
+    with pytest.raises(PySparkException, match="would be split"):
+        warc.read_archives(spark, f"{tmp_path}/plain.warc", with_payload=False).count()
+    assert warc.read_archives(spark, f"{tmp_path}/gz/archives", with_payload=False).count() == 200
+    end = plain.index(b"WARC/1.1", 10)
+    (tmp_path / "one.warc").write_bytes(plain[:end])
+    assert warc.read_archives(spark, f"{tmp_path}/one.warc", with_payload=False).count() == 1
 
 
 def test_archives_are_plain_warc(spark, tmp_path):
