@@ -20,10 +20,19 @@ def expect_not_null(df: DataFrame, cols) -> DataFrame:
     )
 
 
-def expect_unique(df: DataFrame, cols) -> DataFrame:
+def expect_unique(df: DataFrame, cols, two_pass: bool = False) -> DataFrame:
     """The key values that occur more than once, with ``n_rows``; empty when unique.
 
     As for a SQL unique constraint, keys with a null part never collide.
+
+    ``two_pass`` is for wide keys: a first pass shuffles one 64-bit hash for each key, a second one, which reads the rows
+    again, only the keys whose hash came twice, so of a table with few repetitions hardly any key is moved.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
+    if two_pass:
+        whole = df.dropna(subset=cols)
+        hashed = F.xxhash64(*cols)
+        again = whole.select(hashed.alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_hash")
+        suspect = whole.select(*cols, hashed.alias("_hash")).join(again, "_hash", "left_semi")
+        return suspect.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
     return df.dropna(subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)

@@ -79,8 +79,7 @@ def ingest_filings(
     """
     batch = read_filings(spark, incoming, layout, watchlist)
     if layout == "lines":
-        watched = on_watchlist(batch, watchlist)
-        batch = _one_per_company(watched)
+        batch = watched_filings(batch, watchlist)
     return land_partitions(
         spark,
         table_path,
@@ -112,6 +111,11 @@ def _stored_groups(spark: SparkSession, table_path: str, groups: int | None) ->
     return known
 
 
+def watched_filings(batch: DataFrame, watchlist: DataFrame) -> DataFrame:
+    """One document of every watched company."""
+    return _one_per_company(on_watchlist(batch, watchlist))
+
+
 def _one_per_company(batch: DataFrame) -> DataFrame:
     keys = list(S.FILING_KEYS)
     others = [c for c in batch.columns if c not in keys]

@@ -45,17 +45,20 @@ def land_partitions(
 
     The new partitions are written to ``staging_path``, marked as staged under ``run_id``,
     copied over the old ones, and marked as copied. Only a run that was cut off between the
-    two marks is resumed by the same ``run_id``: it copies again. Every other call upserts its
-    batch, also under a ``run_id`` that has been used before. The copy replaces partition by
+    two marks is resumed, by the same ``run_id`` with a batch of the same rows: it copies again. Every other
+    call upserts its batch, also under a ``run_id`` that has been used before. The copy replaces partition by
     partition, so readers should wait for it to end.
     """
     staged, done = f"{staging_path}/rows", f"{staging_path}/done"
     marker = read_if_there(spark, done)
     batch = batch.withColumn(partition_col, partition_of)
     # No more values than the table has partitions.
-    sizes = batch.groupBy(partition_col).count().collect()
+    content = F.sum(F.xxhash64(*batch.columns).cast("decimal(38,0)")).alias("content")
+    sizes = batch.groupBy(partition_col).agg(F.count(F.lit(1)).alias("count"), content).collect()
     rows_landed = sum(row["count"] for row in sizes)
-    if marker is None or marker.where((F.col("run_id") == run_id) & (F.col("state") == "staged")).isEmpty():
+    digest = f"{rows_landed} {sum(int(row['content']) for row in sizes)}"
+    same = (F.col("run_id") == run_id) & (F.col("state") == "staged") & (F.col("digest") == digest)
+    if marker is None or "digest" not in marker.columns or marker.where(same).isEmpty():
         if not rows_landed:
             return 0
         old = read_if_there(spark, table_path)
@@ -69,7 +72,7 @@ def land_partitions(
         current = old.where(inside).select(*schema.fieldNames())
         merged = upsert(current, batch.drop(partition_col), keys, update_cols, **options)
         merged.withColumn(partition_col, partition_of).write.mode("overwrite").partitionBy(partition_col).parquet(staged)
-        _mark(spark, done, run_id, "staged")
+        _mark(spark, done, run_id, "staged", digest)
     rows = read_if_there(spark, staged)
     if rows is not None:
         (
@@ -80,12 +83,12 @@ def land_partitions(
             .partitionBy(partition_col)
             .parquet(table_path)
         )
-    _mark(spark, done, run_id, "copied")
+    _mark(spark, done, run_id, "copied", digest)
     return rows_landed
 
 
-def _mark(spark, path, run_id, state):
-    spark.createDataFrame([(run_id, state)], "run_id string, state string").write.mode("overwrite").parquet(path)
+def _mark(spark, path, run_id, state, digest):
+    spark.createDataFrame([(run_id, state, digest)], "run_id string, state string, digest string").write.mode("overwrite").parquet(path)
 
 
 def read_if_there(spark, path):

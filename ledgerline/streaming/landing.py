@@ -2,9 +2,12 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans.ingest import trade_month
+from ledgerline.plans.ingest import FILINGS, trade_month, watched_filings
 from ledgerline.schemas import PRICE_KEYS, PRICE_UPDATES, RAW_MARKET_PRICES
+from ledgerline.sources.landed import shape_filings
 from ledgerline.sources.landing import land_partitions
+from ledgerline.sources.merge_on_read import Landing, compact_when_full, land_delta
+from ledgerline.sources.versions import TableSet
 
 
 def land_stream(
@@ -62,3 +65,25 @@ def land_price_stream(spark: SparkSession, incoming: str, table_path: str, check
         trade_month(),
         **options,
     )
+
+
+def land_deltas(batches: DataFrame, root: str, landing: Landing, checkpoint_path: str, prepare=None):
+    """Land every micro-batch of a stream as a delta of one table of the set below ``root``, and stop when drained.
+
+    A batch that was committed but not marked as done in the checkpoint is not landed again: its number is
+    remembered with the table. ``prepare`` makes table rows of a micro-batch.
+    """
+    name = checkpoint_path.rstrip("/").rsplit("/", 1)[-1]
+
+    def land(batch, number):
+        tables = TableSet(batch.sparkSession, root)
+        tables, _ = land_delta(tables, landing, batch if prepare is None else prepare(batch), f"{name}/{number}")
+        compact_when_full(tables, landing)
+
+    return batches.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start()
+
+
+def land_filing_stream(spark: SparkSession, incoming: str, root: str, checkpoint_path: str, watchlist: DataFrame):
+    """Filings as JSON lines (``ticker``, ``cik``, ``payload``) of watched companies, one document for each company and micro-batch."""
+    lines = spark.readStream.schema("ticker string, cik string, payload string").json(incoming)
+    return land_deltas(shape_filings(lines), root, FILINGS, checkpoint_path, lambda batch: watched_filings(batch, watchlist))

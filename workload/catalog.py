@@ -1,5 +1,6 @@
 """The registered queries: one per operator, each over its whole tables."""
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from ledgerline.session import shared_dir
 from ledgerline.sources.landed import last_sessions, lookback, shape_filings, shape_prices
 from ledgerline.sources.merge_on_read import compact, land_delta, read_merged
 from ledgerline.sources.versions import TableSet
+from ledgerline.streaming.analytics import stream_price_analytics
 from workload import shapes as W
 
 
@@ -206,6 +208,22 @@ def _spliced_versions(spark: SparkSession, d: str) -> DataFrame:
     return built(tables, STATEMENTS)
 
 
+def _streamed_prices(spark: SparkSession, d: str) -> DataFrame:
+    """The price history landed in four files by day, through a stream that is stopped after two of them."""
+    folder = shared_dir(spark, "stream")
+    staged = _staged(spark, d)
+    days = staged.select(F.percentile_approx(F.unix_date("trade_date"), [0.25, 0.5, 0.75])).first()[0] or []
+    cuts = [dt.date(1970, 1, 1) + dt.timedelta(days=n) for n in days]
+    for n, (first, last) in enumerate(zip([None, *cuts], [*cuts, None])):
+        inside = (F.lit(True) if first is None else F.col("trade_date") > first) & (F.lit(True) if last is None else F.col("trade_date") <= last)
+        staged.where(inside).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        if n % 2:
+            stream = spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+            out = stream_price_analytics(stream).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+            out.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
 def _statement_positions(spark, d):
     """The rows of :func:`statement_history` with their places in both orders."""
     quarterly, dim = _quarterly(spark, d), _dim(spark, d)
@@ -270,6 +288,8 @@ QUERIES = {
         W.px_raw(s, d), ("ticker", "trade_date", "dividend_amount", "split_coefficient")
     ),
     "expect_unique": lambda s, d: expect_unique(W.table(s, d, "lineitem"), ("l_orderkey", "l_linenumber")),
+    "expect_unique_two_pass": lambda s, d: expect_unique(W.table(s, d, "lineitem"), ("l_orderkey", "l_linenumber"), two_pass=True),
+    "price_stream": _streamed_prices,
     "build_gold": _build_gold,
     "build_daily": _gold("fact_daily_market_valuation", "calculated_at"),
     "build_quarterly": _gold("fact_quarterly_financials", "computed_at"),
