@@ -45,10 +45,46 @@ def extract_facts(
     parsed = filings.select("ticker", "cik", F.from_json(payload, document, {"mode": mode}).alias("doc"))
     body = F.col("doc.facts").getField(taxonomy)
     per_tag = [F.struct(F.lit(t).alias("gaap_tag"), body.getField(t).getField("units").getField(unit).alias("facts")) for t in tags]
+    per_fact = parsed.select("ticker", "cik", F.inline(F.array(*per_tag))).select("ticker", "cik", "gaap_tag", F.inline("facts"))
+    return _typed(per_fact, periods)
+
+
+def parse_filings(filings: DataFrame, payload: str = "payload") -> DataFrame:
+    """Filings with their documents parsed once, as a variant column ``body`` in place of the text.
+
+    Written as a table, it serves the extraction of any tag, also of one that nobody asked for when it was
+    written, without reading text again. A malformed document fails the job.
+    """
+    return filings.select(*[c for c in filings.columns if c != payload], F.parse_json(payload).alias("body"))
+
+
+def extract_parsed_facts(
+    documents: DataFrame,
+    tags=GAAP_TAGS,
+    taxonomy: str = "us-gaap",
+    unit: str = "USD",
+    periods=FISCAL_PERIODS,
+    body: str = "body",
+) -> DataFrame:
+    """:func:`extract_facts` over documents that :func:`parse_filings` has parsed; ``tags=None`` takes every tag there is.
+
+    The tags of a document come out of its parsed form by ``variant_explode``. A figure that is no amount fails
+    the job; what is no object where facts should be holds no facts.
+    """
+    facts = F.variant_get(F.col(body), f"$.facts['{taxonomy}']", "variant")
+    found = documents.select("ticker", "cik", facts.alias("_facts")).where(F.col("_facts").isNotNull())
+    each = found.lateralJoin(documents.sparkSession.tvf.variant_explode(F.col("_facts").outer())).select("ticker", "cik", F.col("key").alias("gaap_tag"), "value")
+    if tags is not None:
+        each = each.where(F.col("gaap_tag").isin(*tags))
+    fact = ", ".join(f"`{n}`: string" for n in ("form", "fy", "fp", "filed", "start", "end", "accn"))
+    rows = F.variant_get("value", f"$.units['{unit}']", f"array<struct<{fact}, `val`: {MONEY.simpleString()}>>")
+    return _typed(each.select("ticker", "cik", "gaap_tag", F.inline(rows)), periods)
+
+
+def _typed(found: DataFrame, periods) -> DataFrame:
+    """The distinct facts of wanted periods in the types of the fact table."""
     return (
-        parsed.select("ticker", "cik", F.inline(F.array(*per_tag)))
-        .select("ticker", "cik", "gaap_tag", F.inline("facts"))
-        .where(F.col("val").isNotNull() & F.col("fy").isNotNull() & F.col("fp").isin(*periods))
+        found.where(F.col("val").isNotNull() & F.col("fy").isNotNull() & F.col("fp").isin(*periods))
         .select(
             "ticker",
             "cik",

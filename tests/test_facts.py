@@ -5,13 +5,14 @@ import json
 from decimal import Decimal as D
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerline.operators.dims import dim_company
 from ledgerline.operators.fundamentals import dcf_defaults, financial_ratios, pivot_facts, ttm_rollup
 from ledgerline.operators.history import current_versions, scd2
 from ledgerline.operators.quality import expect_not_null, expect_unique
-from ledgerline.operators.staging import extract_facts, rejected_filings
+from ledgerline.operators.staging import extract_facts, extract_parsed_facts, parse_filings, rejected_filings
 
 FACT = "ticker string, cik string, gaap_tag string, form_type string, fiscal_year int, fiscal_period string, filed_date date, period_start_date date, period_end_date date, amount decimal(20,2), accession_number string"
 
@@ -222,3 +223,22 @@ def test_unique_check_ignores_null_parts(spark):
     data = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), ("b", None)], "k string, n int")
     assert [tuple(r) for r in expect_unique(data, ["k", "n"]).collect()] == [("a", 1, 2)]
     assert expect_unique(data.select(F.monotonically_increasing_id().alias("i")), "i").count() == 0
+
+
+def test_parsed_documents_give_any_tag_without_reading_text(spark, tmp_path):
+    node = lambda v, **more: {"form": "10-K", "fy": 2023, "fp": "FY", "filed": "2024-02-01", "start": "2023-01-01", "end": "2023-12-31", "val": v, "accn": "a", **more}
+    facts = {"Assets": {"units": {"USD": [node(100.25), node(12345678901234567.89), node(None), node(5, fp="Q9"), node(100.25)], "EUR": [node(7)]}}, "Goodwill": {"units": {"USD": [node(-3)]}}, "Odd": 4}
+    rows = [("1", "T", json.dumps({"facts": {"us-gaap": facts}})), ("2", "U", "{}"), ("3", "V", '{"facts": {"us-gaap": 5}}'), ("4", "W", None)]
+    filings = spark.createDataFrame(rows, "cik string, ticker string, payload string")
+    parse_filings(filings).write.parquet(f"{tmp_path}/documents")
+    documents = spark.read.parquet(f"{tmp_path}/documents")
+    usable = filings.where("ticker in ('T', 'U')")
+    for tags in (("Assets",), ("Goodwill",), ("Assets", "Goodwill")):
+        assert sorted(map(str, extract_parsed_facts(documents, tags).collect())) == sorted(map(str, extract_facts(usable, tags).collect()))
+    every = extract_parsed_facts(documents, tags=None)
+    assert {r.gaap_tag for r in every.collect()} == {"Assets", "Goodwill"}
+    assert every.count() == 3
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    assert "parse_json" not in plan and "from_json" not in plan
+    with pytest.raises(PySparkException):
+        parse_filings(spark.createDataFrame([("1", "T", "{")], "cik string, ticker string, payload string")).collect()

@@ -15,7 +15,7 @@ from ledgerline.operators.history import current_versions, latest_per_key, scd2
 from ledgerline.operators.price_analytics import price_analytics
 from ledgerline.operators.quality import expect_not_null, expect_unique
 from ledgerline.operators.slicing import measure
-from ledgerline.operators.staging import extract_facts, stage_prices
+from ledgerline.operators.staging import extract_facts, extract_parsed_facts, parse_filings, stage_prices
 from ledgerline.operators.upsert import upsert
 from ledgerline.operators.valuation import dcf, dcf_projections, dcf_scenarios
 from ledgerline.plans.build import TABLES, build, built, rebuild
@@ -224,6 +224,13 @@ def _streamed_prices(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out")
 
 
+def _parsed_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Documents parsed into a written table, and the facts of all tags out of it."""
+    folder = shared_dir(spark, "documents")
+    parse_filings(W.filings_raw(spark, d)).write.parquet(folder)
+    return extract_parsed_facts(spark.read.parquet(folder), tags=None)
+
+
 def _statement_positions(spark, d):
     """The rows of :func:`statement_history` with their places in both orders."""
     quarterly, dim = _quarterly(spark, d), _dim(spark, d)
@@ -259,6 +266,7 @@ QUERIES = {
     "latest_per_key": lambda s, d: latest_per_key(_staged(s, d), "ticker", ["trade_date"]),
     "lookback": lambda s, d: lookback(_staged(s, d), "1998-12-01", 365),
     "extract_facts": lambda s, d: extract_facts(W.filings_raw(s, d)),
+    "extract_parsed_facts": _parsed_facts,
     "json_scalar": lambda s, d: W.table(s, d, "events").select("event_id", json_fields("props", k="int")["k"].alias("k")),
     "scd2": _versions,
     "current_versions": lambda s, d: current_versions(W.facts_raw(s, d)),
