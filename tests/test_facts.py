@@ -5,7 +5,7 @@ import json
 from decimal import Decimal as D
 
 import pytest
-from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from ledgerline.operators.dims import dim_company
@@ -240,5 +240,5 @@ def test_parsed_documents_give_any_tag_without_reading_text(spark, tmp_path):
     assert every.count() == 3
     plan = every._jdf.queryExecution().executedPlan().toString()
     assert "parse_json" not in plan and "from_json" not in plan
-    with pytest.raises(PySparkException):
+    with pytest.raises(Py4JJavaError, match="MALFORMED"):
         parse_filings(spark.createDataFrame([("1", "T", "{")], "cik string, ticker string, payload string")).collect()
