@@ -1,4 +1,10 @@
-"""The training-data pipeline: stages over ``documents``, each written and read again by the next."""
+"""The training-data pipeline: stages over ``documents``, each written and read again by the next.
+
+Defined cases, the same in every stage: a null or empty text is a document without words, which the quality
+score alone may reject; a document without an id is never taken for a copy of another one; rows that repeat id and
+text are decided alike and stay together; columns besides ``doc_id``, ``text``, ``source`` and ``n_chars`` pass through
+whatever their names are, and ``n_chars`` may be missing; an empty table stays empty.
+"""
 
 from fractions import Fraction
 
@@ -16,8 +22,10 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more go; ``n_chars`` follows the text."""
+    """Lines found in ten documents or more go; ``n_chars``, where there is one, follows the text (null for a null text)."""
     kept = line_runs.without_frequent_lines(docs)
+    if "n_chars" not in docs.columns:
+        return kept
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -27,6 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with ten consecutive words of a benchmark item (all words of a shorter one) go."""
     return decontaminate.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
