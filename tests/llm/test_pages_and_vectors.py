@@ -317,3 +317,26 @@ def test_statistics_have_names_and_are_finite():
         found = quality.statistics(text)
         assert len(found) == len(quality.STATISTICS)
         assert np.isfinite(found).all()
+
+
+def test_weights_solve_the_normal_equations_of_all_rows(spark):
+    """The summed parts, the ridge weights and the calibration against plain numpy."""
+    rng = np.random.default_rng(2)
+    size = len(quality.STATISTICS)
+    rows = [(k, [float(v) for v in rng.normal(size=size)], int(rng.random() < 0.4)) for k in range(400)]
+    described = spark.createDataFrame([((k,), x) for k, x, _ in rows], "row struct<doc_id:long>, x array<double>").repartition(7)
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, quality int")
+    mapped, weights, edges, shares = quality.fit(described, labels)
+    part = {r.doc_id: r.b for r in labels.select("doc_id", quality.bucket(F.col("doc_id")).alias("b")).collect()}
+    x = np.array([x for k, x, _ in rows if part[k] > 1])
+    y = np.array([y for k, _, y in rows if part[k] > 1], float)
+    assert np.allclose(mapped.mean, x.mean(0)) and np.allclose(mapped.scale, x.std(0))
+    z = mapped(x)
+    expected = np.linalg.solve(z.T @ z + quality.PENALTY * len(z) * np.eye(z.shape[1]), z.T @ y)
+    assert np.allclose(weights, expected, atol=1e-9)
+    raw = mapped(np.array([x for k, x, _ in rows if part[k] == 1])) @ expected
+    place = np.clip(np.floor((raw + 0.5) * (quality.BINS / 2)), 0, quality.BINS - 1).astype(int)
+    good = np.array([y for k, _, y in rows if part[k] == 1], float)
+    bins = sorted(set(place.tolist()))
+    assert np.allclose(edges, [(b + 0.5) / (quality.BINS / 2) - 0.5 for b in bins])
+    assert np.allclose(shares, quality.isotonic([good[place == b].sum() for b in bins], [int((place == b).sum()) for b in bins]))

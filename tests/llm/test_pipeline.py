@@ -61,3 +61,31 @@ def test_contaminated_documents_go(spark, stages):
 
 def test_run_gives_the_last_stage(spark, stages):
     assert Counter(r.doc_id for r in corpus_pipeline.run(spark, SF_DIR).collect()) == Counter(r.doc_id for r in stages[-1][1].collect())
+
+
+ODD = "doc_id long, text string, source string, row string, score double, key string, copies int, id int, found string"
+
+
+def odd_rows(spark):
+    good = [r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    texts = [*good, None, "", " \n\t", good[0], good[0], "word " * 60_000, *[f"{t}\nthe same last line" for t in good[:12]]]
+    rows = [(k if k % 13 else None, t, None if k % 5 == 0 else f"s{k % 3}", "r", 0.5, "k", 1, 2, "f") for k, t in enumerate(texts)]
+    return spark.createDataFrame([*rows, rows[3], rows[3]], ODD)
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_tables(spark, name):
+    stage, docs = dict(corpus_pipeline.STAGES)[name], odd_rows(spark)
+    left = stage(spark, docs, SF_DIR)
+    assert left.columns == [*docs.columns, *(["copy"] if name == "mix" else [])]
+    rows = left.collect()
+    before = Counter((r.doc_id, r.text) for r in docs.collect())
+    if name == "line_dedup":
+        assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in before.elements())
+        assert sum(r.text is None for r in rows) == 1 and not any(r.text and "the same last line" in r.text for r in rows)
+    elif name != "mix":
+        after = Counter((r.doc_id, r.text) for r in rows)
+        assert all(after[k] in (0, n) for k, n in before.items())  # repeated rows are decided alike
+    if name in ("near_duplicates", "decontamination"):
+        assert after[next(k for k in before if k[1] is None)] and all(r.source in (None, "s0", "s1", "s2") for r in rows)
+    assert stage(spark, docs.limit(0), SF_DIR).count() == 0
