@@ -48,11 +48,6 @@ def _head(array: str, at: Column, size: str | None = None) -> Column:
     return pair if size is None else F.when(F.col(size) == 1, F.xxhash64(F.get(array, at))).otherwise(pair)
 
 
-def _heads(found: Column) -> Column:
-    """For every place of an array of words the hash of the pair there."""
-    return F.transform(found, lambda w, k: F.xxhash64(w, F.get(found, k + 1)))
-
-
 def hits(documents: DataFrame, windows: DataFrame, doc: str = "doc_id", text: str = "text", broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """``id, key, at, size, item``: every place where a window of an item occurs; ``at`` counts words from 0.
 
@@ -65,11 +60,11 @@ def hits(documents: DataFrame, windows: DataFrame, doc: str = "doc_id", text: st
     tokens = documents.select(F.col(doc).alias("id"), text_key(F.col(text)).alias("key"), words(F.col(text)).alias("words")).filter(F.size("words") > 0)
     # Beyond the broadcast only places and heads are shuffled for the first look-up; texts are moved once, for those with a hit.
     carried = ["words"] if small else []
-    places = tokens.select("id", "key", *carried, F.posexplode(_heads(F.col("words"))).alias("at", "head"))
+    places = tokens.select("id", "key", "words", F.explode(F.sequence(F.lit(0), F.size("words") - 1)).alias("at"))
     heads = windows.select("head").distinct()
-    likely = [places.join(sent(heads), "head", "left_semi")]
+    likely = [places.select("id", "key", *carried, "at", _head("words", F.col("at")).alias("head")).join(sent(heads), "head", "left_semi")]
     if 1 in (totals.sizes or []):
-        alone = tokens.select("id", "key", *carried, F.posexplode(F.transform("words", lambda w: F.xxhash64(w))).alias("at", "head"))
+        alone = places.select("id", "key", *carried, "at", F.xxhash64(F.get("words", F.col("at"))).alias("head"))
         likely.append(alone.join(sent(windows.filter("size = 1").select("head").distinct()), "head", "left_semi"))
     found = reduce(DataFrame.unionByName, likely)
     if not small:
