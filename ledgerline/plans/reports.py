@@ -57,9 +57,13 @@ def statement_history(
     ticker: str | None = None,
     chart: bool = False,
     order: str = "latest",
+    key: str | None = None,
 ) -> DataFrame:
     """Statement rows per company; ``ticker`` looks one company up.
 
+    ``key`` is that company's ``company_sk`` where it is known beforehand (:func:`company_sk`): as a literal
+    it reaches the scan of every table.
+
     The rows of one company come in order: oldest first, or with ``order="reference"``
     newest first, which is what the original page ends up showing. Rows of all companies
     are left unsorted. Companies without statements have no rows. ``chart=True`` adds the
@@ -69,7 +73,7 @@ def statement_history(
     if order not in ("latest", "reference"):
         raise ValueError("order must be 'latest' or 'reference'")
     if ticker is not None:
-        companies, quarterly = _company(companies, ticker), _only(quarterly, ticker)
+        companies, quarterly = _company(companies, ticker), _only(quarterly, key)
     figures = {
         "revenue": "total_revenue",
         "operating_income": "operating_income",
@@ -109,13 +113,14 @@ def company_page(
     quarterly: DataFrame,
     ticker: str | None = None,
     order: str = "latest",
+    key: str | None = None,
 ) -> DataFrame:
     """Header, default valuation inputs and initial valuation, one row per company.
 
-    The statements of the page are :func:`statement_history`.
+    The statements of the page are :func:`statement_history`, where ``key`` is described as well.
     """
     if ticker is not None:
-        companies, daily, quarterly = _company(companies, ticker), _only(daily, ticker), _only(quarterly, ticker)
+        companies, daily, quarterly = _company(companies, ticker), _only(daily, key), _only(quarterly, key)
     latest = _latest_day(daily).select("company_sk", "close_price", "daily_return", "sma_20", "sma_50")
     header = companies.join(latest, "company_sk", "left").select(
         "company_sk",
@@ -131,12 +136,12 @@ def company_page(
 
 def built_page(tables: TableSet, ticker: str, order: str = "latest") -> DataFrame:
     """:func:`company_page` of one company out of the built tables: one partition folder of each is read."""
-    return company_page(*[built(tables, f"gold/{t}", ticker) for t in ("dim_company", "fact_daily_market_valuation", "fact_quarterly_financials")], ticker, order)
+    return company_page(*[built(tables, f"gold/{t}", ticker) for t in ("dim_company", "fact_daily_market_valuation", "fact_quarterly_financials")], ticker, order, company_sk(ticker))
 
 
 def built_history(tables: TableSet, ticker: str, chart: bool = False, order: str = "latest") -> DataFrame:
     """:func:`statement_history` of one company out of the built tables."""
-    return statement_history(*[built(tables, f"gold/{t}", ticker) for t in ("dim_company", "fact_quarterly_financials")], ticker, chart, order)
+    return statement_history(*[built(tables, f"gold/{t}", ticker) for t in ("dim_company", "fact_quarterly_financials")], ticker, chart, order, company_sk(ticker))
 
 
 def _company(companies: DataFrame, ticker: str) -> DataFrame:
@@ -144,10 +149,9 @@ def _company(companies: DataFrame, ticker: str) -> DataFrame:
     return companies.where(F.col("ticker") == ticker.upper()).orderBy(F.col("cik").asc_nulls_last()).limit(1)
 
 
-def _only(facts: DataFrame, ticker: str) -> DataFrame:
-    """The rows of one company. Its key is a literal, which reaches the scan of every side and skips files and row groups."""
-    found = facts.where(F.col("company_sk") == company_sk(ticker))
-    return found.where(F.col("ticker") == ticker.upper()) if "ticker" in facts.columns else found
+def _only(facts: DataFrame, key: str | None) -> DataFrame:
+    """The rows of one company, if its key is known."""
+    return facts if key is None else facts.where(F.col("company_sk") == key)
 
 
 def company_sk(ticker: str) -> str:

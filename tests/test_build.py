@@ -139,6 +139,6 @@ def test_the_lookup_key_goes_below_the_windows(spark, tmp_path):
     daily = price_analytics(stage_prices(raw), slicing=None).select(company_key("ticker").alias("company_sk"), "*", *[F.lit(1).alias(c) for c in ("free_cash_flow", "net_margin", "return_on_equity")])
     companies = spark.createDataFrame([(company_sk("T1"), "T1", "1", "n", "USD", "x", "i")], "company_sk string, ticker string, cik string, company_name string, reporting_currency string, primary_exchange string, industry string")
     quarterly = spark.createDataFrame([], "company_sk string, period_end_date date, fiscal_year int, fiscal_period string, filing_date date, accession_number string, free_cash_flow decimal(38,2), cash_and_cash_equivalents decimal(20,2), total_liabilities decimal(20,2)")
-    text = company_page(companies, daily, quarterly, "T1")._jdf.queryExecution().executedPlan().toString()
+    text = company_page(companies, daily, quarterly, "T1", key=company_sk("T1"))._jdf.queryExecution().executedPlan().toString()
     below = text[text.index("Window") :].split("FileScan")[0]
     assert "Filter" in below[below.index("Exchange") :]

@@ -22,7 +22,7 @@ from ledgerline.plans.build import TABLES, build, built, rebuild
 from ledgerline.plans.gold import daily_valuation
 from ledgerline.plans.history import STATEMENTS, apply_facts
 from ledgerline.plans.ingest import FILINGS, PRICES, YIELDS, ingest_filings, ingest_prices
-from ledgerline.plans.reports import built_history, built_page, company_page, statement_history, statement_positions, watchlist_report
+from ledgerline.plans.reports import built_history, built_page, company_page, company_sk, statement_history, statement_positions, watchlist_report
 from ledgerline.session import shared_dir
 from ledgerline.sources.landed import last_sessions, lookback, shape_filings, shape_prices
 from ledgerline.sources.merge_on_read import compact, land_delta, read_merged
@@ -314,10 +314,10 @@ QUERIES = {
     "asof_packed": _asof("packed"),
     "statement_positions": _statement_positions,
     "build_watchlist": _build_watchlist,
-    "company_lookup": lambda s, d: company_page(_dim(s, d), _daily(s, d), _quarterly(s, d), ticker="S1").drop("projections"),
+    "company_lookup": lambda s, d: company_page(_dim(s, d), _daily(s, d), _quarterly(s, d), ticker="S1", key=company_sk("S1")).drop("projections"),
     "company_projections": lambda s, d: dcf_projections(company_page(_dim(s, d), _daily(s, d), _quarterly(s, d)), "ticker"),
-    "statement_lookup": lambda s, d: statement_history(_dim(s, d), _quarterly(s, d), ticker="s1"),
-    "statement_lookup_newest": lambda s, d: statement_history(_dim(s, d), _quarterly(s, d), ticker="s1", order="reference"),
+    "statement_lookup": lambda s, d: statement_history(_dim(s, d), _quarterly(s, d), ticker="s1", key=company_sk("s1")),
+    "statement_lookup_newest": lambda s, d: statement_history(_dim(s, d), _quarterly(s, d), ticker="s1", order="reference", key=company_sk("s1")),
     "ingest_round_trip": _ingest_round_trip,
     "ingest_filings": _ingest_filings,
 }
