@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.scan import LETTER_BYTES, pieces
+from ledgerline.llm.scan import LETTER_BYTES, pieces, small_batches
 from ledgerline.llm.transducer import Transducer
 from ledgerline.session import shared_dir
 
@@ -226,7 +226,8 @@ class Audit:
         self.groups = self._kept(groups.select("lang", "source", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("total", F.lit(0)).alias("total")), "groups")
 
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.folder}/{name}")
+        with small_batches(self.spark):
+            df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
     def _ranges(self) -> DataFrame:
@@ -241,7 +242,8 @@ class Audit:
         def recount() -> None:
             found = rows.mapInArrow(_recount(list(loaded)), "lang string, source string, ordinal long, n long")
             parts.append(f"{self.folder}/counts-{len(parts)}")
-            found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n")).write.parquet(parts[-1])
+            with small_batches(self.spark):
+                found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n")).write.parquet(parts[-1])
 
         for row in self._ranges().select("lang", "base", "size", "packed").toLocalIterator():  # the driver holds one group at a time
             if loaded and size + row.size > LOADED:

@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.components import components
 from ledgerline.llm.jaccard_blocks import Forest, Sets, forest
+from ledgerline.llm.scan import small_batches
 from ledgerline.llm.text import text_key
 from ledgerline.session import shared_dir
 
@@ -248,7 +249,8 @@ class JaccardJoin:
 
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
         path, self.tables = f"{self.folder}/{self.tables}-{name}", self.tables + 1
-        df.write.parquet(path)
+        with small_batches(self.spark):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _texts_of(self, rows: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.scan import WORD_BYTES, pieces
+from ledgerline.llm.scan import WORD_BYTES, pieces, small_batches
 from ledgerline.session import shared_dir
 
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -267,7 +267,8 @@ class LexicalIndex:
         vocabulary = sorted(set().union(*[found for _, found in items]))
         self.place = {t: k for k, t in enumerate(vocabulary)}
         source = documents.select(F.col(doc).alias("id"), F.col(text).cast("binary").alias("text"))
-        source.mapInArrow(_vectors(self.place), f"id {self.kind}, n long, terms array<int>, tf array<long>").write.parquet(f"{self.folder}/vectors")
+        with small_batches(self.spark):
+            source.mapInArrow(_vectors(self.place), f"id {self.kind}, n long, terms array<int>, tf array<long>").write.parquet(f"{self.folder}/vectors")
         self.vectors = self.spark.read.parquet(f"{self.folder}/vectors").filter("n > 0")
         totals = self.vectors.agg(F.count("*").alias("documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("length")).first()
         self.documents, self.length = totals.documents, totals.length

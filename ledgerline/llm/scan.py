@@ -3,7 +3,10 @@
 All characters beyond ASCII count as letters here, so a UTF-8 text can be cut byte by byte.
 """
 
+from contextlib import contextmanager
+
 import numpy as np
+from pyspark.sql import SparkSession
 
 
 def _table(*ranges: tuple[int, int]) -> np.ndarray:
@@ -35,3 +38,15 @@ def pieces(body: bytes, letters: np.ndarray, size: int = 1 << 20):
         yield body[start:end]
         start = end
     yield body[start:]
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000):
+    """Writes inside send Python workers at most so many rows at a time, which bounds what they and the executor hold of the texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -338,18 +338,18 @@ def test_a_large_group_leaves_its_tasks_in_proportion(spark, monkeypatch):
     """Twice the near copies give about twice the rows in every written table, not four times."""
     rng = random.Random(7)
     base = " ".join(f"w{rng.randrange(4000)}" for _ in range(200))
-    texts = [near_copies(rng, base, 2) for _ in range(800)]
+    texts = [near_copies(rng, base, 2) for _ in range(1200)]
     monkeypatch.setattr(jaccard_join, "BLOCK", 256)
     rows = []
-    for n in (400, 800):
+    for n in (300, 600, 1200):
         join = jaccard_join.JaccardJoin(spark.createDataFrame(list(enumerate(texts[:n])), "doc_id long, text string"), 3, Fraction(9, 10))
         got = Counter((r.id, r.n, r.component) for r in join.groups().collect())
-        if n == 400:
+        if n == 300:
             assert got == plain_groups(list(enumerate(texts[:n])), 3, Fraction(9, 10))
         rows.append({p.name.split("-", 1)[1]: spark.read.parquet(str(p)).count() for p in Path(join.folder).iterdir()})
     for less, more in zip(rows, rows[1:]):
         for name in ("home-possible", "home-links", "rest-pairs", "rest-links", "crossed-possible", "crossed-links", "links"):
-            assert more.get(name, 0) <= 3 * max(less.get(name, 0), 400), (name, less, more)
+            assert more.get(name, 0) <= 3 * max(less.get(name, 0), 300), (name, less, more)
 
 
 def test_word_hashes_follow_words():
