@@ -110,7 +110,11 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
 
     slots = placed(sizes).groupBy("s", "c", "slot").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("s", "c").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    # written and counted, so that documents are not moved for it: a row for each slot
     starts = slots.select(F.col("s").alias("s2"), F.col("c").alias("c2"), F.col("slot").alias("slot2"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("slot_start"))
+    starts.write.parquet(f"{folder}-starts")
+    starts = spark.read.schema(starts.schema).parquet(f"{folder}-starts")
+    starts = F.broadcast(starts) if starts.count() <= BROADCAST_ROWS else starts
     ranked = placed(docs).withColumn("rank", F.row_number().over(Window.partitionBy("s", "c", "slot").orderBy("size", "key")))
     nth = F.col("class_start") + F.col("slot_start") + F.col("rank")
     crossed = F.floor(F.col("offset") + nth * F.col("expected")) - F.floor(F.col("offset") + (nth - 1) * F.col("expected"))
