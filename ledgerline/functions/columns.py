@@ -5,6 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Units up to which ``to_fixed`` rounds in double arithmetic; beyond half of 1e9 every value counts as a tie.
+WHOLE_UNITS = 4e8
+
+
 def surrogate_key(*cols):
     """md5 over the parts joined by ``||``; null parts are skipped."""
     return F.md5(F.concat_ws("||", *[_col(c).cast("string") for c in cols]))
@@ -51,15 +55,21 @@ def to_fixed(col, digits):
     ``F.round`` rounds the shortest decimal text of a double, so 1.005 (really
     1.00499999999999989...) becomes 1.01. Report figures need 1.0. Only values that look
     like a tie take the costlier path through ``format_number``, which rounds the
-    binary value; an exact binary tie is left to ``F.round``.
+    binary value; an exact binary tie is left to ``F.round``. All others of usual size are
+    rounded in double arithmetic: half a unit is added and the whole units divided again, which
+    gives the double nearest to the decimal, as ``F.round`` does at many times the cost.
     """
     x = _col(col).cast("double")
-    scaled = F.abs(x) * F.lit(float(10**digits))
+    unit = F.lit(float(10**digits))
+    scaled = F.abs(x) * unit
     looks_like_tie = F.abs(scaled - F.floor(scaled) - 0.5) < F.lit(1e-9) * F.greatest(scaled, F.lit(1.0))
     binary = x * F.lit(float(2 ** (digits + 1)))
     exact_tie = binary == F.floor(binary)
     by_text = F.regexp_replace(F.format_number(x, digits), ",", "").cast("double")
-    return F.when(looks_like_tie & ~exact_tie, by_text).otherwise(F.round(x, digits))
+    rounded = F.floor(scaled + 0.5).cast("double") / unit
+    plain = F.when(x < 0, F.lit(0.0) - rounded).otherwise(rounded)  # 0.0 - 0.0 has no sign
+    usual = (scaled < F.lit(WHOLE_UNITS)) & ~looks_like_tie
+    return F.when(usual, plain).when(looks_like_tie & ~exact_tie, by_text).otherwise(F.round(x, digits))
 
 
 def to_fixed_text(col, digits):

@@ -109,10 +109,10 @@ def dcf_scenarios(
     valued = present_values(grown_flows(grid, "_base_fcf", "growth"), "_rate", "terminal_growth", "_cash", "_total_debt")
     price = F.col("current_price").cast("double")
     shares = F.col("_shares_outstanding")
-    valued = valued.withColumn("_fair", F.when(shares > 0, F.col("_equity") / shares).otherwise(F.lit(0.0))).withColumn(
-        "margin_of_safety",
-        to_fixed(F.when(F.col("_fair") > 0, (F.col("_fair") - price) / F.col("_fair") * F.lit(100.0)).otherwise(F.lit(0.0)), 1),
-    )
+    # Each a column of its own, so that it is computed once and not at every mention.
+    valued = valued.withColumn("_fair", F.when(shares > 0, F.col("_equity") / shares).otherwise(F.lit(0.0)))
+    valued = valued.withColumn("_margin", F.when(F.col("_fair") > 0, (F.col("_fair") - price) / F.col("_fair") * F.lit(100.0)).otherwise(F.lit(0.0)))
+    valued = valued.withColumn("margin_of_safety", to_fixed("_margin", 1))
     return valued.select(
         *names,
         "growth",

@@ -1,8 +1,14 @@
 """Discounted cash flow against plain arithmetic."""
 
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import to_fixed
 from ledgerline.operators.valuation import GROWTH_RANGE, TERMINAL_RANGE, WACC_RANGE, dcf, dcf_projections, dcf_scenarios
+from workload.catalog import _exact_sum
 
 INPUT = "base_fcf double, growth double, terminal_growth double, wacc double, cash double, total_debt double, shares_outstanding double"
 
@@ -99,3 +105,27 @@ def test_quantized_inputs(spark):
     rounded = one(spark, "T", 1.005e9, 0.0, 0.0, 1e9, 1.0, quantize=True)
     assert rounded["equity_value"] == pytest.approx(plain["equity_value"] / 1.005, rel=1e-12)
     assert rounded["base_fcf"] == 1.005e9
+
+
+def test_to_fixed_rounds_usual_values_like_the_decimal_of_the_double(spark):
+    """The double arithmetic of usual values, ties and the values that leave it agree with exact decimals, also in the sign of zero."""
+    rnd = random.Random(5)
+    values = [0.0, -0.0, -0.001, 0.005, 1.005, 2.675, 0.125, -0.125, -1.005, 3999999.994, 4000000.006, 4.2e6, 5000000.125, 123456789012.345, -7e15]
+    values += [rnd.uniform(-1, 1) * 10 ** rnd.randint(-3, 8) for _ in range(3000)] + [rnd.randint(-10**8, 10**8) / 1000 for _ in range(3000)]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    for digits in (1, 2):
+        got = {r.i: r.y for r in rows.select("i", to_fixed("x", digits).alias("y")).collect()}
+        for i, v in enumerate(values):
+            want = float(Decimal(v).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+            assert got[i] == want, (v, digits)
+            assert str(got[i]) != "-0.0"
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,)], "x double").select(to_fixed("x", 2)).collect()
+    assert [str(r[0]) for r in odd] == ["nan", "inf", "None"]
+
+
+def test_scenario_totals_are_those_of_decimals(spark):
+    """Whole units and the decimals of unusually large values add up to the sum over decimal(28, 2)."""
+    rows = [("a", 1.25), ("a", -3.5), ("b", 1.5e14), ("b", 0.25), ("c", -2e20), ("d", None), ("e", None), ("e", 0.01)] + [("f", 99999999.99)] * 1000
+    table = spark.createDataFrame(rows, "k string, x double").groupBy("k").agg(_exact_sum("x", 2).alias("got"), F.sum(F.col("x").cast("decimal(28,2)")).alias("want"))
+    assert dict(table.dtypes)["got"] == dict(table.dtypes)["want"] == "decimal(38,2)"
+    assert all(r.got == r.want for r in table.collect())

@@ -97,16 +97,28 @@ def _upsert(landed, keys, update_cols):
     return query
 
 
+def _exact_sum(column: str, digits: int):
+    """Sum of doubles of so many digits as ``sum(column :: decimal(28, digits))``.
+
+    Those of usual size are added as whole units, which need no decimal a row; a group of up to 900,000 rows cannot overflow.
+    """
+    units = F.col(column) * F.lit(float(10**digits))
+    usual = F.abs(units) < F.lit(1e13)
+    of_units = F.sum(F.when(usual, F.rint(units).cast("bigint"))).cast("decimal(19,0)").cast(f"decimal(38,{digits})")
+    of_rest = F.sum(F.when(~usual, F.col(column).cast(f"decimal(28,{digits})")))
+    whole = (of_units * F.lit(10**-digits).cast(f"decimal({digits},{digits})")).cast(f"decimal(38,{digits})")
+    return F.when(whole.isNull() | of_rest.isNull(), F.coalesce(whole, of_rest)).otherwise((whole + of_rest).cast(f"decimal(38,{digits})"))
+
+
 def _scenarios(spark, d):
     """Every triple of the default ranges for every company, then totals of the rounded results."""
     swept = dcf_scenarios(W.scenario_companies(spark, d))
-    fair, margin = F.col("fair_value").cast("decimal(28,2)"), F.col("margin_of_safety").cast("decimal(28,1)")
     return swept.groupBy("company", "rating").agg(
         F.count(F.lit(1)).alias("scenarios"),
-        F.sum(fair).alias("fair_value_sum"),
+        _exact_sum("fair_value", 2).alias("fair_value_sum"),
         F.min("fair_value").alias("fair_value_min"),
         F.max("fair_value").alias("fair_value_max"),
-        F.sum(margin).alias("margin_sum"),
+        _exact_sum("margin_of_safety", 1).alias("margin_sum"),
     )
 
 
