@@ -4,7 +4,7 @@ Fixed patterns give the base spans. Beside them, every long unbroken token is sc
 random strings against a model of ordinary identifiers; both hold transition probabilities
 between characters, counted from labelled tokens and smoothed by one. With no random strings to
 learn from, the first model is therefore uniform. The threshold is set where one ordinary token in
-a thousand would pass.
+a thousand would pass. Models and threshold come from every document, copies of a text once.
 
 Defined cases: a null or empty text has no spans; rows repeated with one id and text each get the
 same spans; tokens that overlap a base span are not proposed again; other columns are not used.
@@ -33,10 +33,9 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-.
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 #: Words and names joined by underscores; tokens with digits may be secrets that no pattern names, so they teach nothing.
 IDENTIFIER = r"(?<![A-Za-z0-9_])[A-Za-z][A-Za-z_]{7,}+(?![0-9])"
-#: Documents the models are trained on, chosen by a hash of their text.
-TRAINING_DOCUMENTS = 5_000
-#: Share of ordinary tokens that may pass the threshold.
+#: Share of ordinary tokens that may pass the threshold, and the steps of a score that it is set by.
 FALSE_POSITIVES = 0.001
+STEPS = 1_000
 
 
 def _texts(documents: DataFrame, doc: str, text: str) -> DataFrame:
@@ -51,14 +50,15 @@ def base_spans(documents: DataFrame, doc: str = "doc_id", text: str = "text") ->
 
 
 def _pairs(tokens: DataFrame) -> DataFrame:
-    """``label, cell, n``: how often one character follows another in the tokens of each label."""
+    """``label, pair, n``: how often one character follows another in the tokens of each label."""
     at = F.explode(F.sequence(F.lit(1), F.length("token") - 1))
-    pairs = tokens.filter(F.length("token") >= 2).select("label", "token", at.alias("at")).select("label", F.substring(F.col("token"), F.col("at"), F.lit(2)).alias("pair"))
-    return pairs.groupBy("label", "pair").agg(F.count("*").alias("n"))
+    times = F.col("n") if "n" in tokens.columns else F.lit(1)
+    pairs = tokens.filter(F.length("token") >= 2).select("label", "token", times.alias("n"), at.alias("at")).select("label", F.substring(F.col("token"), F.col("at"), F.lit(2)).alias("pair"), "n")
+    return pairs.groupBy("label", "pair").agg(F.sum("n").alias("n"))
 
 
 def train(tokens: DataFrame) -> list[float]:
-    """Log-likelihood ratios of all character pairs, from ``label`` (1 random, 0 ordinary) and ``token``.
+    """Log-likelihood ratios of all character pairs, from ``label`` (1 random, 0 ordinary), ``token`` and, if there, how often it occurs (``n``).
 
     One number for every two characters of the alphabet, whatever the data. Row by row, the
     smoothed probabilities of what follows a character sum to one.
@@ -86,19 +86,37 @@ def score(token: Column, ratios: list[float]) -> Column:
     return total / (F.length(token) - 1)
 
 
-def labelled_tokens(documents: DataFrame, base: DataFrame, limit: int = TRAINING_DOCUMENTS, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``label, token``: values of base spans (1) and identifiers outside them (0) of a bounded sample of documents.
+def labelled_tokens(documents: DataFrame, base: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """``label, token, n``: values of base spans (1) and identifiers outside them (0) of all documents, copies of a text once.
 
-    The sample is all texts whose hash lies below a bound that about ``limit`` pass, copies once.
+    Where a text holds no pattern, its identifiers are taken as they are; only in the others they are placed and
+    compared with the spans. Equal tokens are counted before they are kept.
     """
-    total = max(1, documents.count())
-    bound = int(min(1.0, limit / total) * 2**62)
-    chosen = _texts(documents, doc, text).filter(F.shiftrightunsigned("key", 2) <= bound).dropDuplicates(["key"])
-    secrets = base.filter(F.shiftrightunsigned("key", 2) <= bound)
-    random = secrets.dropDuplicates(["key", "kind", "start"]).select(F.lit(1).alias("label"), F.when(F.col("kind") == "assign", F.regexp_extract("value", ASSIGN, 1)).otherwise(F.col("value")).alias("token"))
-    words = match_spans(chosen, {"word": IDENTIFIER})
-    ordinary = words.join(secrets.select(F.col("id").alias("i"), F.col("key").alias("k"), F.col("start").alias("s"), F.col("end").alias("e")), words["id"].eqNullSafe(F.col("i")) & (words["key"] == F.col("k")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
-    return random.unionByName(ordinary.select(F.lit(0).alias("label"), F.col("value").alias("token")))
+    texts = _texts(documents, doc, text)
+    has_base = F.lit(False)
+    for pattern in BASE.values():
+        has_base = has_base | F.col("text").rlike(pattern)
+    once = base.dropDuplicates(["key", "kind", "start"])
+    random = once.select(F.lit(1).alias("label"), F.when(F.col("kind") == "assign", F.regexp_extract("value", ASSIGN, 1)).otherwise(F.col("value")).alias("token"))
+    plain = texts.filter(~has_base & F.col("text").rlike(IDENTIFIER)).select("key", F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0)).alias("tokens")).dropDuplicates(["key"])
+    words = match_spans(texts.filter(has_base), {"word": IDENTIFIER}).dropDuplicates(["key", "start"])
+    taken = once.select(F.col("key").alias("k"), F.col("start").alias("s"), F.col("end").alias("e"))
+    outside = words.join(taken, (words["key"] == F.col("k")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
+    ordinary = plain.select(F.explode("tokens").alias("token")).unionByName(outside.select(F.col("value").alias("token")))
+    return random.unionByName(ordinary.select(F.lit(0).alias("label"), "token")).groupBy("label", "token").agg(F.count("*").alias("n"))
+
+
+def threshold(tokens: DataFrame, ratios: list[float]) -> float:
+    """The least score, in whole steps and not below zero, that at most :data:`FALSE_POSITIVES` of all ordinary tokens exceed."""
+    steps = F.ceil(score(F.col("token"), ratios) * STEPS)
+    found = tokens.filter("label = 0").groupBy(steps.alias("step")).agg(F.sum("n").alias("n")).filter("step is not null")
+    rows = sorted(found.collect(), key=lambda r: -r.step)  # a score is a mean of logarithms of counts: some ten steps of a thousand
+    left = FALSE_POSITIVES * sum(r.n for r in rows)
+    for row in rows:
+        left -= row.n
+        if left < 0:
+            return max(0.0, row.step / STEPS)
+    return 0.0
 
 
 def secret_spans(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -110,8 +128,8 @@ def secret_spans(documents: DataFrame, doc: str = "doc_id", text: str = "text")
     labelled_tokens(documents, base, doc=doc, text=text).write.parquet(f"{folder}/tokens")
     tokens = spark.read.parquet(f"{folder}/tokens")
     ratios = train(tokens)
-    bar = tokens.filter("label = 0").agg(F.percentile_approx(score(F.col("token"), ratios), 1 - FALSE_POSITIVES, 10_000)).first()[0]
-    candidates = match_spans(_texts(documents, doc, text), {"markov": TOKEN}).withColumn("score", score(F.col("value"), ratios)).filter(F.col("score") > max(0.0, bar or 0.0))
+    bar = threshold(tokens, ratios)
+    candidates = match_spans(_texts(documents, doc, text), {"markov": TOKEN}).withColumn("score", score(F.col("value"), ratios)).filter(F.col("score") > bar)
     taken = base.select(F.col("id").alias("i"), F.col("key").alias("k"), F.col("start").alias("s"), F.col("end").alias("e"))
     free = candidates.join(taken, candidates["id"].eqNullSafe(F.col("i")) & (candidates["key"] == F.col("k")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
     return base.withColumn("score", F.lit(None).cast("double")).unionByName(free)

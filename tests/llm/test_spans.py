@@ -1,6 +1,7 @@
 """Secrets and personal data against plain searches with ``re``; edge cases of texts."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -252,3 +253,24 @@ def test_recall_of_written_out_variants(spark):
     caught = {kind: sum(any(v.startswith(hidden[k][:8]) for v in likely.get(k, [])) for k in ids) / 4 for kind, ids in (("address", range(1000, 1004)), ("digits", range(1100, 1104)))}
     assert caught["address"] >= 0.8 and caught["digits"] >= 0.8, caught
     assert sum(k in likely for k in range(2000, 2100)) <= 10
+
+
+def test_every_document_teaches_the_secret_models(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = ["name" + "".join(letters[i // 26**n % 26] for n in range(4)) for i in range(6000)]
+    rows = [(i, f"{w} {w} 12") for i, w in enumerate(names)] + [(-1, f"{names[0]} {names[0]} 12"), (-2, "password=Hjx82kLmq0 longidentifier"), (-3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.label, r.token): r.n for r in secrets.labelled_tokens(docs, secrets.base_spans(docs)).collect()}
+    assert got == {(0, w): 2 for w in names} | {(0, "longidentifier"): 1, (1, "Hjx82kLmq0"): 1}
+
+
+def test_the_secret_threshold_lets_one_in_a_thousand_pass(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rng = random.Random(3)
+    tokens = [(0, "".join(rng.choice(letters) for _ in range(12)), 1) for _ in range(5000)] + [(1, "".join(rng.choice(secrets.ALPHABET) for _ in range(24)), 1) for _ in range(50)]
+    frame = spark.createDataFrame(tokens, "label int, token string, n long")
+    ratios = secrets.train(frame)
+    scores = sorted(r.s for r in frame.filter("label = 0").select(secrets.score(F.col("token"), ratios).alias("s")).collect())
+    bar = secrets.threshold(frame, ratios)
+    assert bar == max(0.0, bar) and sum(s > bar for s in scores) <= 5
+    assert bar == 0.0 or sum(s > bar - 1 / secrets.STEPS for s in scores) > 5
