@@ -49,8 +49,7 @@ GENERATORS = {
 DIGITS = (7, 19)
 #: Labels a domain name has at most.
 LABELS = 127
-#: Candidates the trees are trained on, chosen by a hash, and the precision the threshold has to reach on the held-out fifth.
-TRAINING_CANDIDATES = 20_000
+#: The precision the threshold has to reach on the held-out fifth of the candidates.
 PRECISION = 0.95
 CONTEXT = 24
 
@@ -165,27 +164,21 @@ def features() -> dict[str, Column]:
     }
 
 
-def _bound(total: int, limit: int) -> int:
-    return int(min(1.0, limit / max(1, total)) * 2**31)
-
-
-def train(labelled: DataFrame, limit: int = TRAINING_CANDIDATES, precision: float = PRECISION):
+def train(labelled: DataFrame, precision: float = PRECISION):
     """``(model, thresholds)`` from ``features`` and ``label``, or None if one label is missing.
 
-    About ``limit`` candidates are taken by a hash of what they say; a fifth of them, by another part of
-    the hash, is held out. Addresses and numbers have a threshold each, the lowest that keeps ``precision`` among
+    The trees learn from all candidates but a fifth, which is held out by a hash of where they are. Addresses and numbers have a threshold each, the lowest that keeps ``precision`` among
     the held-out candidates of the kind; a kind without such is never added.
     """
-    hashed = labelled.withColumn("h", F.xxhash64("id", "key", "kind", "start"))
-    bound = _bound(labelled.count(), limit)
-    sample = hashed.filter(F.pmod("h", F.lit(2**31)) < bound).withColumn("held", F.pmod(F.shiftright("h", 33), F.lit(5)) == 0)
-    seen = {r.label for r in sample.filter("not held").select("label").distinct().collect()}
+    hashed = F.xxhash64("id", "key", "kind", "start")
+    parted = labelled.withColumn("held", F.pmod(F.shiftright(hashed, 33), F.lit(5)) == 0)
+    seen = {r.label for r in parted.filter("not held").select("label").distinct().collect()}
     if seen != {0.0, 1.0}:
         return None
     names = list(features())
     vectors = VectorAssembler(inputCols=names, outputCol="features")
-    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=8, maxDepth=4, seed=7).fit(vectors.transform(sample.filter("not held")))
-    binned = _probability(sample.filter("held"), model).groupBy("kind", F.floor(F.col("probability") * 100).alias("bin"))
+    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=8, maxDepth=4, seed=7).fit(vectors.transform(parted.filter("not held")))
+    binned = _probability(parted.filter("held"), model).groupBy("kind", F.floor(F.col("probability") * 100).alias("bin"))
     held = binned.agg(F.sum("label").alias("right"), F.count("*").alias("n")).collect()  # at most 101 rows a kind
     thresholds = {}
     for kind in GENERATORS:

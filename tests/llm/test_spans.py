@@ -274,3 +274,22 @@ def test_the_secret_threshold_lets_one_in_a_thousand_pass(spark):
     bar = secrets.threshold(frame, ratios)
     assert bar == max(0.0, bar) and sum(s > bar for s in scores) <= 5
     assert bar == 0.0 or sum(s > bar - 1 / secrets.STEPS for s in scores) > 5
+
+
+def test_every_candidate_teaches_the_trees(spark, monkeypatch):
+    seen = []
+
+    class Trees:
+        def __init__(self, **options):
+            pass
+
+        def fit(self, rows):
+            seen.append(rows.count())
+            raise StopIteration
+
+    monkeypatch.setattr(pii, "GBTClassifier", Trees)
+    names = list(pii.features())
+    labelled = spark.range(30_000).select("id", F.col("id").alias("key"), F.lit("digits").alias("kind"), F.lit(0).alias("start"), (F.col("id") % 2).cast("double").alias("label"), *[F.lit(1.0).alias(n) for n in names])
+    with pytest.raises(StopIteration):
+        pii.train(labelled)
+    assert 23_000 < seen[0] < 25_000
