@@ -58,7 +58,7 @@ def asof_join(
     if strategy == "packed":
         return _packed_form(left, right, on, left_time, right_time, tiebreak)
     if strategy == "range":
-        if _fits_broadcast(right, on):
+        if fits_broadcast(right, on):
             return _range_form(left, right, on, left_time, right_time, tiebreak)
         warnings.warn("the right side is too large to broadcast: the window form runs", stacklevel=2)
     return _window_form(left, right, on, left_time, right_time, tiebreak, slicing, rows_at_most)
@@ -158,7 +158,8 @@ def _packed_form(left, right, on, left_time, right_time, tiebreak):
     return found.select(*left.columns, F.inline_outer(F.array("_row")))
 
 
-def _fits_broadcast(right, on):
+def fits_broadcast(right: DataFrame, on) -> bool:
+    """Whether the range form is taken for these right rows, which have a time: the left side then stays where it is."""
     size = _row_size(right)
     if size is None:
         return False

@@ -11,7 +11,7 @@ from ledgerline.schemas import AVERAGE, MONEY, RETURN
 
 def price_analytics(
     prices: DataFrame,
-    key: str = "ticker",
+    key="ticker",
     order: str = "trade_date",
     price: str = "adj_close",
     windows=(20, 50),
@@ -20,23 +20,24 @@ def price_analytics(
 ) -> DataFrame:
     """Add ``daily_return``, ``dollar_volume`` and one ``sma_<n>`` per window length.
 
-    Moving averages run over the last ``n`` rows of the key, fewer at its start. All of
+    ``key`` is a column or several. Moving averages run over the last ``n`` rows of the key, fewer at its start. All of
     them share one shuffle and one sort. With ``slicing="auto"`` a small job first looks for
     oversized keys, which are then sliced (see :mod:`ledgerline.operators.slicing`);
     ``rows_at_most``, a bound on the rows, can save that job.
     """
     if not isinstance(prices.schema[price].dataType, DecimalType):
         raise TypeError(f"{price} must be a decimal: running sums of doubles are not exact")
-    plan = resolve(slicing, prices, [key], [order], rows_at_most)
-    names, groups, rows = prices.columns, [key], prices
+    keys = [key] if isinstance(key, str) else list(key)
+    plan = resolve(slicing, prices, keys, [order], rows_at_most)
+    names, groups, rows = prices.columns, keys, prices
     if plan is not None:
         sliced = plan.assign(prices)
         reach = max([2, *windows]) - 1
-        lead_in = plan.neighbours(sliced.select(key, order, price, "_slice", "_last"), reach, "before", [order])
+        lead_in = plan.neighbours(sliced.select(*keys, order, price, "_slice", "_last"), reach, "before", [order])
         rows = sliced.drop("_last").withColumn("_own", F.lit(True)).unionByName(
             lead_in.withColumn("_own", F.lit(False)), allowMissingColumns=True
         )
-        groups = [key, "_slice"]
+        groups = [*keys, "_slice"]
 
     # A moving sum is the difference of two running sums: constant work per row, whatever the
     # window length, and exact because the sums are decimals.

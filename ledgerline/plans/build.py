@@ -15,8 +15,9 @@ from ledgerline.operators.fundamentals import quarterly_financials
 from ledgerline.operators.history import scd2
 from ledgerline.operators.price_analytics import price_analytics
 from ledgerline.operators.quality import expect_not_null, expect_unique
+from ledgerline.operators.slicing import measure
 from ledgerline.operators.staging import extract_facts, stage_prices
-from ledgerline.plans.gold import daily_valuation
+from ledgerline.plans.gold import daily_valuation, leaves_prices_in_place
 from ledgerline.plans.ingest import FILINGS, PRICES
 from ledgerline.sources.merge_on_read import read_merged
 from ledgerline.sources.versions import Table, TableSet
@@ -69,18 +70,28 @@ class _Build:
         # Stamped once, so that all rows of a run agree.
         self.run_at = F.lit(spark.range(1).select(F.current_timestamp()).first()[0])
 
-    def write(self, name: str, df: DataFrame, bloom=()) -> DataFrame:
+    def write(self, name: str, df: DataFrame, bloom=(), spread: bool = True) -> DataFrame:
         grouped = df.withColumn(GROUP, ticker_group("ticker", self.groups))
-        table = self.tables.write(name, grouped, GROUP, bloom, TABLES.get(name, ("ticker",)))
+        table = self.tables.write(name, grouped, GROUP, bloom, TABLES.get(name, ("ticker",)), spread)
         self.written[name] = replace(table, info={"groups": str(self.groups)})
         return self.tables.read_written(table).drop(GROUP)
 
-    def price_branch(self, prices: DataFrame) -> DataFrame:
+    def price_branch(self, prices: DataFrame) -> tuple[DataFrame, bool]:
+        """The analysed prices, and whether they still have to be spread over the groups.
+
+        Tickers are dealt in the order of their groups, so one shuffle serves the windows and the folders. If some
+        are so large that they are sliced, slices are dealt anyhow and the rows are spread after that.
+        """
         staged = stage_prices(prices)
-        analysed = price_analytics(staged, rows_at_most=prices.count())
+        slicing = measure(staged, ["ticker"], ["trade_date"], rows_at_most=prices.count())
+        if slicing is None:
+            dealt = staged.withColumn(GROUP, ticker_group("ticker", self.groups)).repartitionByRange(GROUP, "ticker")
+            analysed = price_analytics(dealt, [GROUP, "ticker"], slicing=None).drop(GROUP)
+        else:
+            analysed = price_analytics(staged, slicing=slicing)
         if "ingested_at" in analysed.columns:
             analysed = analysed.withColumnRenamed("ingested_at", "updated_at")
-        return analysed
+        return analysed, slicing is not None
 
     def statement_branch(self, facts: DataFrame) -> DataFrame:
         return scd2(facts, rows_at_most=facts.count()).withColumn("updated_at", self.run_at)
@@ -91,9 +102,11 @@ class _Build:
     def company_branch(self, silver_prices: DataFrame, filings: DataFrame) -> DataFrame:
         return dim_company(silver_prices, filings).withColumn("created_at", self.run_at)
 
-    def daily_branch(self, silver_prices: DataFrame, quarterly: DataFrame, strategy: str) -> DataFrame:
+    def daily_branch(self, silver_prices: DataFrame, quarterly: DataFrame, strategy: str) -> tuple[DataFrame, bool]:
+        """The daily fact, and whether it has to be spread: prices that are read by group and not moved lie right already."""
         rows = silver_prices.count() + quarterly.count()
-        return daily_valuation(silver_prices, quarterly, strategy=strategy, rows_at_most=rows).withColumn("calculated_at", self.run_at)
+        daily = daily_valuation(silver_prices, quarterly, strategy=strategy, rows_at_most=rows)
+        return daily.withColumn("calculated_at", self.run_at), not leaves_prices_in_place(quarterly, strategy)
 
 
 def build(spark: SparkSession, bronze: str | TableSet, out_dir: str, strategy: str = "range", groups: int | None = None) -> TableSet:
@@ -114,7 +127,8 @@ def build(spark: SparkSession, bronze: str | TableSet, out_dir: str, strategy: s
 
     def price_side() -> DataFrame:
         run.write(PRICE_DIGESTS, _price_digests(run.prices))
-        return run.write("silver/market_prices", run.price_branch(run.prices))
+        analysed, spread = run.price_branch(run.prices)
+        return run.write("silver/market_prices", analysed, spread=spread)
 
     def fact_side() -> DataFrame:
         run.write(FILING_DIGESTS, _filing_digests(run.filings))
@@ -122,10 +136,14 @@ def build(spark: SparkSession, bronze: str | TableSet, out_dir: str, strategy: s
         statements = run.write("silver/financial_statements", run.statement_branch(facts))
         return run.write("gold/fact_quarterly_financials", run.quarterly_branch(statements), ["company_sk"])
 
+    def daily_side() -> DataFrame:
+        daily, spread = run.daily_branch(silver_prices, quarterly, strategy)
+        return run.write("gold/fact_daily_market_valuation", daily, ["company_sk"], spread)
+
     silver_prices, quarterly = _together(price_side, fact_side)
     companies, _ = _together(
         lambda: run.write("gold/dim_company", run.company_branch(silver_prices, run.filings), ["company_sk"]),
-        lambda: run.write("gold/fact_daily_market_valuation", run.daily_branch(silver_prices, quarterly, strategy), ["company_sk"]),
+        daily_side,
     )
     _check_companies(companies)
     return tables.commit(run.written.values())
@@ -151,12 +169,12 @@ def rebuild(spark: SparkSession, bronze: str | TableSet, out_dir: str, strategy:
     either = prices.with_other(filings)
     replaced: dict[str, Table] = {}
 
-    def splice(name: str, changed: _Changed, fresh: DataFrame, bloom=()) -> None:
+    def splice(name: str, changed: _Changed, fresh: DataFrame, bloom=(), spread: bool = True) -> None:
         """Write the touched groups of a table: the new rows, and the old ones of all other tickers."""
         if not changed.groups:
             return
         kept = changed.without(tables.read(name, changed.groups).drop(GROUP))
-        run.write(name, kept.unionByName(fresh), bloom)
+        run.write(name, kept.unionByName(fresh), bloom, spread or not changed.sent)
         replaced[name] = tables.replace_parts(name, run.written[name], changed.groups)
 
     def now(name: str, changed: _Changed) -> DataFrame:
@@ -166,13 +184,15 @@ def rebuild(spark: SparkSession, bronze: str | TableSet, out_dir: str, strategy:
 
     splice(PRICE_DIGESTS, prices, prices.only(_price_digests(run.prices)))
     splice(FILING_DIGESTS, filings, filings.only(_filing_digests(run.filings)))
-    splice("silver/market_prices", prices, run.price_branch(prices.only(run.prices, F.upper(F.trim("ticker")))))
+    analysed, spread = run.price_branch(prices.only(run.prices, F.upper(F.trim("ticker"))))
+    splice("silver/market_prices", prices, analysed, spread=spread)
     splice("staging/sec_facts", filings, extract_facts(filings.only(run.filings)))
     splice("silver/financial_statements", filings, run.statement_branch(now("staging/sec_facts", filings)))
     splice("gold/fact_quarterly_financials", filings, run.quarterly_branch(now("silver/financial_statements", filings)), ["company_sk"])
     silver_prices = now("silver/market_prices", either)
     splice("gold/dim_company", either, run.company_branch(silver_prices, either.only(run.filings)), ["company_sk"])
-    splice("gold/fact_daily_market_valuation", either, run.daily_branch(silver_prices, now("gold/fact_quarterly_financials", either), strategy), ["company_sk"])
+    daily, spread = run.daily_branch(silver_prices, now("gold/fact_quarterly_financials", either), strategy)
+    splice("gold/fact_daily_market_valuation", either, daily, ["company_sk"], spread)
     _check_companies(now("gold/dim_company", either))
     return tables.commit(replaced.values())
 
@@ -190,7 +210,8 @@ class _Changed:
             table = run.tables.write(f"changed/{name}", found)
             tickers = run.tables.read_written(table)
         self.tickers = tickers
-        self.n = tickers.count()
+        #: Whether the tickers are broadcast, so that rows compared with them stay where they are.
+        self.sent = tickers.count() <= BROADCAST_TICKERS
         groups = tickers.select(ticker_group("ticker", run.groups).cast("string").alias("g")).distinct().collect()  # no more than there are groups
         self.groups = sorted("__HIVE_DEFAULT_PARTITION__" if r.g is None else r.g for r in groups)
 
@@ -199,7 +220,7 @@ class _Changed:
 
     def _joined(self, df: DataFrame, how: str, ticker: Column | None = None) -> DataFrame:
         sent = self.tickers.select(F.col("ticker").alias("_changed"))
-        sent = F.broadcast(sent) if self.n <= BROADCAST_TICKERS else sent
+        sent = F.broadcast(sent) if self.sent else sent
         return df.join(sent, (df["ticker"] if ticker is None else ticker).eqNullSafe(F.col("_changed")), how)
 
     def only(self, df: DataFrame, ticker: Column | None = None) -> DataFrame:

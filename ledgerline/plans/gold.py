@@ -4,12 +4,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import company_key, safe_ratio, surrogate_key
-from ledgerline.operators.asof import asof_join
+from ledgerline.operators.asof import asof_join, fits_broadcast
 from ledgerline.schemas import RETURN
 
 FUNDAMENTALS = ("total_revenue", "net_income", "operating_cash_flow", "free_cash_flow", "net_margin", "return_on_equity")
 
 
+def _known(quarterly: DataFrame) -> DataFrame:
+    return quarterly.select(
+        "ticker",
+        "filing_date",
+        "period_end_date",
+        F.col("fiscal_year").alias("latest_filed_year"),
+        F.col("fiscal_period").alias("latest_filed_period"),
+        *FUNDAMENTALS,
+    )
+
+
+def leaves_prices_in_place(quarterly: DataFrame, strategy: str) -> bool:
+    """Whether :func:`daily_valuation` joins without moving the prices."""
+    return strategy == "range" and fits_broadcast(_known(quarterly).dropna(subset=["ticker", "filing_date"]), ["ticker"])
+
+
 def daily_valuation(
     prices: DataFrame,
     quarterly: DataFrame,
@@ -33,17 +49,9 @@ def daily_valuation(
         *[c for c in prices.columns if c.startswith("sma_")],
         "dividend_amount",
     )
-    known = quarterly.select(
-        "ticker",
-        "filing_date",
-        "period_end_date",
-        F.col("fiscal_year").alias("latest_filed_year"),
-        F.col("fiscal_period").alias("latest_filed_period"),
-        *FUNDAMENTALS,
-    )
     joined = asof_join(
         market,
-        known,
+        _known(quarterly),
         "ticker",
         "trade_date",
         "filing_date",

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 #: The partition column that stands for the write a folder comes from.
 WRITE = "ledgerline_write"
+CODEC = "zstd"
 WITHOUT_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _PLAIN = re.compile(r"[A-Za-z0-9_.\-]+")
 
@@ -101,19 +102,21 @@ class TableSet:
         schema = T.StructType([*table.columns.fields, T.StructField(WRITE, T.StringType())])
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{table.name}").parquet(*sorted(folders)).select(*table.columns.fieldNames())
 
-    def write(self, name: str, df: DataFrame, partition_by: str | None = None, bloom: Iterable[str] = (), sort=()) -> Table:
+    def write(self, name: str, df: DataFrame, partition_by: str | None = None, bloom: Iterable[str] = (), sort=(), spread: bool = True) -> Table:
         """Write ``df`` to a fresh folder. Nothing shows until the returned table is committed.
 
         A partitioned write spreads the rows over the partition values by a rebalance, which adaptive execution
-        splits where a value has many rows. ``bloom`` columns get Bloom filters, ``sort`` orders each file.
+        splits where a value has many rows; ``spread=False`` leaves out that shuffle, for rows whose tasks hold few
+        values each already. ``bloom`` columns get Bloom filters, ``sort`` orders each file. Files are compressed with
+        zstd, which also takes the keys' hexadecimal digits to half their length.
         """
         write = uuid.uuid4().hex
         folder = f"{self.root}/{name}/{WRITE}={write}"
-        if partition_by is not None:
+        if partition_by is not None and spread:
             df = df.hint("rebalance", F.col(partition_by))
         if sort:
             df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *sort)
-        writer = df.write
+        writer = df.write.option("compression", CODEC)
         for column in bloom:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)

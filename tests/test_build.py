@@ -142,3 +142,29 @@ def test_the_lookup_key_goes_below_the_windows(spark, tmp_path):
     text = company_page(companies, daily, quarterly, "T1", key=company_sk("T1"))._jdf.queryExecution().executedPlan().toString()
     below = text[text.index("Window") :].split("FileScan")[0]
     assert "Filter" in below[below.index("Exchange") :]
+
+
+def test_price_tables_are_dealt_by_group_once(spark, tmp_path, monkeypatch):
+    """Prices reach their folders with the shuffle of their windows, and the daily fact stays there; sliced tickers are spread after."""
+    spreads = {}
+    write = TableSet.write
+
+    def noted(self, name, df, partition_by=None, bloom=(), sort=(), spread=True):
+        spreads[name] = spread
+        return write(self, name, df, partition_by, bloom, sort, spread)
+
+    monkeypatch.setattr(TableSet, "write", noted)
+    prices = price_rows(TICKERS)
+    plain = build(spark, bronze(spark, tmp_path / "b", prices, FILED), str(tmp_path / "out"))
+    assert not spreads["silver/market_prices"] and not spreads["gold/fact_daily_market_valuation"]
+    assert spreads["silver/financial_statements"]
+    for name in ("silver/market_prices", "gold/fact_daily_market_valuation"):
+        rows = plain.read(name).select(GROUP, ticker_group("ticker", plan.GROUPS).alias("g")).collect()
+        assert len(rows) == len(prices) and all(r[GROUP] == r.g for r in rows)
+    spark.conf.set("spark.ledgerline.rowsPerGroup", "4")
+    try:
+        sliced = build(spark, str(tmp_path / "b"), str(tmp_path / "sliced"))
+    finally:
+        spark.conf.unset("spark.ledgerline.rowsPerGroup")
+    assert spreads["silver/market_prices"]
+    assert contents(sliced) == contents(plain)

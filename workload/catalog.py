@@ -26,7 +26,7 @@ from ledgerline.plans.reports import built_history, built_page, company_page, co
 from ledgerline.session import shared_dir
 from ledgerline.sources.landed import last_sessions, lookback, shape_filings, shape_prices
 from ledgerline.sources.merge_on_read import compact, land_delta, read_merged
-from ledgerline.sources.versions import TableSet
+from ledgerline.sources.versions import CODEC, TableSet
 from ledgerline.streaming.analytics import stream_price_analytics
 from workload import shapes as W
 
@@ -122,22 +122,16 @@ def _scenarios(spark, d):
     )
 
 
-_BUILT: dict[tuple[str, str], TableSet] = {}
-
-
 def _bronze(spark: SparkSession, d: str) -> str:
     folder = shared_dir(spark, "bronze")
-    W.px_raw(spark, d).write.parquet(f"{folder}/raw_market_prices")
-    W.filings_raw(spark, d).write.parquet(f"{folder}/raw_sec_filings")
+    W.px_raw(spark, d).write.option("compression", CODEC).parquet(f"{folder}/raw_market_prices")
+    W.filings_raw(spark, d).write.option("compression", CODEC).parquet(f"{folder}/raw_sec_filings")
     return folder
 
 
 def _built(spark: SparkSession, d: str) -> TableSet:
-    """The tables of a whole build, which the queries of one application share."""
-    key = spark.sparkContext.applicationId, d
-    if key not in _BUILT:
-        _BUILT[key] = build(spark, _bronze(spark, d), shared_dir(spark, "warehouse"))
-    return _BUILT[key]
+    """The tables of a whole build. Every query makes its own, so that what it costs does not depend on which ran before."""
+    return build(spark, _bronze(spark, d), shared_dir(spark, "warehouse"))
 
 
 def _gold(name, *audit):
@@ -159,8 +153,8 @@ def _rebuilt_daily(spark: SparkSession, d: str) -> DataFrame:
     """A build over bronze tables that lack some tickers and have other prices and amounts of some, then a rebuild over the right ones."""
     early, out = shared_dir(spark, "bronze"), shared_dir(spark, "warehouse")
     prices = W.px_raw(spark, d).where(~F.trim("ticker").endswith("7")).withColumn("adj_close", F.when(F.trim("ticker").like("%3"), F.col("adj_close") * 2).otherwise(F.col("adj_close")).cast(S.PRICE))
-    prices.write.parquet(f"{early}/raw_market_prices")
-    W.filings_raw(spark, d).withColumn("payload", F.when(F.col("ticker").endswith("1"), F.lit("{}")).otherwise(F.col("payload"))).write.parquet(f"{early}/raw_sec_filings")
+    prices.write.option("compression", CODEC).parquet(f"{early}/raw_market_prices")
+    W.filings_raw(spark, d).withColumn("payload", F.when(F.col("ticker").endswith("1"), F.lit("{}")).otherwise(F.col("payload"))).write.option("compression", CODEC).parquet(f"{early}/raw_sec_filings")
     build(spark, early, out)
     return built(rebuild(spark, _bronze(spark, d), out), "gold/fact_daily_market_valuation").drop("calculated_at")
 
