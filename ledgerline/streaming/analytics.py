@@ -53,22 +53,29 @@ def _sessions(order: str, price: str, scale: int, windows: tuple[int, ...], colu
 
     def sessions(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last_day, before = state.get if state.exists else (None, [])
-        before = list(before)
+        series = list(before)
         rows = pd.concat(list(frames)).sort_values(order, kind="stable")
         returns, averages = [], {n: [] for n in windows}
+        # Sum and number of the known prices among the last n, carried along.
+        sums = {n: sum(x for x in series[-n:] if x is not None) for n in windows}
+        counts = {n: sum(x is not None for x in series[-n:]) for n in windows}
         for day, value in zip(rows[order], rows[price]):
             if last_day is not None and day <= last_day:
                 raise ValueError(f"{key[0]}: the session of {day} is not after the one of {last_day}")
             last_day = day
             ticks = None if value is None else int(value.scaleb(scale))
-            previous = before[-1] if before else None
+            previous = series[-1] if series else None
             returns.append(_rounded(ticks - previous, previous, 6) if ticks is not None and previous else None)
-            before.append(ticks)
             for n in windows:
-                known = [x for x in before[-n:] if x is not None]
-                averages[n].append(_rounded(sum(known), len(known) * 10**scale, 4) if known else None)
-            del before[:-reach]
-        state.update((last_day, before))
+                if ticks is not None:
+                    sums[n] += ticks
+                    counts[n] += 1
+                if len(series) >= n and series[-n] is not None:
+                    sums[n] -= series[-n]
+                    counts[n] -= 1
+                averages[n].append(_rounded(sums[n], counts[n] * 10**scale, 4) if counts[n] else None)
+            series.append(ticks)
+        state.update((last_day, series[-reach:]))
         made = rows.assign(daily_return=pd.Series(returns, index=rows.index, dtype=object), **{f"sma_{n}": pd.Series(averages[n], index=rows.index, dtype=object) for n in windows})
         yield made[columns]
 

@@ -106,3 +106,23 @@ def test_two_pass_uniqueness(spark):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect())) and one.count() > 0
     text = two._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in text
+
+
+def test_the_price_history_is_dealt_to_the_stream_in_parallel(spark, tmp_path, monkeypatch):
+    """The history is shaped once, and no batch of it passes through a single task."""
+    from workload import catalog
+
+    shaped = []
+    days = spark.range(400).select(F.concat(F.lit("T"), F.col("id") % 4).alias("ticker"), F.expr("date_add(date'2024-01-01', cast(id div 4 as int))").alias("trade_date"), *[(F.col("id") % 7 + 1).cast("decimal(18,4)").alias(c) for c in ("close_price", "adj_close")], F.lit(1).cast("bigint").alias("volume"))
+
+    def staged(*_):
+        shaped.append(1)
+        return days.repartition(4)
+
+    monkeypatch.setattr(catalog, "_staged", staged)
+    monkeypatch.setattr(catalog, "shared_dir", lambda *_: str(tmp_path))
+    got = catalog._streamed_prices(spark, "")
+    want = price_analytics(days).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 400
+    assert len(shaped) == 1
+    assert len(list((tmp_path / "in").glob("part-*"))) > 4

@@ -215,18 +215,21 @@ def _spliced_versions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _streamed_prices(spark: SparkSession, d: str) -> DataFrame:
-    """The price history landed in four files by day, through a stream that is stopped after two of them."""
+    """The price history landed in four batches by day, through a stream that takes each batch and is stopped after it.
+
+    The staged prices are written once and dealt out of that; a batch is as many files as its tasks write.
+    """
     folder = shared_dir(spark, "stream")
-    staged = _staged(spark, d)
+    _staged(spark, d).write.parquet(f"{folder}/staged")
+    staged = spark.read.parquet(f"{folder}/staged")
     days = staged.select(F.percentile_approx(F.unix_date("trade_date"), [0.25, 0.5, 0.75])).first()[0] or []
     cuts = [dt.date(1970, 1, 1) + dt.timedelta(days=n) for n in days]
-    for n, (first, last) in enumerate(zip([None, *cuts], [*cuts, None])):
+    for first, last in zip([None, *cuts], [*cuts, None]):
         inside = (F.lit(True) if first is None else F.col("trade_date") > first) & (F.lit(True) if last is None else F.col("trade_date") <= last)
-        staged.where(inside).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-        if n % 2:
-            stream = spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-            out = stream_price_analytics(stream).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
-            out.trigger(availableNow=True).start().awaitTermination()
+        staged.where(inside).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(staged.schema).parquet(f"{folder}/in")
+        out = stream_price_analytics(stream).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+        out.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/out")
 
 
