@@ -6,7 +6,7 @@ from decimal import Decimal as D
 
 import pytest
 
-from ledgerline.operators.history import scd2, splice_versions
+from ledgerline.operators.history import batch_spans, scd2, splice_versions, versions_beside
 from ledgerline.plans.history import STATEMENTS, apply_facts
 from ledgerline.sources.versions import TableSet
 
@@ -77,3 +77,32 @@ def test_untouched_folders_stay(spark, tmp_path):
     tables = apply_facts(tables, spark.createDataFrame([("T3", *fact(rng, 99)[1:])], SCHEMA))
     after = tables.tables[STATEMENTS].parts
     assert sum(before[v] != after[v] for v in before) == 1
+
+
+def test_what_is_looked_at_and_what_lies_beside_are_the_whole(spark):
+    rng = random.Random(4)
+    facts = [fact(rng, n) for n in range(60)]
+    versions = scd2(spark.createDataFrame(facts[:50], SCHEMA).distinct(), slicing=None)
+    batch = spark.createDataFrame(facts[50:] + facts[45:55], SCHEMA)
+    spans = batch_spans(versions, batch)
+    around = splice_versions(versions, batch, slicing=None, spans=spans, unchanged=True)
+    assert around.where("_new is null").count() > 0
+    expected = scd2(spark.createDataFrame(facts, SCHEMA).distinct(), slicing=None)
+    assert rows(versions_beside(versions, spans).unionByName(around.drop("_new"))) == rows(expected)
+
+
+def test_a_splice_moves_both_sides_once(spark):
+    facts = spark.createDataFrame([fact(random.Random(5), n) for n in range(20)], SCHEMA)
+    versions = spark.createDataFrame(scd2(facts.distinct(), slicing=None).collect(), scd2(facts, slicing=None).schema)
+    plan = splice_versions(versions, facts, slicing=None)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
+def test_versions_that_stay_keep_their_stamp(spark, tmp_path):
+    day = lambda k: dt.date(2024, 1, k)
+    facts = [("A", "1", "Assets", "10-K", 2023, "FY", day(k), None, None, D(1), f"a{k}") for k in (2, 4, 6, 8)]
+    tables = apply_facts(TableSet(spark, str(tmp_path / "t")), spark.createDataFrame(facts, SCHEMA), stamp="made_at")
+    before = {r.valid_from.day: r.made_at for r in tables.read(STATEMENTS).collect()}
+    tables = apply_facts(tables, spark.createDataFrame([("A", "1", "Assets", "10-K", 2023, "FY", day(5), None, None, D(1), "x")], SCHEMA), stamp="made_at")
+    after = {r.valid_from.day: r.made_at for r in tables.read(STATEMENTS).collect()}
+    assert sorted(after) == [2, 4, 5, 6, 8] and {k for k in before if after[k] == before[k]} == {2, 6, 8}
