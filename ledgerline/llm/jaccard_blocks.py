@@ -10,6 +10,8 @@ import numpy as np
 
 #: Pairs that are compared at once, columns of a dense part, and how many pairs one shingle may make outside it.
 AT_ONCE, COLUMNS, SPARSE = 1 << 18, 1_024, 16
+#: Pairs of equal shingles that are listed at once.
+LISTED = 1 << 20
 
 
 class Forest:
@@ -36,33 +38,47 @@ class Sets:
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = np.array([len(s) for s in sets], np.int64)
         self.first = np.concatenate(([0], np.cumsum(self.sizes)))
-        values, self.codes = np.unique(np.concatenate(sets), return_inverse=True) if sets else (np.zeros(0), np.zeros(0, np.int64))
-        self.width = len(values)
+        values, codes = np.unique(np.concatenate(sets), return_inverse=True) if sets else (np.zeros(0), np.zeros(0, np.int64))
+        self.codes, self.width = codes.astype(np.int32), len(values)
 
     def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of some sets the position of each entry's set in ``rows``, and the entry's code."""
-        sizes = self.sizes[rows]
-        begin = np.cumsum(sizes) - sizes
-        at = np.arange(sizes.sum()) - np.repeat(begin, sizes) + np.repeat(self.first[rows], sizes)
-        return np.repeat(np.arange(len(rows)), sizes), self.codes[at]
+        codes = [self.codes[self.first[x] : self.first[x + 1]] for x in rows]
+        return np.repeat(np.arange(len(rows), dtype=np.int32), self.sizes[rows]), np.concatenate(codes) if codes else self.codes[:0]
 
     def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """How many shingles every set of ``a`` has in common with every set of ``b``."""
+        """How many shingles every set of ``a`` has in common with every set of ``b``.
+
+        Only shingles found on both sides are looked at, in numbers of 32 bits: few of them bring their pairs one by one,
+        ``LISTED`` at a time, those of many pairs are counted by products of dense parts.
+        """
         (ra, ca), (rb, cb) = self.entries(a), self.entries(b)
-        na, nb = np.bincount(ca, minlength=self.width), np.bincount(cb, minlength=self.width)
-        pairs = na * nb
+        both = np.zeros(self.width, bool)
+        both[ca] = True
+        met = np.zeros(self.width, bool)
+        met[cb] = True
+        both &= met
+        place = np.cumsum(both, dtype=np.int32) - 1  # shingles of both sides are numbered anew
+        width = int(place[-1]) + 1 if self.width else 0
+        ra, ca = ra[ka := both[ca]], place[ca[ka]]
+        rb, cb = rb[kb := both[cb]], place[cb[kb]]
+        del met, both, place, ka, kb
+        na, nb = np.bincount(ca, minlength=width).astype(np.int32), np.bincount(cb, minlength=width).astype(np.int32)
+        few = na.astype(np.int64) * nb <= SPARSE
         found = np.zeros(len(a) * len(b), np.int64)
-        few = (pairs > 0) & (pairs <= SPARSE)
         ka, kb = few[ca], few[cb]
-        oa, ob = np.argsort(ca[ka], kind="stable"), np.argsort(cb[kb], kind="stable")
-        left, code = ra[ka][oa], ca[ka][oa]
-        begins = np.concatenate(([0], np.cumsum(np.where(few, nb, 0))))[code]
-        times = nb[code]
-        at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(begins, times)
-        found += np.bincount(np.repeat(left, times) * len(b) + rb[kb][ob][at], minlength=len(found))
+        left, code = ra[ka], ca[ka]
+        right = rb[kb][np.argsort(cb[kb], kind="stable")]
+        begins = np.concatenate(([0], np.cumsum(np.where(few, nb, 0))))
+        step = max(1, LISTED // max(1, SPARSE))
+        for start in range(0, len(left), step):
+            some, of = left[start : start + step], code[start : start + step]
+            times = nb[of]
+            at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(begins[of], times)
+            found += np.bincount(np.repeat(some.astype(np.int64), times) * len(b) + right[at], minlength=len(found))
         found = found.reshape(len(a), len(b))
-        many = np.flatnonzero(pairs > SPARSE)
-        place = np.full(self.width, -1, np.int64)
+        many = np.flatnonzero(~few)
+        place = np.full(width, -1, np.int32)
         place[many] = np.arange(len(many))
         pa, pb = place[ca], place[cb]
         for start in range(0, len(many), COLUMNS):

@@ -64,7 +64,7 @@ PAIRS = 2_000
 BLOCK = 1_024
 SHINGLES = 1 << 19
 #: Pairs of histograms that are compared at once.
-AT_ONCE = 1 << 16
+AT_ONCE = 1 << 14
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -144,7 +144,7 @@ def _described(words: int, similarity: Fraction, common: np.ndarray) -> Callable
                 n = len(found)
                 signatures.append(_signature(found))
                 sizes.append(n)
-                windows.append(ordered(found, common)[: window(n, similarity)].view(np.int64))
+                windows.append(ordered(found, common)[: window(n, similarity)].view(np.int64).copy())  # without the rest of the set
                 histograms.append(np.minimum(np.bincount(found.view(np.int64) & (BUCKETS - 1), minlength=BUCKETS), 32767).astype(">i2").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signatures, pa.binary()), pa.array(sizes, pa.int64()), pa.array(windows, pa.list_(pa.int64())), pa.array(histograms, pa.binary())],
@@ -267,7 +267,9 @@ class JaccardJoin:
         crowded = self._entries(classes).groupBy("pivot").agg(F.count("*").alias("m")).filter(F.col("m") > COMMON)
         blocks = crowded.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("block")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
         marked = common.copy() if len(common) else np.zeros(1 << MAP_BITS, bool)
-        for row in blocks.collect():  # at most 2 ** MAP_BITS / 64 rows
+        with small_batches(self.spark):  # the texts are read here
+            rows = blocks.collect()  # at most 2 ** MAP_BITS / 64 rows
+        for row in rows:
             bits = np.array([row.bits], np.int64).view(np.uint8)
             marked[row.block * 64 : row.block * 64 + 64] |= np.unpackbits(bits, bitorder="little").astype(bool)
         return marked

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm.scan import small_batches
 from ledgerline.session import shared_dir
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -35,8 +36,15 @@ def line_hash(line: bytes) -> bytes | None:
     return hashlib.blake2b(key, digest_size=16).digest() if key else None
 
 
-def _hashed(batches):
+def _sliced(batches, rows: int = 1_000):
+    """What is made of a batch is held for so many of its rows at a time."""
     for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
+def _hashed(batches):
+    for batch in _sliced(batches):
         ids, parts, hashes = batch.column(0), batch.column(1), []
         for text in batch.column(2):
             found = {line_hash(x) for x in (text.as_py() or b"").split(b"\n")}
@@ -120,7 +128,7 @@ class LineRuns:
 
 
 def _purged(batches):
-    for batch in batches:
+    for batch in _sliced(batches):
         texts, lines, dropped = [], [], []
         for text, gone in zip(batch.column(1), batch.column(2)):
             text = text.as_py()
@@ -154,7 +162,8 @@ def dedup_lines(documents: DataFrame, min_docs: int = 10, batches: int = 6, fano
     spark = documents.sparkSession
     runs = LineRuns(spark, min_docs=min_docs, fanout=fanout)
     staged = f"{runs.folder}/lines"
-    document_lines(documents, batches, doc, text).write.partitionBy("batch").parquet(staged)
+    with small_batches(spark):
+        document_lines(documents, batches, doc, text).write.partitionBy("batch").parquet(staged)
     lines = spark.read.schema(f"id {documents.schema[doc].dataType.simpleString()}, hashes array<binary>, batch int").parquet(staged)
     for batch in range(batches):
         runs.add(lines.filter(F.col("batch") == batch))

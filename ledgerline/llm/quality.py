@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.scan import small_batches
+from ledgerline.llm.text import text_key
 from ledgerline.session import shared_dir
 
 #: Dimensions of the feature map, kernel width in standard deviations, ridge penalty per row, bins of the calibration.
@@ -25,6 +27,9 @@ PENALTY = 1e-4
 BINS = 200
 SEED = 11
 THRESHOLD = 0.3
+#: Rows that are mapped at once, and ids that are broadcast; more are joined by a shuffle.
+AT_ONCE = 1_000
+BROADCAST_ROWS = 1_000_000
 
 STATISTICS = [
     "log_chars", "log_words", "log_lines", "word_length", "long_words", "distinct_words", "top_word", "repeated_pairs", "adjacent_repeats",
@@ -106,16 +111,22 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _sliced(batches):
+    """Not empty, and no larger than what is mapped at once."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(first, AT_ONCE)
+
+
 def _summed(mapped: Map):
     """One partition's part of the normal equations: rows of the Gram matrix, the right side as their last entry."""
 
     def sums(batches):
         total = None
-        for batch in batches:
-            if batch.num_rows:
-                z = mapped(_matrix(batch.column(0)))
-                part = z.T @ np.hstack([z, batch.column(1).to_numpy(zero_copy_only=False).reshape(-1, 1)])
-                total = part if total is None else total + part
+        for batch in _sliced(batches):
+            z = mapped(_matrix(batch.column(0)))
+            part = z.T @ np.hstack([z, batch.column(1).to_numpy(zero_copy_only=False).reshape(-1, 1)])
+            total = part if total is None else total + part
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], names=["i", "sums"])
 
@@ -124,14 +135,13 @@ def _summed(mapped: Map):
 
 def _scored(mapped: Map, weights: np.ndarray):
     def score(batches):
-        for batch in batches:
-            z = mapped(_matrix(batch.column(1))) if batch.num_rows else np.zeros((0, len(weights)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z @ weights)], names=["row", "raw"])
+        for batch in _sliced(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(mapped(_matrix(batch.column(1))) @ weights)], names=["row", "raw"])
 
     return score
 
 
-def _described_and_scored(mapped: Map, weights: np.ndarray, text: str, at_once: int = 1000):
+def _described_and_scored(mapped: Map, weights: np.ndarray, text: str, at_once: int = AT_ONCE):
     """Scores whole documents that carry their text themselves, a slice of a batch at a time, so that texts are held once."""
 
     def score(batches):
@@ -206,7 +216,8 @@ def scores(documents: DataFrame, labels: DataFrame, keep: list[str] | None = Non
     folder = shared_dir(spark, "quality")
     keep = keep or [doc]
     described = describe(documents, [doc] if text in keep else keep, text)
-    described.write.parquet(f"{folder}/statistics")
+    with small_batches(spark):
+        described.write.parquet(f"{folder}/statistics")
     written = spark.read.schema(described.schema).parquet(f"{folder}/statistics")
     model = fit(written, labels, doc)
     # texts are not written with the statistics; where they are wanted, the statistics are made once more
@@ -218,3 +229,19 @@ def scores(documents: DataFrame, labels: DataFrame, keep: list[str] | None = Non
     raw = rows.mapInArrow(scored, f"row {rows.schema['row'].dataType.simpleString()}, raw double")
     table = F.lit(0.0) + _calibrated(F.col("raw"), edges, shares)
     return raw.select("row", F.least(F.lit(1.0), F.greatest(F.lit(0.0), table)).alias("score"))
+
+
+def without_low(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, with all their columns, whose score reaches the threshold.
+
+    Texts are described once and go to Python without the other columns; only the ids and text hashes of rows to
+    drop travel to the documents, broadcast if counted to be at most ``BROADCAST_ROWS``, else both sides are shuffled.
+    """
+    spark, folder = documents.sparkSession, shared_dir(documents.sparkSession, "quality-low")
+    keyed = documents.select(documents[doc].alias("id"), text_key(documents[text]).alias("key"), documents[text].alias("text"))
+    scored = scores(keyed, labels.select(F.col(doc).alias("id"), "quality"), keep=["id", "key"], doc="id", text="text")
+    low = scored.filter(~F.coalesce(F.col("score") >= threshold, F.lit(False))).select(F.col("row.id").alias("__id"), F.col("row.key").alias("__key")).distinct()
+    low.write.parquet(folder)
+    low = spark.read.schema(low.schema).parquet(folder)
+    sent = F.broadcast(low) if low.count() <= BROADCAST_ROWS else low
+    return documents.join(sent, documents[doc].eqNullSafe(low["__id"]) & (text_key(documents[text]) == low["__key"]), "left_anti")

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, jaccard_blocks, jaccard_join, line_runs, mixing
+from ledgerline.llm import decontaminate, jaccard_blocks, jaccard_join, line_runs, mixing, quality
 from ledgerline.llm.components import components
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -370,3 +370,56 @@ def test_digest_of_kept_text_is_of_utf8(spark):
     docs = spark.createDataFrame([(1, "é\nü")], "doc_id long, text string")
     row = line_runs.dedup_lines(docs).select(F.sha2(F.col("kept").cast("binary"), 256).alias("h")).first()
     assert row.h == hashlib.sha256("é\nü".encode()).hexdigest()
+
+
+def limited(made, most=1_000):
+    """The same function over batches, which fails for a larger one."""
+
+    def checked(batches):
+        def each():
+            for batch in batches:
+                assert batch.num_rows <= most, batch.num_rows
+                yield batch
+
+        return made(each())
+
+    return checked
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    docs = spark.range(0, 2500, 1, 1).select(F.col("id").cast("string").alias("doc_id"), F.concat(F.lit("one two three four five six "), F.col("id").cast("string")).alias("text"))
+    described, found = jaccard_join._described, quality._described
+    monkeypatch.setattr(jaccard_join, "_described", lambda *a: limited(described(*a)))
+    monkeypatch.setattr(quality, "_described", limited(found))
+    monkeypatch.setattr(line_runs, "_hashed", limited(line_runs._hashed))
+    assert jaccard_join.near_duplicates(docs).count() == 2500
+    assert line_runs.dedup_lines(docs, batches=1).count() == 2500
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert quality.scores(docs, labels).count() == 2500
+
+
+def test_low_documents_go_and_all_others_stay_as_they_are(spark, monkeypatch):
+    rows = [("a", "good one", 1), ("a", "bad", 2), (None, "bad", 3), (None, "good two", 4), ("b", None, 5), ("c", "bad", 6), ("c", "bad", 7)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, `row` int")
+
+    def scores(documents, labels, keep, doc, text):
+        return documents.select(F.struct(*keep).alias("row"), F.when(F.col(text) == "bad", 0.1).otherwise(0.9).alias("score"))
+
+    monkeypatch.setattr(quality, "scores", scores)
+    labels = spark.createDataFrame([("a", 1)], "doc_id string, quality int")
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(quality, "BROADCAST_ROWS", most)
+        kept = quality.without_low(docs, labels)
+        assert kept.columns == docs.columns and sorted(r["row"] for r in kept.collect()) == [1, 4, 5]
+
+
+def test_shared_shingles_are_counted_in_steps(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, 25)).astype(np.uint64) for _ in range(12)] + [np.zeros(0, np.uint64)]
+    expected = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    every = np.arange(len(sets))
+    for sparse, listed in ((16, 1 << 20), (1 << 20, 1 << 21), (4, 8), (0, 1 << 20)):
+        monkeypatch.setattr(jaccard_blocks, "SPARSE", sparse)
+        monkeypatch.setattr(jaccard_blocks, "LISTED", listed)
+        assert jaccard_blocks.Sets(sets).shared(every, every).tolist() == expected
+    assert jaccard_blocks.Sets([]).shared(every[:0], every[:0]).shape == (0, 0)
